@@ -51,7 +51,7 @@ def with_rank(df: DataFrame, score: str, name: str = "rank", slices: int | None
     return lookup(df, ahead.select(score, (F.col("__ahead") + 1).alias(name)), score, [name], how="inner", salt=8)
 
 
-def indexed_lookup(df: DataFrame, dim: DataFrame, idx_col: str, order_by: list[Column], cols: list[str],
+def indexed_lookup(df: DataFrame, dim: DataFrame, idx_col: str, order_by: list[Column], cols,
                    how: str = "inner") -> DataFrame:
     """Pick the dimension row at a 0-based position of its sort order."""
     return lookup(df, with_index(dim, order_by, "__idx"), {idx_col: "__idx"}, cols, how=how)

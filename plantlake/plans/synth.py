@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plantlake.functions.columns import inline_rows
 from plantlake.functions.rules import value_when
-from plantlake.operators.enrich import enrich_left, join_derived_key
+from plantlake.operators.enrich import join_derived_key
+from plantlake.operators.metrics import row_audit
+from plantlake.operators.ordered import indexed_lookup
 from plantlake.plans import synth_values as V
 from plantlake.schema import column_names
 from plantlake.sources.tables import read_table, write_path
@@ -226,18 +228,19 @@ def build_readings(ids: DataFrame, sensors: DataFrame, seed: int = 0, days: int
 
 
 def build_shipments(ids: DataFrame, refineries: DataFrame, tanks: DataFrame, seed: int = 0) -> DataFrame:
+    """Every shipment goes to one of the tanks that hold crude."""
     d = Draws(seed, "shipments")
+    crude_tanks = tanks.where(F.col("product_type") == "Crude Oil").select("tank_id")
     drawn = ids.select(
         "id", d.below("refinery", size_of(refineries)).alias("__site"),
-        d.below("tank", size_of(tanks)).alias("__tank"),
+        d.below("tank", size_of(crude_tanks)).alias("__tank"),
         d.date("shipped", "2020-01-01", "2024-12-31").alias("shipment_date"),
         d.whole("transit", 5, 45).alias("__days"),
         d.whole("volume", 100000, 2500000, 50000).alias("volume_barrels"),
         d.real("price", 40.0, 120.0).alias("price_per_barrel"))
     placed = join_derived_key(drawn, refineries, "__site", number_in("refinery_id", "REF-"), ["refinery_id"])
-    # A shipment goes to the drawn tank where that tank holds crude.
-    crude_tanks = tanks.where(F.col("product_type") == "Crude Oil").withColumn("__no", number_in("tank_id", "TANK-"))
-    sent = enrich_left(placed, crude_tanks, {"__tank": "__no"}, {"tank_id": "destination_tank_id"})
+    sent = indexed_lookup(placed, crude_tanks, "__tank", [F.asc("tank_id")], {"tank_id": "destination_tank_id"},
+                          how="left")
     arrival = F.date_add("shipment_date", F.col("__days"))
     return sent.select(
         numbered("SHIP-", F.col("id"), 7).alias("shipment_id"), "refinery_id",
@@ -348,8 +351,6 @@ def build_all(spark: SparkSession, root: str, scale: float = 0.01, seed: int = 0
     ``scale`` applies to every fact table. Each table is evaluated once: later
     builders and the counts read what was written.
     """
-    from plantlake.operators.metrics import row_audit
-
     paths: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
