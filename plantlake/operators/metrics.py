@@ -65,9 +65,16 @@ def by_day(df: DataFrame, ts: str, keys: list, aggs: list[Column], name: str = "
 
 
 def two_level(df: DataFrame, inner_keys: list, inner_aggs: list[Column],
-              outer_keys: list, outer_aggs: list[Column]) -> DataFrame:
-    """Aggregate, then aggregate the groups, each group weighing the same."""
-    return df.groupBy(*inner_keys).agg(*inner_aggs).groupBy(*outer_keys).agg(*outer_aggs)
+              outer_keys: list, outer_aggs: list[Column], colocate: list[str] | None = None) -> DataFrame:
+    """Aggregate, then aggregate the groups, each group weighing the same.
+
+    ``colocate`` names outer keys to shuffle the groups by, so a later join on just
+    those keys needs no further shuffle. Raw rows are already reduced by then.
+    """
+    inner = df.groupBy(*inner_keys).agg(*inner_aggs)
+    if colocate:
+        inner = inner.repartition(*colocate)
+    return inner.groupBy(*outer_keys).agg(*outer_aggs)
 
 
 def agg_minus_attr(df: DataFrame, keys: list[str], value: str, attr: str, name: str) -> DataFrame:

@@ -46,6 +46,7 @@ def with_index(df: DataFrame, order: list[Column], name: str = "row_index", slic
 def with_rank(df: DataFrame, score: str, name: str = "rank", slices: int | None = None) -> DataFrame:
     """SQL ``rank()`` by descending score over the whole table. Equal scores are
     counted first, so ties of any size stay one row while they are ordered."""
+    df = pinned(df)  # read twice below; also keeps both reads equal
     counts = df.groupBy(score).agg(F.count("*").alias("__n"))
     ahead = running_total(counts, [F.desc(score)], "__n", "__ahead", exclusive=True, slices=slices)
     return lookup(df, ahead.select(score, (F.col("__ahead") + 1).alias(name)), score, [name], how="inner", salt=8)

@@ -52,7 +52,8 @@ def unit_scores(readings: DataFrame, as_of: Column, days: int = HEALTH_DAYS) ->
         [F.stddev_samp("reading_value").alias("volatility"),
          rules.anomaly_rate("alert_status").alias("rate")],
         ["unit_id", "reading_date"],
-        [F.avg("rate").alias("avg_anomaly_rate"), F.avg("volatility").alias("avg_volatility")])
+        [F.avg("rate").alias("avg_anomaly_rate"), F.avg("volatility").alias("avg_volatility")],
+        colocate=["unit_id"])
 
 
 def equipment_health(readings: DataFrame, units: DataFrame, sites: DataFrame, as_of: Column | None = None,

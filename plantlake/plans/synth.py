@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plantlake.functions.columns import inline_rows
 from plantlake.functions.rules import value_when
-from plantlake.operators.enrich import join_derived_key
+from plantlake.operators.enrich import join_derived_key, lookup
 from plantlake.operators.metrics import row_audit
 from plantlake.operators.ordered import indexed_lookup
 from plantlake.plans import synth_values as V
@@ -36,18 +36,30 @@ def mix_constants(seed: int, name: str) -> tuple[int, int, int]:
     return tuple(1 + zlib.crc32(f"{seed}/{name}/{part}".encode()) % (PRIME - 1) for part in "abc")
 
 
+def _sql(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 class Draws:
-    """Seeded random columns for one table."""
+    """Seeded random columns for one table, computed from its ``id`` column.
 
-    def __init__(self, seed: int, table: str, row: Column | None = None):
+    Expressions are given as SQL text: one call each instead of one per operator.
+    Each draw is referenced without a condition, so generated code computes it once.
+    """
+
+    def __init__(self, seed: int, table: str):
         self.seed, self.table = seed, table
-        self.row = F.col("id") if row is None else row
+
+    def _unit(self, name: str) -> str:
+        a, b, c = mix_constants(self.seed, f"{self.table}.{name}")
+        x = f"((id % {PRIME}) * {a} + (id div {PRIME}) * 7919 + {c}) % {PRIME}"
+        return f"((({x}) * (({x}) + {b})) % {PRIME} / {PRIME}D)"
 
     def unit(self, name: str) -> Column:
         """Uniform in [0, 1). Products stay below 2**63."""
-        a, b, c = mix_constants(self.seed, f"{self.table}.{name}")
-        x = ((self.row % PRIME) * a + F.floor(self.row / PRIME) * 7919 + c) % PRIME
-        return ((((x * x) % PRIME) * b + x) % PRIME) / F.lit(PRIME)
+        return F.expr(self._unit(name))
 
     def below(self, name: str, n) -> Column:
         """Uniform whole number in [0, n)."""
@@ -55,35 +67,34 @@ class Draws:
 
     def whole(self, name: str, low: int, high: int, step: int = 1) -> Column:
         """Uniform over low, low + step, .., high."""
-        return (self.below(name, (high - low) // step + 1) * step + low).cast("int")
+        return F.expr(f"cast(floor({self._unit(name)} * {(high - low) // step + 1}) * {step} + {low} as int)")
 
     def real(self, name: str, low: float, high: float) -> Column:
-        return self.unit(name) * (high - low) + low
+        return F.expr(f"{self._unit(name)} * {high - low!r}D + {low!r}D")
 
     def date(self, name: str, first: str, last: str) -> Column:
-        begin = F.to_date(F.lit(first))
-        days = F.datediff(F.to_date(F.lit(last)), begin) + 1
-        return F.date_add(begin, self.below(name, days).cast("int"))
+        days = f"(datediff(DATE '{last}', DATE '{first}') + 1)"
+        return F.expr(f"date_add(DATE '{first}', cast(floor({self._unit(name)} * {days}) as int))")
 
     def chance(self, name: str, share: float) -> Column:
-        return self.unit(name) < share
+        return F.expr(f"{self._unit(name)} < {share!r}D")
 
     def choice(self, name: str, values: list) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (self.below(name, len(values)) + 1).cast("int"))
+        listed = ", ".join(_sql(v) for v in values)
+        return F.expr(f"element_at(array({listed}), cast(floor({self._unit(name)} * {len(values)}) as int) + 1)")
 
     def weighted(self, name: str, pairs: list[tuple]) -> Column:
-        """Choice by weight: the first cumulative weight above the draw wins."""
-        u = self.unit(name)
-        bounds = [round(b, 9) for b in accumulate(w for _, w in pairs)]
-        ladder = F.when(u < bounds[0], F.lit(pairs[0][0]))
-        for (value, _), bound in list(zip(pairs, bounds))[1:-1]:
-            ladder = ladder.when(u < bound, F.lit(value))
-        return ladder.otherwise(F.lit(pairs[-1][0]))
+        """Choice by weight: position is the number of cumulative weights reached."""
+        u = self._unit(name)
+        bounds = [round(b, 9) for b in accumulate(w for _, w in pairs)][:-1]
+        reached = " + ".join(f"cast({u} >= {b!r}D as int)" for b in bounds)
+        return F.expr(f"element_at(array({', '.join(_sql(v) for v, _ in pairs)}), 1 + {reached})")
 
     def text_id(self, name: str) -> Column:
         """Id text in UUID layout."""
-        h = F.md5(F.concat(F.lit(f"{self.seed}/{self.table}.{name}/"), self.row.cast("string")).cast("binary"))
-        return F.concat_ws("-", *[F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+        h = f"md5(cast(concat('{self.seed}/{self.table}.{name}/', id) as binary))"
+        parts = ", ".join(f"substring({h}, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+        return F.expr(f"concat_ws('-', {parts})")
 
 
 def numbered(prefix: str, number: Column, width: int) -> Column:
@@ -106,45 +117,44 @@ def at_time(seconds: Column) -> Column:
     return (start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("timestamp")
 
 
-def _row_of(table: list[tuple], index: Column, position: int) -> Column:
-    return F.element_at(F.array(*[F.lit(r[position]) for r in table]), (index + 1).cast("int"))
+def with_kind(df: DataFrame, index: Column, names: list[str], table: list[tuple]) -> DataFrame:
+    """Add the columns of one row of a fixed list, picked by 0-based position."""
+    listed = inline_rows(df.sparkSession, ["__no", *names], [(n, *row) for n, row in enumerate(table)])
+    return lookup(df.withColumn("__kind", index), listed, {"__kind": "__no"}, names, how="inner").drop("__kind")
 
 
 def build_refineries(ids: DataFrame, seed: int = 0) -> DataFrame:
     d = Draws(seed, "refineries")
-    city = F.col("__city")
-    out = ids.select("id", d.below("city", len(V.CITIES)).alias("__city")).select(
+    placed = with_kind(ids.select("id"), d.below("city", len(V.CITIES)),
+                       ["location_city", "location_state", "location_country", "__lat", "__lon"], V.CITIES)
+    return placed.select(
         numbered("REF-", F.col("id"), 3).alias("refinery_id"),
-        F.concat(_row_of(V.CITIES, city, 0), F.lit(" Refinery "), F.char(65 + F.col("id") % 26)).alias("refinery_name"),
-        _row_of(V.CITIES, city, 0).alias("location_city"),
-        _row_of(V.CITIES, city, 1).alias("location_state"),
-        _row_of(V.CITIES, city, 2).alias("location_country"),
-        (_row_of(V.CITIES, city, 3) + d.real("lat", -0.25, 0.25)).alias("latitude"),
-        (_row_of(V.CITIES, city, 4) + d.real("lon", -0.25, 0.25)).alias("longitude"),
+        F.concat("location_city", F.lit(" Refinery "), F.char(F.col("id") % 26 + 65)).alias("refinery_name"),
+        "location_city", "location_state", "location_country",
+        (F.col("__lat") + d.real("lat", -0.25, 0.25)).alias("latitude"),
+        (F.col("__lon") + d.real("lon", -0.25, 0.25)).alias("longitude"),
         d.whole("capacity", 50000, 700000, 10000).alias("capacity_bpd"),
         d.real("complexity", 5.0, 15.0).alias("complexity_index"),
         d.date("commissioned", "1960-01-01", "2020-12-31").alias("commissioned_date"),
         d.choice("operator", V.OPERATORS).alias("operator_name"),
         d.chance("active", 0.95).alias("is_active"),
         d.date("turnaround", "2020-01-01", "2024-06-30").alias("last_turnaround_date"))
-    return out
 
 
 def build_units(ids: DataFrame, refineries: DataFrame, seed: int = 0) -> DataFrame:
     d = Draws(seed, "units")
-    kind = F.col("__kind")
     drawn = ids.select("id", d.below("refinery", size_of(refineries)).alias("__parent"),
-                       d.below("type", len(V.UNIT_TYPES)).alias("__kind"),
                        d.choice("maker", V.UNIT_MAKERS).alias("manufacturer"))
+    drawn = with_kind(drawn, d.below("type", len(V.UNIT_TYPES)),
+                      ["unit_type", "unit_subtype", "design_efficiency"], V.UNIT_TYPES)
     placed = join_derived_key(drawn, refineries, "__parent", number_in("refinery_id", "REF-"), ["refinery_id"])
     return placed.select(
         numbered("UNIT-", F.col("id"), 5).alias("unit_id"), "refinery_id",
-        F.concat(F.substring(_row_of(V.UNIT_TYPES, kind, 0), 1, 3), F.lit("-"),
+        F.concat(F.substring("unit_type", 1, 3), F.lit("-"),
                  (F.col("id") % 10 + 1).cast("string")).alias("unit_name"),
-        _row_of(V.UNIT_TYPES, kind, 0).alias("unit_type"),
-        _row_of(V.UNIT_TYPES, kind, 1).alias("unit_subtype"),
+        "unit_type", "unit_subtype",
         d.whole("capacity", 10000, 200000, 5000).alias("capacity_bpd"),
-        _row_of(V.UNIT_TYPES, kind, 2).alias("design_efficiency"),
+        "design_efficiency",
         d.date("installed", "1980-01-01", "2023-12-31").alias("installation_date"),
         d.date("maintained", "2023-01-01", "2025-06-30").alias("last_maintenance_date"),
         d.choice("interval", V.MAINTENANCE_INTERVALS).alias("maintenance_interval_days"),
@@ -156,19 +166,17 @@ def build_units(ids: DataFrame, refineries: DataFrame, seed: int = 0) -> DataFra
 
 def build_sensors(ids: DataFrame, units: DataFrame, seed: int = 0) -> DataFrame:
     d = Draws(seed, "sensors")
-    kind = F.col("__kind")
+    limits = ["min_value", "max_value", "warning_low", "warning_high", "critical_low", "critical_high"]
     drawn = ids.select("id", d.below("unit", size_of(units)).alias("__parent"),
-                       d.below("type", len(V.SENSOR_TYPES)).alias("__kind"),
                        d.choice("maker", V.SENSOR_MAKERS).alias("manufacturer"))
+    drawn = with_kind(drawn, d.below("type", len(V.SENSOR_TYPES)), ["sensor_type", "measurement_unit", *limits],
+                      V.SENSOR_TYPES)
     placed = join_derived_key(drawn, units, "__parent", number_in("unit_id", "UNIT-"), ["unit_id", "refinery_id"])
-    limits = ["min_value", "max_value", "warning_low", "warning_high", "critical_low", "critical_high"]
     return placed.select(
         numbered("SENS-", F.col("id"), 6).alias("sensor_id"), "unit_id", "refinery_id",
-        F.concat(F.substring(_row_of(V.SENSOR_TYPES, kind, 0), 1, 4), F.lit("-"),
+        F.concat(F.substring("sensor_type", 1, 4), F.lit("-"),
                  F.lpad((F.col("id") % 1000).cast("string"), 3, "0")).alias("sensor_name"),
-        _row_of(V.SENSOR_TYPES, kind, 0).alias("sensor_type"),
-        _row_of(V.SENSOR_TYPES, kind, 1).alias("measurement_unit"),
-        *[_row_of(V.SENSOR_TYPES, kind, i).alias(n) for i, n in enumerate(limits, start=2)],
+        "sensor_type", "measurement_unit", *limits,
         d.weighted("every", V.READING_INTERVALS).alias("reading_interval_seconds"),
         "manufacturer",
         F.concat(F.substring("manufacturer", 1, 3), F.lit("-"), d.whole("model", 100, 999).cast("string"))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from plantlake.plans import synth as S, synth_values as V
 from plantlake.queries.base import Tables, query
+from plantlake.session import fresh_dir
+from plantlake.sources.tables import read_table, write_path
 
 SEED = 7
 P = S.PRIME
@@ -36,7 +38,7 @@ class Sql:
     def unit(self, name: str) -> str:
         a, b, c = S.mix_constants(SEED, f"{self.table}.{name}")
         x = f"(((id % {P}) * {a} + (id // {P}) * 7919 + {c}) % {P})"
-        return f"((((({x} * {x}) % {P}) * {b} + {x}) % {P}) / {P})"
+        return f"((({x} * ({x} + {b})) % {P}) / {P})"
 
     def below(self, name: str, n) -> str:
         return f"CAST(floor({self.unit(name)} * {n}) AS BIGINT)"
@@ -246,20 +248,32 @@ def chain(body: str, *needed: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in needed) + body
 
 
+def staged(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """Parents are written once: their count and size then come from the files."""
+    path = fresh_dir(t.spark, f"synth-{name}")
+    write_path(df, path)
+    return read_table(t.spark, path)
+
+
 def refineries(t: Tables) -> DataFrame:
     return S.build_refineries(ids(t, "refineries"), SEED)
 
 
 def units(t: Tables) -> DataFrame:
-    return S.build_units(ids(t, "units"), refineries(t), SEED)
+    return S.build_units(ids(t, "units"), staged(t, refineries(t), "refineries"), SEED)
 
 
 def sensors(t: Tables) -> DataFrame:
-    return S.build_sensors(ids(t, "sensors"), units(t), SEED)
+    return S.build_sensors(ids(t, "sensors"), staged(t, units(t), "units"), SEED)
 
 
 def tanks(t: Tables) -> DataFrame:
-    return S.build_tanks(ids(t, "tanks"), refineries(t), SEED)
+    return S.build_tanks(ids(t, "tanks"), staged(t, refineries(t), "refineries"), SEED)
+
+
+def sites_and_tanks(t: Tables) -> tuple[DataFrame, DataFrame]:
+    sites = staged(t, refineries(t), "refineries")
+    return sites, staged(t, S.build_tanks(ids(t, "tanks"), sites, SEED), "tanks")
 
 
 query("synth_refineries", chain(REFINERIES))(refineries)
@@ -270,24 +284,24 @@ query("synth_storage_tanks", chain(TANKS, "refineries"))(tanks)
 
 @query("synth_sensor_readings", chain(READINGS, "refineries", "units", "sensors"))
 def synth_readings(t: Tables):
-    return S.build_readings(ids(t, "readings"), sensors(t), SEED)
+    return S.build_readings(ids(t, "readings"), staged(t, sensors(t), "sensors"), SEED)
 
 
 @query("synth_crude_shipments", chain(SHIPMENTS, "refineries", "tanks", "crude_tanks"))
 def synth_shipments(t: Tables):
-    return S.build_shipments(ids(t, "shipments"), refineries(t), tanks(t), SEED)
+    return S.build_shipments(ids(t, "shipments"), *sites_and_tanks(t), SEED)
 
 
 @query("synth_quality_tests", chain(TESTS, "refineries", "tanks"))
 def synth_tests(t: Tables):
-    return S.build_quality_tests(ids(t, "tests"), refineries(t), tanks(t), SEED)
+    return S.build_quality_tests(ids(t, "tests"), *sites_and_tanks(t), SEED)
 
 
 @query("synth_tank_inventory", chain(INVENTORY, "refineries", "tanks"))
 def synth_inventory(t: Tables):
-    return S.build_tank_inventory(ids(t, "inventory"), tanks(t), SEED)
+    return S.build_tank_inventory(ids(t, "inventory"), staged(t, tanks(t), "tanks"), SEED)
 
 
 @query("synth_production_output", chain(PRODUCTION, "refineries", "units"))
 def synth_production(t: Tables):
-    return S.build_production(ids(t, "production"), units(t), SEED)
+    return S.build_production(ids(t, "production"), staged(t, units(t), "units"), SEED)
