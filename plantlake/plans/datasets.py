@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantlake.plans import gold, silver
 from plantlake.schema import PLANT_TABLES
@@ -33,6 +33,7 @@ class Dataset:
     properties: dict[str, str] = field(default_factory=dict)
     build: Callable[..., DataFrame] | None = None
     inputs: tuple[str, ...] = ()  # streamed first input, then batch inputs
+    partition_ts: str | None = None  # stored in one folder per day of this column
 
 
 def _bronze(table: str) -> Dataset:
@@ -47,7 +48,7 @@ DATASETS: dict[str, Dataset] = {d.name: d for d in [
     Dataset(LIVE, "bronze", "Decoded live readings", {"quality": "bronze"}),
     Dataset("silver_sensor_readings", "silver", "Readings of active sensors, classified", {"quality": "silver"},
             lambda history, live, sensors: silver.silver_readings([history, live], sensors, salt=16),
-            (HISTORY, LIVE, "bronze_dim_sensors")),
+            (HISTORY, LIVE, "bronze_dim_sensors"), "reading_timestamp"),
     Dataset("silver_shipments", "silver", "Shipments with variance, delay and cost", {"quality": "silver"},
             lambda s, sites, crudes: silver.silver_shipments(s, sites, crudes, salt=16),
             ("bronze_fact_crude_shipments", "bronze_dim_refineries", "bronze_dim_crude_types")),
@@ -99,12 +100,16 @@ class Lake:
         run_to_end(append_stream(decode_json(records, value, LIVE_FIELDS, lenient=True), self.path(name),
                                  self.checkpoint(name)))
 
-    def update(self, name: str) -> None:
+    def update(self, name: str, files_per_partition: int | None = None) -> None:
         """Process what is new in the streamed inputs of a silver dataset."""
         d = DATASETS[name]
         facts = [i for i in d.inputs if "_fact_" in i]
         frames = [self.stream(i) if i in facts else self.table(i) for i in d.inputs]
-        run_to_end(append_stream(d.build(*frames), self.path(name), self.checkpoint(name)))
+        rows, by = d.build(*frames), None
+        if d.partition_ts:
+            by = [gold.PARTITION_DATE]
+            rows = rows.withColumn(by[0], F.to_date(d.partition_ts))
+        run_to_end(append_stream(rows, self.path(name), self.checkpoint(name), by, files_per_partition))
 
     def refresh(self, name: str, **options) -> None:
         """Recompute a gold view from its inputs and replace it."""

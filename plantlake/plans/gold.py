@@ -22,6 +22,7 @@ CRITICAL_WEIGHT, WARNING_WEIGHT, WARNINGS_TO_ALERT = 10.0, 3.0, 5
 ON_SPEC = "On-Spec"
 HEALTH_DAYS = 7
 MINUTES_PER_UNIT = 60
+PARTITION_DATE = "partition_date"
 
 
 def anomaly_alerts(readings: DataFrame, width: str = "5 minutes") -> DataFrame:
@@ -46,6 +47,8 @@ def anomaly_alerts(readings: DataFrame, width: str = "5 minutes") -> DataFrame:
 def unit_scores(readings: DataFrame, as_of: Column, days: int = HEALTH_DAYS) -> DataFrame:
     """Per unit and day: means over sensor types of anomaly rate and volatility."""
     recent = trailing(readings, "reading_timestamp", days, as_of)
+    if PARTITION_DATE in readings.columns:  # prunes whole partitions of a stored table
+        recent = trailing(recent, PARTITION_DATE, days, as_of)
     return two_level(
         recent,
         ["unit_id", "sensor_type", F.to_date("reading_timestamp").alias("reading_date")],

@@ -9,10 +9,18 @@ from plantlake.sources.files import parquet_stream
 
 
 def append_stream(df: DataFrame, dst: str, checkpoint: str, partition_by: list[str] | None = None,
-                  continuous: str | None = None) -> StreamingQuery:
+                  files_per_partition: int | None = None, continuous: str | None = None) -> StreamingQuery:
     """Append a stream to a parquet folder, exactly once per checkpoint. By default
     everything available is taken and the query ends; ``continuous`` is the
-    interval of a query that keeps running."""
+    interval of a query that keeps running.
+
+    A backfill that spans many partition values would write one file per task and
+    value; ``files_per_partition`` shuffles the rows so that each value is written
+    by that many tasks. Live feeds touch few values and need no shuffle.
+    """
+    if partition_by and files_per_partition:
+        spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition_by]), F.lit(files_per_partition))
+        df = df.repartition(*partition_by, spread)
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("path", dst).option("checkpointLocation", checkpoint))
     if partition_by:

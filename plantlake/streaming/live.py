@@ -29,10 +29,19 @@ def latest_stream(df: DataFrame, keys: list[str], ts: str, tie_break: list[str])
     return kept.select("__row.*")
 
 
-def dedup_stream(df: DataFrame, ids: list[str], ts: str, lateness: str = LATENESS) -> DataFrame:
+def dedup_stream(df: DataFrame, ids: list[str], ts: str, lateness: str = LATENESS, salt: int = 1) -> DataFrame:
     """Drop redelivered rows. An id is remembered until the watermark passes its
-    event time by ``lateness``, which bounds the state."""
-    return with_event_time(df, ts).withWatermark(ts, lateness).dropDuplicatesWithinWatermark(ids)
+    event time by ``lateness``, which bounds the state.
+
+    All copies of an id meet in one task. Where one id may hold a large share of a
+    feed, ``salt`` first drops copies within groups of input partitions, so that at
+    most that many copies of an id reach the final step.
+    """
+    timed = with_event_time(df, ts).withWatermark(ts, lateness)
+    if salt > 1:
+        part = F.pmod(F.spark_partition_id(), F.lit(salt))
+        timed = timed.withColumn("__part", part).dropDuplicatesWithinWatermark([*ids, "__part"]).drop("__part")
+    return timed.dropDuplicatesWithinWatermark(ids)
 
 
 def replace_each_batch(df: DataFrame, dst: str, checkpoint: str) -> StreamingQuery:
