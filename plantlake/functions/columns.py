@@ -25,6 +25,16 @@ def settle(value: ColumnLike, digits: int = 4) -> Column:
     return F.floor(as_col(value) * F.lit(scale) + F.lit(0.50012345)) / F.lit(scale)
 
 
+def utc_instant(wall: ColumnLike) -> Column:
+    """Instant of a zoneless time that is meant as UTC, whatever the session zone."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), as_col(wall)).cast("timestamp")
+
+
+def utc_wall(instant: ColumnLike) -> Column:
+    """Zoneless UTC time of an instant, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), as_col(instant).cast("timestamp_ntz"))
+
+
 def _literal(value) -> str:
     if value is None:
         return "NULL"

@@ -1,9 +1,10 @@
 """Dimension lookups and unions.
 
 A dimension is broadcast only while the optimizer's own size estimate is below
-a limit. Above it the join stays a shuffled one, where adaptive execution splits
-skewed partitions; ``salt`` spreads a hot key explicitly for plans adaptive
-execution does not cover, such as streaming ones.
+a limit. Above it the join is a shuffled one on the key and a salt, so that the
+facts of a hot key are spread over several tasks. Adaptive execution splits what
+is still too large, but it does not cover streams or sides that were aggregated
+on the key, and the salt does.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_LIMIT = 64 * 1024 * 1024
+SALT = 8
 _SALT = "__salt"
 
 
@@ -29,7 +31,7 @@ def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
 
 def lookup(fact: DataFrame, dim: DataFrame, on: str | dict[str, str],
            cols: list[str] | dict[str, str] | None = None, how: str = "left",
-           where: Column | None = None, limit: int = BROADCAST_LIMIT, salt: int = 1) -> DataFrame:
+           where: Column | None = None, limit: int = BROADCAST_LIMIT, salt: int = SALT) -> DataFrame:
     """Add dimension attributes to every fact row.
 
     on     shared key name, or ``{fact column: dim column}``
@@ -37,7 +39,8 @@ def lookup(fact: DataFrame, dim: DataFrame, on: str | dict[str, str],
     how    "left" keeps facts without a match, "inner" drops them
     where  predicate on the dimension side, applied below the join
     salt   number of copies of a dimension too large to broadcast; fact rows of
-           one key are spread over them by a hash of the whole row
+           one key are spread over them by a hash of the whole row. Use 1 where
+           the facts hold few rows per key: an existing partitioning is kept then
     """
     keys = {on: on} if isinstance(on, str) else dict(on)
     if cols is None:
@@ -91,7 +94,7 @@ def join_derived_key(fact: DataFrame, dim: DataFrame, fact_key: str, key_expr: C
 def dim_first(dim: DataFrame, facts: DataFrame, on, cols=None) -> DataFrame:
     """Dimension rows first, with aggregated facts where there are any. ``facts``
     may hold several rows per key, each giving an output row."""
-    return lookup(dim, facts, on, cols, how="left")
+    return lookup(dim, facts, on, cols, how="left", salt=1)
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plantlake.functions.columns import as_col
 from plantlake.functions.rules import safe_ratio
+from plantlake.operators.enrich import lookup
 
 
 def group_stats(df: DataFrame, keys: list, value: str) -> DataFrame:
@@ -77,10 +78,17 @@ def two_level(df: DataFrame, inner_keys: list, inner_aggs: list[Column],
     return inner.groupBy(*outer_keys).agg(*outer_aggs)
 
 
-def agg_minus_attr(df: DataFrame, keys: list[str], value: str, attr: str, name: str) -> DataFrame:
-    """Mean of a measure less an attribute that is constant within the keys."""
-    return (df.groupBy(*keys, attr).agg(F.avg(value).alias("__mean"))
-            .select(*keys, (F.col("__mean") - F.col(attr)).alias(name)))
+def agg_minus_attr(df: DataFrame, keys: list[str], value: str, attr: str, name: str,
+                   dim: DataFrame | None = None, on: str | dict[str, str] | None = None) -> DataFrame:
+    """Mean of a measure less an attribute that is constant within the keys. The
+    attribute is a column of ``df``, or of ``dim``, which the groups are then
+    looked up in after the aggregation."""
+    if dim is None:
+        grouped = df.groupBy(*keys, attr).agg(F.avg(value).alias("__mean"))
+    else:
+        means = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
+        grouped = lookup(means, dim, on or keys[0], [attr], how="inner", salt=1)
+    return grouped.select(*keys, (F.col("__mean") - F.col(attr)).alias(name))
 
 
 def row_audit(tables: dict[str, DataFrame]) -> DataFrame:

@@ -49,7 +49,7 @@ def with_rank(df: DataFrame, score: str, name: str = "rank", slices: int | None
     df = pinned(df)  # read twice below; also keeps both reads equal
     counts = df.groupBy(score).agg(F.count("*").alias("__n"))
     ahead = running_total(counts, [F.desc(score)], "__n", "__ahead", exclusive=True, slices=slices)
-    return lookup(df, ahead.select(score, (F.col("__ahead") + 1).alias(name)), score, [name], how="inner", salt=8)
+    return lookup(df, ahead.select(score, (F.col("__ahead") + 1).alias(name)), score, [name], how="inner")
 
 
 def indexed_lookup(df: DataFrame, dim: DataFrame, idx_col: str, order_by: list[Column], cols,

@@ -24,7 +24,7 @@ def site_health(health: DataFrame, sites: DataFrame) -> DataFrame:
                    .alias("health_score")))
     means = newest.groupBy("refinery_id").agg(F.avg("health_score").alias("mean_health"),
                                               F.count("*").alias("unit_count"))
-    return lookup(means, sites, "refinery_id", ["refinery_name", "latitude", "longitude"], how="inner")
+    return lookup(means, sites, "refinery_id", ["refinery_name", "latitude", "longitude"], how="inner", salt=1)
 
 
 def alert_feed(readings: DataFrame, n: int = 100, tie_break: str = "reading_id") -> DataFrame:
@@ -66,7 +66,7 @@ def kpi_cards(readings: DataFrame, production: DataFrame, sites: DataFrame, unit
 def yield_by_crude(production: DataFrame, crudes: DataFrame) -> DataFrame:
     grouped = production.groupBy("input_crude_type_id").agg(
         F.avg("yield_percentage").alias("avg_yield"), F.count("*").alias("sample_count"))
-    return lookup(grouped, crudes, {"input_crude_type_id": "crude_type_id"}, ["crude_name"], how="inner")
+    return lookup(grouped, crudes, {"input_crude_type_id": "crude_type_id"}, ["crude_name"], how="inner", salt=1)
 
 
 def energy_trend(production: DataFrame) -> DataFrame:
@@ -83,11 +83,16 @@ def capacity_trend(kpis: DataFrame) -> DataFrame:
                  F.count("*").alias("day_count")))
 
 
+def by_category(production: DataFrame, products: DataFrame, volume: str) -> DataFrame:
+    """Volume per product category; rows are summed per product before the lookup."""
+    summed = production.groupBy("output_product_id").agg(F.sum(volume).alias(volume))
+    return (lookup(summed, products, {"output_product_id": "product_id"}, ["product_category"], how="inner", salt=1)
+            .groupBy("product_category").agg(F.sum(volume).alias(volume)))
+
+
 def product_mix(production: DataFrame, products: DataFrame) -> DataFrame:
     """Share of each product category in total output."""
-    by_product = production.groupBy("output_product_id").agg(F.sum("output_volume_barrels").alias("__v"))
-    mix = (lookup(by_product, products, {"output_product_id": "product_id"}, ["product_category"], how="inner")
-           .groupBy("product_category").agg(F.sum("__v").alias("output_volume_barrels")))
+    mix = by_category(production, products, "output_volume_barrels")
     total = mix.agg(F.sum("output_volume_barrels").alias("t")).scalar()
     return mix.withColumn("share", rules.safe_ratio("output_volume_barrels", total))
 
@@ -129,13 +134,14 @@ def in_transit(shipments: DataFrame, status: str = IN_TRANSIT) -> DataFrame:
             .agg(F.count("*").alias("shipment_count"), F.sum("volume_barrels").alias("volume_barrels")))
 
 
-def days_of_supply(stock: DataFrame, draws: DataFrame, key: str, volume: str, ts: str, as_of: Column,
+def days_of_supply(stock: DataFrame, draws: DataFrame, products: DataFrame, volume: str, ts: str, as_of: Column,
                    days: int = 30) -> DataFrame:
-    """Stock divided by the mean daily draw of the trailing period; null without draws.
-    Stock rows are the current amounts, one or more per key."""
-    held = stock.groupBy(key).agg(F.sum(volume).alias("stock_volume"))
-    drawn = trailing(draws, ts, days, as_of).groupBy(key).agg((F.sum(volume) / float(days)).alias("daily_draw"))
-    joined = lookup(held, drawn, key, ["daily_draw"])
+    """Stock of each product category divided by its mean daily draw in the trailing
+    period; null without draws. Stock rows are the current amounts."""
+    held = by_category(stock, products, volume).withColumnRenamed(volume, "stock_volume")
+    drawn = by_category(trailing(draws, ts, days, as_of), products, volume).select(
+        "product_category", (F.col(volume) / float(days)).alias("daily_draw"))
+    joined = lookup(held, drawn, "product_category", ["daily_draw"], salt=1)
     return joined.withColumn("days_of_supply", rules.safe_ratio("stock_volume", "daily_draw"))
 
 

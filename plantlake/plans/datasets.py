@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plantlake.plans import gold, silver
-from plantlake.schema import PLANT_TABLES
+from plantlake.schema import PLANT_TABLES, column_names
 from plantlake.sources.files import parquet_stream
 from plantlake.sources.records import decode_json
 from plantlake.sources.tables import read_table, write_path
@@ -43,17 +43,19 @@ def _bronze(table: str) -> Dataset:
 
 HISTORY = "bronze_fact_sensor_readings"
 LIVE = "bronze_fact_sensor_readings_stream"
+TENANT = "bronze_fact_sensor_readings_tenant"
 DATASETS: dict[str, Dataset] = {d.name: d for d in [
     *[_bronze(t) for t in PLANT_TABLES],
     Dataset(LIVE, "bronze", "Decoded live readings", {"quality": "bronze"}),
+    Dataset(TENANT, "bronze", "Readings of a second tenant", {"quality": "bronze"}),
     Dataset("silver_sensor_readings", "silver", "Readings of active sensors, classified", {"quality": "silver"},
-            lambda history, live, sensors: silver.silver_readings([history, live], sensors, salt=16),
+            lambda history, live, sensors: silver.silver_readings([history, live], sensors),
             (HISTORY, LIVE, "bronze_dim_sensors"), "reading_timestamp"),
     Dataset("silver_shipments", "silver", "Shipments with variance, delay and cost", {"quality": "silver"},
-            lambda s, sites, crudes: silver.silver_shipments(s, sites, crudes, salt=16),
+            lambda s, sites, crudes: silver.silver_shipments(s, sites, crudes),
             ("bronze_fact_crude_shipments", "bronze_dim_refineries", "bronze_dim_crude_types")),
     Dataset("silver_production", "silver", "Production with dimensions and ratios", {"quality": "silver"},
-            lambda p, u, r, pr, c: silver.silver_production(p, u, r, pr, c, salt=16),
+            lambda p, u, r, pr, c: silver.silver_production(p, u, r, pr, c),
             ("bronze_fact_production_output", "bronze_dim_processing_units", "bronze_dim_refineries",
              "bronze_dim_products", "bronze_dim_crude_types")),
     Dataset("silver_tank_inventory", "silver", "Valid tank snapshots with status", {"quality": "silver"},
@@ -91,7 +93,10 @@ class Lake:
         return parquet_stream(self.spark, self.path(name))
 
     def ingest(self, name: str, src: str, columns: list[str] | None = None, tenant: str | None = None) -> None:
-        """Bring what is new in a parquet source into a bronze dataset."""
+        """Bring what is new in a parquet source into a bronze dataset. The reading
+        history takes its declared columns only."""
+        if name == HISTORY and columns is None:
+            columns = column_names("fact_sensor_readings")
         run_to_end(ingest_stream(parquet_stream(self.spark, src), self.path(name), self.checkpoint(name),
                                  columns, tenant))
 

@@ -89,7 +89,7 @@ def daily_kpis(production: DataFrame, sites: DataFrame, on_spec: str = ON_SPEC)
     ]
     daily = by_day(production, "production_hour", ["refinery_id"], measures, "production_date")
     site = ["refinery_name", "location_city", "location_state", "capacity_bpd"]
-    joined = lookup(daily, sites, "refinery_id", site, how="inner")
+    joined = lookup(daily, sites, "refinery_id", site, how="inner", salt=1)
     use = rules.safe_ratio("total_crude_processed", "capacity_bpd").alias("capacity_utilization")
     return joined.select(
         "refinery_id", *site, "production_date", "total_crude_processed", "total_products_produced",
@@ -122,7 +122,7 @@ def inventory_by_snapshot(inventory: DataFrame, tanks: DataFrame, tie_break: lis
     """Latest snapshot of every tank seen, with the tank's attributes where known."""
     newest = latest_per_key(inventory, ["tank_id"], "measurement_timestamp", tie_break)
     limits = ["min_operating_level", "max_operating_level"]
-    joined = enrich_left(newest, tanks, "tank_id", ["tank_name", "capacity_barrels", *limits])
+    joined = enrich_left(newest, tanks, "tank_id", ["tank_name", "capacity_barrels", *limits], salt=1)
     full = derive_columns(joined, {
         "capacity_utilization": rules.safe_ratio("volume_barrels", "capacity_barrels"),
         "operating_status": rules.operating_status("fill_percentage", *limits),
@@ -142,7 +142,7 @@ def inventory_by_tank(inventory: DataFrame, tanks: DataFrame, sites: DataFrame,
     with_site = join_filtered(tanks.where("is_active"), sites, "refinery_id", F.lit(True), ["refinery_name"])
     joined = lookup(with_site, newest, "tank_id",
                     {"volume_barrels": "current_volume", "fill_percentage": "fill_percentage",
-                     "measurement_timestamp": "last_measured"}, how="inner")
+                     "measurement_timestamp": "last_measured"}, how="inner", salt=1)
     return joined.select(
         "tank_id", "tank_name", "refinery_id", "refinery_name", "product_type", "capacity_barrels",
         "current_volume", "fill_percentage", "last_measured",

@@ -110,11 +110,10 @@ def two_level_agg(t: Tables):
     SELECT l_partkey, {settled("avg(1 - l_discount) - any_value(p_size / 1000 + 0.9::DOUBLE)", 6)} AS yield_vs_typical
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_partkey""")
 def agg_vs_attribute(t: Tables):
-    from plantlake.operators.enrich import lookup
-    rows = lookup(t.lineitem.select("l_partkey", (1 - F.col("l_discount")).alias("y")),
-                  t.part.select("p_partkey", (F.col("p_size") / 1000 + 0.9).alias("typical")),
-                  {"l_partkey": "p_partkey"}, ["typical"], how="inner")
-    out = M.agg_minus_attr(rows, ["l_partkey"], "y", "typical", "yield_vs_typical")
+    yields = t.lineitem.select("l_partkey", (1 - F.col("l_discount")).alias("y"))
+    typical = t.part.select("p_partkey", (F.col("p_size") / 1000 + 0.9).alias("typical"))
+    out = M.agg_minus_attr(yields, ["l_partkey"], "y", "typical", "yield_vs_typical", typical,
+                           {"l_partkey": "p_partkey"})
     return out.withColumn("yield_vs_typical", settle("yield_vs_typical", 6))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantlake.functions.columns import inline_rows, settle
+from plantlake.functions.rules import days_delayed
 from plantlake.plans import dashboard as D, silver as S
 from plantlake.queries import bindings as B
 from plantlake.queries.aggregates import silver, silver_sql
@@ -160,10 +161,8 @@ SUPPLY_DAY = "2001-06-01"
     made="""SELECT d.product_category, p.output_volume_barrels AS volume, p.production_hour
             FROM production p JOIN products d ON d.product_id = p.output_product_id"""))
 def days_of_supply(t: Tables):
-    from plantlake.operators.enrich import lookup
-    made = lookup(B.production(t.lineitem), B.products(t.part), {"output_product_id": "product_id"},
-                  ["product_category"], how="inner")
-    out = D.days_of_supply(made, made, "product_category", "output_volume_barrels", "production_hour",
+    made = B.production(t.lineitem)
+    out = D.days_of_supply(made, made, B.products(t.part), "output_volume_barrels", "production_hour",
                            B.as_of(SUPPLY_DAY))
     return rounded(rounded(out, 4, "daily_draw", "days_of_supply"), 2, "stock_volume")
 
@@ -173,7 +172,8 @@ def days_of_supply(t: Tables):
            {settled("count(*) FILTER (arrival_date <= expected_arrival_date) / count(*)", 6)} AS on_time_rate,
            count(*) AS shipment_count FROM shipments GROUP BY 1""", "shipments"))
 def on_time_rate(t: Tables):
-    return rounded(D.on_time_rate(shipped(t)), 6, "on_time_rate")
+    late = days_delayed("arrival_date", "expected_arrival_date")
+    return rounded(D.on_time_rate(B.shipments(t.orders).withColumn("days_delayed", late)), 6, "on_time_rate")
 
 
 @query("stock_trend", with_bound(f"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plantlake.functions.columns import settle, utc_instant, utc_wall
 from plantlake.operators.project import stamped
 from plantlake.plans.synth import numbered
 from plantlake.queries.base import Tables, query, settled
@@ -28,7 +29,6 @@ def fn_string(t: Tables):
            {settled("o_totalprice / 3", 2)} AS third, least(o_totalprice, 250000) AS capped,
            greatest(o_totalprice - 250000, 0) AS excess FROM orders""")
 def fn_math(t: Tables):
-    from plantlake.functions.columns import settle
     price = F.col("o_totalprice")
     return t.orders.select(
         "o_orderkey", F.floor(price / 1000).alias("thousands"), (F.col("o_orderkey") % 7).alias("remainder"),
@@ -53,13 +53,13 @@ def fn_date(t: Tables):
            strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS iso, ts AS parsed, date_trunc('hour', ts) AS hour
     FROM events""")
 def fn_time(t: Tables):
-    zoned = F.col("ts").cast("timestamp")
+    zoned = utc_instant("ts")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return t.events.select(
         "event_id", F.unix_timestamp(zoned).alias("seconds"),
-        F.timestamp_seconds(F.unix_timestamp(zoned)).alias("whole_second"), iso.alias("iso"),
+        utc_wall(F.timestamp_seconds(F.unix_timestamp(zoned))).alias("whole_second"), iso.alias("iso"),
         F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("parsed"),
-        F.date_trunc("hour", "ts").alias("hour"))
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
 
 
 @query("fn_array", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plantlake.functions.columns import utc_wall
 from plantlake.queries import bindings as B
 from plantlake.queries.base import Tables, query, with_bound
 from plantlake.session import fresh_dir
@@ -113,20 +114,22 @@ def records(df):
 def json_decode(t: Tables):
     raw = records(B.readings(t.events))
     out = decode_json(raw, "value", LANDED.replace("timestamp_ntz", "string"))
-    return out.withColumn("reading_timestamp", F.to_timestamp("reading_timestamp"))
+    return out.withColumn("reading_timestamp", utc_wall(F.to_timestamp("reading_timestamp")))
 
 
 @query("json_decode_lenient", FEED)
 def json_decode_lenient(t: Tables):
     quoted = F.regexp_replace("value", r'"reading_value":([0-9.Ee+-]+)', r'"reading_value":"$1"')
     raw = records(B.readings(t.events)).select(quoted.cast("binary").alias("value"))
-    return decode_json(raw, "value", LANDED.replace("timestamp_ntz", "timestamp"), lenient=True)
+    out = decode_json(raw, "value", LANDED.replace("timestamp_ntz", "timestamp"), lenient=True)
+    return out.withColumn("reading_timestamp", utc_wall("reading_timestamp"))
 
 
 @query("bronze_live_readings", FEED)
 def bronze_live_readings(t: Tables):
     feed = records(B.readings(parquet_stream(t.spark, t.path("events"))))
-    return landed(t, decode_json(feed, "value", LANDED.replace("timestamp_ntz", "timestamp"), lenient=True), "live")
+    out = landed(t, decode_json(feed, "value", LANDED.replace("timestamp_ntz", "timestamp"), lenient=True), "live")
+    return out.withColumn("reading_timestamp", utc_wall("reading_timestamp"))
 
 
 @query("csv_ingest", """

@@ -33,7 +33,7 @@ def as_live(readings):
 def stream_dim_left(t: Tables):
     rows = reading_stream(t).select("reading_id", "sensor_id", "reading_value")
     joined = enrich_left(rows, B.sensors(t.spark).where("is_active"), "sensor_id",
-                         ["measurement_unit", "warning_high"], salt=16)
+                         ["measurement_unit", "warning_high"])
     return landed(t, joined, "stream-dim")
 
 
@@ -41,14 +41,14 @@ def stream_dim_left(t: Tables):
     SELECT * FROM silver UNION ALL SELECT * REPLACE (-1 - reading_id AS reading_id) FROM silver"""))
 def stream_silver(t: Tables):
     feeds = [reading_stream(t), as_live(reading_stream(t))]
-    return landed(t, silver_readings(feeds, B.sensors(t.spark), stamp=False, salt=16), "stream-silver")
+    return landed(t, silver_readings(feeds, B.sensors(t.spark), stamp=False), "stream-silver")
 
 
 @query("stream_star", REGISTRY["silver_production"].sql)
 def stream_star(t: Tables):
     rows = B.production(parquet_stream(t.spark, t.path("lineitem")))
     return landed(t, silver_production(rows, B.units(t.supplier), B.sites(t.nation), B.products(t.part),
-                                       B.crudes(t.region), stamp=False, salt=16), "stream-star")
+                                       B.crudes(t.region), stamp=False), "stream-star")
 
 
 @query("stream_union", with_bound("""
@@ -63,7 +63,7 @@ def stream_union(t: Tables):
 @query("stream_alerts", silver_sql(f"""
     SELECT * FROM ({ALERTS}) WHERE window_end <= (SELECT max(reading_timestamp) FROM silver) - INTERVAL 10 MINUTES"""))
 def alerts(t: Tables):
-    rows = silver_readings([reading_stream(t)], B.sensors(t.spark), stamp=False, salt=16)
+    rows = silver_readings([reading_stream(t)], B.sensors(t.spark), stamp=False)
     return shown_alerts(landed(t, stream_alerts(rows), "stream-alerts"))
 
 

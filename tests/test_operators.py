@@ -63,6 +63,44 @@ def test_broadcast_can_be_switched_off(spark, dim):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key with two thirds of the rows: no reduce task of the salted join sees most of it."""
+    facts = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).alias("k"))
+    dims = spark.range(30000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    saved = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions",
+                                            "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for c, v in zip(saved, ("-1", "16", "false")):
+            spark.conf.set(c, v)
+        def largest(salt):
+            out = E.enrich_left(facts, dims, "k", ["twice"], salt=salt)
+            assert out.where("twice <> 2 * k or twice is null").isEmpty()
+            return out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).collect()[0][0]
+        assert largest(1) > 20000 and largest(8) < 12000
+    finally:
+        for c, v in saved.items():
+            spark.conf.set(c, v)
+
+
+def test_adaptive_execution_splits_the_unsalted_join(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB"}
+    saved = {c: spark.conf.get(c) for c in settings}
+    facts = spark.range(0, 200000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).alias("k"))
+    dims = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    try:
+        for c, v in settings.items():
+            spark.conf.set(c, v)
+        out = E.enrich_left(facts, dims, "k", ["twice"], salt=1)
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for c, v in saved.items():
+            spark.conf.set(c, v)
+
+
 def test_star_and_rename(spark, fact, dim):
     out = E.star_enrich(fact, [(dim, "k", {"name": "first"}), (dim, {"k": "k"}, {"name": "second"})])
     assert out.columns == ["id", "k", "v", "first", "second"]
@@ -137,6 +175,8 @@ def test_two_level_weighs_groups_equally_with_and_without_colocation(spark):
 def test_agg_minus_attr_by_day_and_audit(spark):
     df = inline_rows(spark, ["k", "v", "a", "s"], [(1, 2.0, 1.0, "2024-01-01 23:59:59"), (1, 4.0, 1.0, "2024-01-02 00:00:00")])
     assert rows(M.agg_minus_attr(df, ["k"], "v", "a", "d"), "k") == [(1, 2.0)]
+    dim = inline_rows(spark, ["k", "a"], [(1, 1.0), (2, 5.0)])
+    assert rows(M.agg_minus_attr(df.drop("a"), ["k"], "v", "a", "d", dim), "k") == [(1, 2.0)]
     daily = M.by_day(df.withColumn("s", F.col("s").cast("timestamp_ntz")), "s", ["k"], [F.count("*").alias("n")])
     assert [(r.day.isoformat(), r.n) for r in daily.orderBy("day").collect()] == [("2024-01-01", 1), ("2024-01-02", 1)]
     assert rows(M.row_audit({"x": df, "empty": df.where("k > 9")}), "table_name") == [("empty", 0), ("x", 2)]

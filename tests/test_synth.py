@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantlake.plans import synth as S, synth_values as V
-from plantlake.plans.datasets import DATASETS, HISTORY, LIVE, Lake
+from plantlake.plans.datasets import DATASETS, LIVE, TENANT, Lake
 from plantlake.schema import PLANT_TABLES, column_names
 from plantlake.sources.records import to_records
 from plantlake.sources.tables import read_table
@@ -106,6 +106,8 @@ def test_bronze_to_gold(spark, root, tmp_path):
     from plantlake.sources.files import parquet_stream
     lake.ingest_live(parquet_stream(spark, landing))
     assert lake.table(LIVE).where("reading_timestamp is null or reading_value is null").isEmpty()
+    lake.ingest(TENANT, f"{folder}/fact_sensor_readings", tenant="other")
+    assert lake.table(TENANT).where("tenant = 'other'").count() == counts["fact_sensor_readings"]
     lake.update("silver_sensor_readings", files_per_partition=1)
     for name in ("silver_shipments", "silver_production", "silver_tank_inventory"):
         lake.update(name)
