@@ -18,8 +18,9 @@ def decode_json(df: DataFrame, column: str, schema: str | T.StructType, lenient:
     fields = (struct(schema) if isinstance(schema, str) else schema).fields
     text = F.col(column).cast("string")
     if lenient:
-        cols = [F.get_json_object(text, f"$.{f.name}").try_cast(f.dataType).alias(f.name) for f in fields]
-        return df.select(*keep, *cols)
+        raw = [f"__{f.name}" for f in fields]  # one parse for all fields
+        texts = df.select(*keep, F.json_tuple(text, *[f.name for f in fields]).alias(*raw))
+        return texts.select(*keep, *[F.col(r).try_cast(f.dataType).alias(f.name) for r, f in zip(raw, fields)])
     parsed = df.select(*keep, F.from_json(text, T.StructType(fields)).alias("__r"))
     return parsed.select(*keep, *[F.col(f"__r.{f.name}").alias(f.name) for f in fields])
 
