@@ -79,5 +79,5 @@ def latest(t: Tables):
     "SELECT reading_id, sensor_id, reading_timestamp, reading_value FROM readings", "readings"))
 def dedup(t: Tables):
     rows = reading_stream(t).select("reading_id", "sensor_id", "reading_timestamp", "reading_value")
-    return landed(t, dedup_stream(union_feeds(rows, rows), ["reading_id"], "reading_timestamp", salt=8),
+    return landed(t, dedup_stream(union_feeds(rows, rows), ["reading_id"], "reading_timestamp", collapse=True),
                   "stream-dedup")

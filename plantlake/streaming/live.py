@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,19 +30,28 @@ def latest_stream(df: DataFrame, keys: list[str], ts: str, tie_break: list[str])
     return kept.select("__row.*")
 
 
-def dedup_stream(df: DataFrame, ids: list[str], ts: str, lateness: str = LATENESS, salt: int = 1) -> DataFrame:
+def collapse_copies(df: DataFrame, ids: list[str]) -> DataFrame:
+    """First row per id of each Arrow batch. It needs no shuffle or state, which no
+    built-in streaming operator offers, and leaves one of thousands of copies."""
+    def first_rows(batches):
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]).append_column("__row", pa.array(range(batch.num_rows), pa.int64()))
+            first = rows.select([*ids, "__row"]).group_by(ids).aggregate([("__row", "min")])["__row_min"]
+            yield batch.take(first.combine_chunks().sort())
+
+    return df.mapInArrow(first_rows, df.schema)
+
+
+def dedup_stream(df: DataFrame, ids: list[str], ts: str, lateness: str = LATENESS,
+                 collapse: bool = False) -> DataFrame:
     """Drop redelivered rows. An id is remembered until the watermark passes its
     event time by ``lateness``, which bounds the state.
 
     All copies of an id meet in one task. Where one id may hold a large share of a
-    feed, ``salt`` first drops copies within groups of input partitions, so that at
-    most that many copies of an id reach the final step.
+    feed, ``collapse`` drops most copies before that shuffle.
     """
-    timed = with_event_time(df, ts).withWatermark(ts, lateness)
-    if salt > 1:
-        part = F.pmod(F.spark_partition_id(), F.lit(salt))
-        timed = timed.withColumn("__part", part).dropDuplicatesWithinWatermark([*ids, "__part"]).drop("__part")
-    return timed.dropDuplicatesWithinWatermark(ids)
+    rows = collapse_copies(df, ids) if collapse else df
+    return with_event_time(rows, ts).withWatermark(ts, lateness).dropDuplicatesWithinWatermark(ids)
 
 
 def replace_each_batch(df: DataFrame, dst: str, checkpoint: str) -> StreamingQuery:

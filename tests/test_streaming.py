@@ -10,7 +10,7 @@ from plantlake.plans import gold, silver
 from plantlake.queries import bindings as B
 from plantlake.sources.files import parquet_stream
 from plantlake.streaming.ingest import append_stream, run_to_end
-from plantlake.streaming.live import dedup_stream, latest_stream, replace_each_batch, stream_alerts
+from plantlake.streaming.live import collapse_copies, dedup_stream, latest_stream, replace_each_batch, stream_alerts
 
 
 def drained(df, tmp_path, name="out"):
@@ -90,13 +90,23 @@ def batches(spark, tmp_path, parts):
 def test_dedup_within_and_across_batches(spark, tmp_path):
     parts = [[(1, "a", "2024-01-01 00:00:00"), (1, "a", "2024-01-01 00:00:00"), (2, "a", "2024-01-01 00:01:00")],
              [(2, "a", "2024-01-01 00:01:00"), (3, "b", "2024-01-01 00:02:00")]]
-    for salt in (1, 4):
-        folder = tmp_path / str(salt)
+    for collapse in (False, True):
+        folder = tmp_path / str(collapse)
         folder.mkdir()
-        out = drained(dedup_stream(batches(spark, folder, parts), ["id"], "ts", salt=salt), folder)
+        out = drained(dedup_stream(batches(spark, folder, parts), ["id"], "ts", collapse=collapse), folder)
         assert [r.id for r in out.orderBy("id").collect()] == [1, 2, 3]
 
 
+def test_collapse_keeps_one_whole_row_per_id_and_batch(spark):
+    df = spark.range(0, 5000, 1, 1).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("i"), F.col("id").alias("n"),
+        F.lit("2024-01-01").cast("timestamp").alias("ts"))
+    out = collapse_copies(df, ["i"])
+    assert out.schema == df.schema
+    assert out.count() == 2501 and out.where("i = 0").collect()[0].n == 0
+    assert out.where("i <> 0 and i <> n").isEmpty()
+
+
 def test_late_row_is_dropped_by_the_watermark(spark, tmp_path):
     parts = [[(1, "a", "2024-01-01 01:00:00")], [(2, "a", "2024-01-01 02:00:00")], [(3, "a", "2024-01-01 00:00:00")],
              [(4, "a", "2024-01-01 02:01:00")]]
