@@ -116,11 +116,8 @@ def quality_vs_yield(t: Tables):
     return rounded(D.quality_vs_yield(B.production(t.lineitem)), 6, "avg_yield", "yield_energy_corr")
 
 
-@query("tank_levels", with_bound("""
-    SELECT n.tank_id, k.tank_name, n.fill_percentage,
-           CASE WHEN n.fill_percentage < k.min_operating_level THEN 'BELOW_MIN'
-                WHEN n.fill_percentage > k.max_operating_level THEN 'ABOVE_MAX' ELSE 'WITHIN_RANGE' END
-             AS operating_status, n.inventory_status
+@query("tank_levels", with_bound(f"""
+    SELECT n.tank_id, k.tank_name, n.fill_percentage, {B.OPERATING} AS operating_status, n.inventory_status
     FROM newest n LEFT JOIN tanks k ON k.tank_id = n.tank_id""", "tank_inventory", "tanks",
     clean=SILVER_TANKS, newest=LATEST_TANKS))
 def tank_levels(t: Tables):
@@ -206,9 +203,8 @@ def health_leaderboard(t: Tables):
 
 @query("maintenance_calendar", with_bound(f"""
     SELECT unit_id, unit_name, CAST(last_maintenance_date + maintenance_interval_days AS VARCHAR) AS due_date,
-           CASE WHEN last_maintenance_date + maintenance_interval_days < DATE '{B.AS_OF_READINGS}' THEN 'OVERDUE'
-                WHEN DATE '{B.AS_OF_READINGS}' - last_maintenance_date > maintenance_interval_days * 0.9::DOUBLE
-                THEN 'DUE_SOON' ELSE 'OK' END AS maintenance_status
+           {B.due(f"(DATE '{B.AS_OF_READINGS}' - last_maintenance_date)", "maintenance_interval_days")}
+             AS maintenance_status
     FROM maintained_units""", "maintained_units"))
 def maintenance_calendar(t: Tables):
     return D.maintenance_calendar(B.maintained_units(t.customer), B.as_of(B.AS_OF_READINGS))

@@ -48,16 +48,9 @@ def silver_production(t: Tables):
                                B.products(t.part), B.crudes(t.region), stamp=False)
 
 
-SILVER_TANKS = """
-    SELECT *, CASE WHEN fill_percentage < 0.10::DOUBLE THEN 'CRITICALLY_LOW'
-                   WHEN fill_percentage < 0.25::DOUBLE THEN 'LOW'
-                   WHEN fill_percentage > 0.95::DOUBLE THEN 'OVER_FILLED'
-                   WHEN fill_percentage > 0.85::DOUBLE THEN 'NEAR_CAPACITY' ELSE 'NORMAL' END AS inventory_status,
-           fill_percentage < 0.15::DOUBLE OR fill_percentage > 0.92::DOUBLE OR water_bottom_inches > 6
-             AS requires_attention,
-           CASE WHEN fill_percentage < 0.95::DOUBLE AND fill_percentage > 0
-                THEN CAST(trunc((0.95::DOUBLE - fill_percentage) * volume_barrels / fill_percentage) AS INTEGER)
-                WHEN fill_percentage >= 0.95::DOUBLE THEN 0 END AS available_capacity_barrels
+SILVER_TANKS = f"""
+    SELECT *, {B.BAND} AS inventory_status, {B.NEEDS_LOOK} AS requires_attention,
+           {B.ROOM} AS available_capacity_barrels
     FROM tank_inventory WHERE volume_barrels >= 0 AND fill_percentage BETWEEN 0 AND 1"""
 
 
@@ -92,13 +85,10 @@ def gold_alerts(t: Tables):
 HEALTH = f"""
     SELECT u.unit_id, u.unit_name, u.unit_type, u.refinery_id, r.refinery_name, s.reading_date,
            greatest(0::DOUBLE, 100 - s.rate * 500 - s.volatility / 10) AS health_score,
-           CAST(date_diff('day', u.last_maintenance_date, DATE '{B.AS_OF_READINGS}') AS INTEGER)
-             AS days_since_maintenance,
+           CAST(DATE '{B.AS_OF_READINGS}' - u.last_maintenance_date AS INTEGER) AS days_since_maintenance,
            u.maintenance_interval_days,
-           CASE WHEN date_diff('day', u.last_maintenance_date, DATE '{B.AS_OF_READINGS}')
-                     > u.maintenance_interval_days THEN 'OVERDUE'
-                WHEN date_diff('day', u.last_maintenance_date, DATE '{B.AS_OF_READINGS}')
-                     > u.maintenance_interval_days * 0.9::DOUBLE THEN 'DUE_SOON' ELSE 'OK' END AS maintenance_status
+           {B.due(f"(DATE '{B.AS_OF_READINGS}' - u.last_maintenance_date)", "u.maintenance_interval_days")}
+             AS maintenance_status
     FROM maintained_units u LEFT JOIN scores s ON s.unit_id = u.unit_id
     LEFT JOIN sites r ON r.refinery_id = u.refinery_id"""
 HEALTH_CTES = dict(
@@ -173,12 +163,10 @@ LATEST_TANKS = """SELECT * FROM clean QUALIFY row_number() OVER (
                   PARTITION BY tank_id ORDER BY measurement_timestamp DESC, inventory_id DESC) = 1"""
 
 
-@query("gold_inventory_a", with_bound("""
+@query("gold_inventory_a", with_bound(f"""
     SELECT n.tank_id, k.tank_name, n.refinery_id, n.product_type, n.volume_barrels, k.capacity_barrels,
            n.fill_percentage, n.volume_barrels / k.capacity_barrels AS capacity_utilization, n.inventory_status,
-           CASE WHEN n.fill_percentage < k.min_operating_level THEN 'BELOW_MIN'
-                WHEN n.fill_percentage > k.max_operating_level THEN 'ABOVE_MAX' ELSE 'WITHIN_RANGE' END
-             AS operating_status,
+           {B.OPERATING} AS operating_status,
            n.requires_attention, n.available_capacity_barrels, n.temperature_f, n.water_bottom_inches,
            n.measurement_timestamp
     FROM newest n LEFT JOIN tanks k ON k.tank_id = n.tank_id""", "tank_inventory", "tanks",
@@ -187,13 +175,10 @@ def gold_inventory_a(t: Tables):
     return G.inventory_status_view(S.silver_tank_inventory(B.tank_inventory(t.events), stamp=False), B.tanks(t.events))
 
 
-@query("gold_inventory_b", with_bound("""
+@query("gold_inventory_b", with_bound(f"""
     SELECT k.tank_id, k.tank_name, k.refinery_id, r.refinery_name, k.product_type, k.capacity_barrels,
            n.volume_barrels AS current_volume, n.fill_percentage, n.measurement_timestamp AS last_measured,
-           CASE WHEN n.fill_percentage < k.min_operating_level THEN 'CRITICALLY_LOW'
-                WHEN n.fill_percentage < 0.25::DOUBLE THEN 'LOW'
-                WHEN n.fill_percentage > k.max_operating_level THEN 'OVER_FILLED'
-                WHEN n.fill_percentage > 0.85::DOUBLE THEN 'NEAR_CAPACITY' ELSE 'NORMAL' END AS inventory_status
+           {B.OWN_BAND} AS inventory_status
     FROM tanks k JOIN newest n ON n.tank_id = k.tank_id JOIN sites r ON r.refinery_id = k.refinery_id
     WHERE k.is_active""", "tank_inventory", "tanks", "sites", clean=SILVER_TANKS, newest=LATEST_TANKS))
 def gold_inventory_b(t: Tables):

@@ -94,9 +94,9 @@ def range_flag_strict(t: Tables):
 
 @query("quality_label", limited_sql("""
     SELECT reading_id,
-           CASE WHEN reading_value <= critical_low OR reading_value >= critical_high THEN 'BAD'
-                WHEN reading_value <= warning_low OR reading_value >= warning_high THEN 'UNCERTAIN'
-                ELSE 'GOOD' END AS quality
+           CASE WHEN reading_value > warning_low AND reading_value < warning_high OR reading_value IS NULL THEN 'GOOD'
+                WHEN reading_value > critical_low AND reading_value < critical_high THEN 'UNCERTAIN'
+                ELSE 'BAD' END AS quality
     FROM limited"""))
 def quality_label(t: Tables):
     return limited_readings(t).select("reading_id", R.quality_label("reading_value", *SENSOR_LIMITS).alias("quality"))
@@ -111,30 +111,21 @@ def clamp_range(t: Tables):
         "reading_id", R.clamp("reading_value", "warning_low", "warning_high").alias("clamped"))
 
 
-@query("fill_band", with_bound("""
-    SELECT inventory_id,
-           CASE WHEN fill_percentage < 0.10::DOUBLE THEN 'CRITICALLY_LOW' WHEN fill_percentage < 0.25::DOUBLE THEN 'LOW'
-                WHEN fill_percentage > 0.95::DOUBLE THEN 'OVER_FILLED'
-                WHEN fill_percentage > 0.85::DOUBLE THEN 'NEAR_CAPACITY' ELSE 'NORMAL' END AS band
-    FROM tank_inventory""", "tank_inventory"))
+@query("fill_band", with_bound(f"SELECT inventory_id, {B.BAND} AS band FROM tank_inventory", "tank_inventory"))
 def fill_band(t: Tables):
     return B.tank_inventory(t.events).select("inventory_id", R.fill_band("fill_percentage").alias("band"))
 
 
-@query("attention_flag", with_bound("""
-    SELECT inventory_id, fill_percentage < 0.15::DOUBLE OR fill_percentage > 0.92::DOUBLE OR water_bottom_inches > 6
-           AS requires_attention FROM tank_inventory""", "tank_inventory"))
+@query("attention_flag", with_bound(
+    f"SELECT inventory_id, {B.NEEDS_LOOK} AS requires_attention FROM tank_inventory", "tank_inventory"))
 def attention_flag(t: Tables):
     return B.tank_inventory(t.events).select(
         "inventory_id", R.needs_attention("fill_percentage", "water_bottom_inches").alias("requires_attention"))
 
 
-@query("available_capacity", with_bound("""
-    SELECT inventory_id,
-           CASE WHEN fill_percentage < 0.95::DOUBLE
-                THEN CAST(trunc((0.95::DOUBLE - fill_percentage) * volume_barrels / fill_percentage) AS INTEGER)
-                ELSE 0 END AS available_capacity_barrels
-    FROM tank_inventory WHERE fill_percentage > 0""", "tank_inventory"))
+@query("available_capacity", with_bound(
+    f"SELECT inventory_id, {B.ROOM} AS available_capacity_barrels FROM tank_inventory WHERE fill_percentage > 0",
+    "tank_inventory"))
 def available_capacity(t: Tables):
     return B.tank_inventory(t.events).where("fill_percentage > 0").select(
         "inventory_id", R.available_capacity("fill_percentage", "volume_barrels").alias("available_capacity_barrels"))
@@ -148,23 +139,15 @@ def tank_rows(t: Tables):
 TANK_ROWS = "tank_inventory i LEFT JOIN tanks k ON i.tank_id = k.tank_id"
 
 
-@query("operating_status", with_bound(f"""
-    SELECT i.inventory_id, CASE WHEN fill_percentage < min_operating_level THEN 'BELOW_MIN'
-                                WHEN fill_percentage > max_operating_level THEN 'ABOVE_MAX'
-                                ELSE 'WITHIN_RANGE' END AS operating_status
-    FROM {TANK_ROWS}""", "tank_inventory", "tanks"))
+@query("operating_status", with_bound(
+    f"SELECT i.inventory_id, {B.OPERATING} AS operating_status FROM {TANK_ROWS}", "tank_inventory", "tanks"))
 def operating_status(t: Tables):
     return tank_rows(t).select("inventory_id", R.operating_status(
         "fill_percentage", "min_operating_level", "max_operating_level").alias("operating_status"))
 
 
-@query("inventory_status", with_bound(f"""
-    SELECT i.inventory_id, CASE WHEN fill_percentage < min_operating_level THEN 'CRITICALLY_LOW'
-                                WHEN fill_percentage < 0.25::DOUBLE THEN 'LOW'
-                                WHEN fill_percentage > max_operating_level THEN 'OVER_FILLED'
-                                WHEN fill_percentage > 0.85::DOUBLE THEN 'NEAR_CAPACITY'
-                                ELSE 'NORMAL' END AS inventory_status
-    FROM {TANK_ROWS}""", "tank_inventory", "tanks"))
+@query("inventory_status", with_bound(
+    f"SELECT i.inventory_id, {B.OWN_BAND} AS inventory_status FROM {TANK_ROWS}", "tank_inventory", "tanks"))
 def inventory_status(t: Tables):
     return tank_rows(t).select("inventory_id", R.inventory_status(
         "fill_percentage", "min_operating_level", "max_operating_level").alias("inventory_status"))
@@ -175,8 +158,7 @@ def inventory_status(t: Tables):
     aged AS (SELECT c_custkey AS unit_id, 200 + (c_custkey % 5) * 60 AS interval_days,
                     date_diff('day', last_day, DATE '{B.AS_OF_ORDERS}') AS age
              FROM customer LEFT JOIN last ON o_custkey = c_custkey)
-    SELECT unit_id, CASE WHEN age > interval_days THEN 'OVERDUE' WHEN age > interval_days * 0.9::DOUBLE THEN 'DUE_SOON'
-                         ELSE 'OK' END AS maintenance_status FROM aged""")
+    SELECT unit_id, if(age IS NULL, 'OK', {B.due("age", "interval_days")}) AS maintenance_status FROM aged""")
 def maintenance_status(t: Tables):
     last = t.orders.groupBy("o_custkey").agg(F.max(F.to_date("o_orderdate")).alias("last_day"))
     rows = enrich_left(t.customer.select("c_custkey"), last, {"c_custkey": "o_custkey"}, ["last_day"])

@@ -94,10 +94,10 @@ def bronze_projected(t: Tables):
     return read_table(t.spark, dst)
 
 
-@query("bronze_tenant", "SELECT *, 'coastal' AS tenant FROM events")
+@query("bronze_tenant", "SELECT *, 'tenant_b' AS tenant FROM events")
 def bronze_tenant(t: Tables):
     dst = fresh_dir(t.spark, "tenant")
-    return ingest_table(t.spark, t.path("events"), dst, f"{dst}-checkpoint", tenant="coastal")
+    return ingest_table(t.spark, t.path("events"), dst, f"{dst}-checkpoint", tenant="tenant_b")
 
 
 FEED = with_bound("""SELECT reading_id, sensor_id, unit_id, reading_timestamp, reading_value FROM readings""", "readings")
