@@ -1,4 +1,4 @@
-"""Catalogue of the pipeline's datasets and how each is refreshed.
+"""Catalogue of the plant datasets and how each is refreshed.
 
 Bronze and silver tables are append-only streams with a checkpoint each; gold
 views are recomputed from the silver tables. Functions are called in order by
