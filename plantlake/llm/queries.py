@@ -86,7 +86,7 @@ SQL: dict[str, str] = {
         gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN first USING (k) WHERE m < doc_id),
         per AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
         SELECT doc_id, len(ws) AS n_words, coalesce(len(ps), 0) AS n_removed,
-            sha256(coalesce(array_to_string(list_filter(ws, (x, i) -> NOT list_contains(coalesce(ps, []), i)), ' '), '')) AS kept_sha256
+            sha256(coalesce(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' '), '')) AS kept_sha256
         FROM w LEFT JOIN per USING (doc_id)""",
     "op7_winnowing": f"""
         WITH w AS (SELECT doc_id, {_MARKED.format(text="text")} AS ws FROM documents),
@@ -104,7 +104,7 @@ SQL: dict[str, str] = {
     "op9_lsh_forest": f"""
         WITH RECURSIVE w AS (SELECT doc_id, {_SPACED.format(text=_LOWER.format(text="text"))} AS ws FROM documents),
         s AS (SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws
-                ELSE list_distinct(list_transform(range(1, len(ws)), i -> ws[i] || ' ' || ws[i + 1])) END AS g FROM w),
+                ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS g FROM w),
         n AS (SELECT doc_id, len(g) AS n_shingles, hash(list_sort(g)) AS h FROM s),
         rep AS (SELECT h, n_shingles AS n, min(doc_id) AS r FROM n WHERE n_shingles > 0 GROUP BY ALL),
         x AS (SELECT r, n, unnest(g) AS g FROM rep JOIN s ON r = s.doc_id),
