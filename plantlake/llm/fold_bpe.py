@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked
 from plantlake.llm.heap_bpe import merges
-from plantlake.llm.spans import span_hashes, units
+from plantlake.llm.spans import distinct, span_hashes, units
 
 FOLD_BYTES = 64
 #: Small maps that the rank map is dealt into.
@@ -117,7 +117,7 @@ class RankPairs:
 def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs) -> tuple:
     """Documents, words and the word numbers of each text."""
     buf, starts, ends, first = units(texts)
-    keys, at, each = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    keys, at, each = distinct(span_hashes(buf, starts, ends))
     data, number, split = buf.tobytes(), {}, []
     for j in at:
         split.append([number.setdefault(w, len(number)) for w in pattern.findall(data[starts[j]:ends[j]].decode())])

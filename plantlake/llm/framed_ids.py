@@ -27,6 +27,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plantlake.llm.common import packed, steps, unpacked, written
 from plantlake.llm.ranges import id_bounds, part_of, storage
-from plantlake.llm.spans import span_hashes, units
+from plantlake.llm.spans import distinct, span_hashes, units
 from plantlake.session import fresh_dir
 
 NULL_ID = -(1 << 63)
@@ -44,7 +45,7 @@ SKIPPABLE, END = 0x184D2A5E, b"FRMTABLE"
 ENTRY = struct.Struct("<QQQqqQQQ")
 #: Ids per frame at least, unless the file ends.
 FRAME_IDS = 1 << 18
-REMEMBERED = 800_000
+REMEMBERED = 1_300_000
 
 
 class Encoder:
@@ -58,10 +59,28 @@ class Encoder:
         special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile(b"|".join(map(re.escape, special))) if special else None
         self.units: dict[int, bytes] = {}
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)  # byte-level vocabularies write one letter per byte
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes()
-                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of units that each are one space and further letters: they split the same side by
+        side, so the library gets many at once, and token lengths tell where each ends."""
+        texts = [b"".join(pieces[k:k + 64]).decode() for k in range(0, len(pieces), 64)]
+        ids = array("I")
+        for e in self.library.encode_batch_fast(texts, add_special_tokens=False):
+            ids.extend(e.ids)
+        flat = np.frombuffer(ids, np.uint32) if len(ids) else np.empty(0, np.uint32)
+        at, ends = np.cumsum(self.bytes_of[flat]), np.cumsum([len(p) for p in pieces])
+        cuts = np.searchsorted(at, ends)
+        if len(cuts) and (cuts[-1] >= len(at) or not np.array_equal(at[cuts], ends)):
+            return self.whole([p.decode() for p in pieces])
+        data, stops = flat.tobytes(), ((cuts + 1) * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         odd = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
@@ -69,15 +88,17 @@ class Encoder:
         for i in odd:  # special strings are no units; the library takes these texts whole
             plain[i] = b""
         buf, starts, ends, first = units(plain)
-        keys, at, each = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        keys, at, each = distinct(span_hashes(buf, starts, ends))
         if len(self.units) > REMEMBERED:
             self.units.clear()
         known, names, data = self.units, keys.tolist(), buf.tobytes()
         new = [(key, at[i]) for i, key in enumerate(names) if key not in known]
         for k in range(0, len(new), 4096):
-            some = new[k:k + 4096]
-            ids = self.whole([data[starts[j]:ends[j]].decode() for _, j in some])
-            known.update(zip((key for key, _ in some), ids))
+            some = [(key, data[starts[j]:ends[j]]) for key, j in new[k:k + 4096]]
+            spaced = [x for x in some if x[1][:1] == b" " and x[1][1:2] > b" "]
+            known.update(zip((key for key, _ in spaced), self.together([p for _, p in spaced])))
+            others = [x for x in some if x[0] not in known]
+            known.update(zip((key for key, _ in others), self.whole([p.decode() for _, p in others])))
         found = [known[key] for key in names]
         pool = np.frombuffer(b"".join(found), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from plantlake.llm.common import steps
-from plantlake.llm.spans import span_hashes, units
+from plantlake.llm.spans import distinct, span_hashes, units
 
 #: Units whose counts a worker keeps; beyond it the memory starts anew. Results don't depend on it.
 REMEMBERED = 1_000_000
@@ -109,7 +109,7 @@ def count_step(texts: list[bytes], vocabulary: Vocabulary) -> np.ndarray:
         owner = np.repeat(owner, [len(some) for some in cut])
         extra = np.array([len(some) - 1 for some in cut], np.int64)
     buf, starts, ends, first = units(parts)
-    keys, at, each = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    keys, at, each = distinct(span_hashes(buf, starts, ends))
     known, data = vocabulary.units, buf.tobytes()
     if len(known) > REMEMBERED:
         known.clear()

@@ -72,6 +72,17 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return out
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(ascending distinct keys, a place of each, number of each key's distinct one)``."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
+
+
 def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hash of every run of ``length`` neighbours in an array of word hashes."""
     n = len(words) - length + 1
