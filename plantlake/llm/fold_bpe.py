@@ -14,6 +14,10 @@ A byte is written as the letter of the same number, so byte arrays are strings i
 The fold looks at every pair for every merge. Words of over ``FOLD_BYTES`` bytes are therefore
 merged with a heap in step 1, by the same rule. Vocabulary files are read on the driver.
 
+Most shards share most of their words. The most frequent words of a sample of texts are therefore
+folded first and travel with the job, ``SEED_WORDS`` of them at most from about ``SEED_DOCS``
+texts; shards fold just the words that are not among them. Results don't depend on the sample.
+
 Null and empty texts give no ids. Null and repeated doc ids pass through, row by row. Further
 columns are kept only on request (``keep``); special strings are ordinary text.
 """
@@ -24,6 +28,7 @@ import base64
 import hashlib
 import json
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,7 @@ FOLD_BYTES = 64
 MAPS = 8192
 #: Bytes of text in a shard, unless one text is longer.
 SHARD = 32 << 20
+SEED_WORDS, SEED_DOCS = 600_000, 25_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -114,8 +120,8 @@ class RankPairs:
         return [s for s in symbols if s >= 0]
 
 
-def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs) -> tuple:
-    """Documents, words and the word numbers of each text."""
+def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs, seeds: dict[str, list[int]]) -> tuple:
+    """Documents, words to fold, ids of the other words, and the word numbers of each text."""
     buf, starts, ends, first = units(texts)
     keys, at, each = distinct(span_hashes(buf, starts, ends))
     data, number, split = buf.tobytes(), {}, []
@@ -127,9 +133,48 @@ def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs)
     stop = np.cumsum(lengths)
     codes = pool[np.repeat(begin[each] - (stop - lengths), lengths) + np.arange(stop[-1] if len(stop) else 0)]
     edges = np.concatenate([np.zeros(1, np.int64), stop])[first]
-    raw = [w.encode() for w in number]
-    return (to_ipc(batch), packed(edges), packed(codes), [w.decode("latin-1") if len(w) <= FOLD_BYTES else None for w in raw],
-            [pairs.ids(w) if len(w) > FOLD_BYTES else None for w in raw])
+    letters = [w.encode().decode("latin-1") for w in number]
+    known = [seeds.get(w) if len(w) <= FOLD_BYTES else pairs.ids(w.encode("latin-1")) for w in letters]
+    return to_ipc(batch), packed(edges), packed(codes), [w if k is None else None for w, k in zip(letters, known)], known
+
+
+_SEEDS: dict[str, dict[str, list[int]]] = {}
+
+
+def _seeds(data: bytes, digest: str) -> dict[str, list[int]]:
+    """Words folded ahead; a Python worker unpacks them once."""
+    if digest not in _SEEDS:
+        _SEEDS.clear()
+        batch = from_ipc(data)
+        _SEEDS[digest] = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+    return _SEEDS[digest]
+
+
+def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
+    """Ids of the most frequent words of a sample of the texts."""
+    total = source.count()
+    share = min(1.0, SEED_DOCS / max(total, 1))
+    sample = source.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select("text")
+
+    def count(batches):
+        find = regex.compile(pattern)
+        for batch, texts in merged(batches, SHARD):
+            buf, starts, ends, _ = units(texts)
+            _, at, each = distinct(span_hashes(buf, starts, ends))
+            data, n = buf.tobytes(), Counter()
+            for j, k in zip(at, np.bincount(each, minlength=len(at)).tolist()):
+                for w in find.findall(data[starts[j]:ends[j]].decode()):
+                    n[w] += k
+            rows = [(w.encode().decode("latin-1"), k) for w, k in n.items() if len(w.encode()) <= FOLD_BYTES]
+            for i in range(0, len(rows), 50_000):
+                some = rows[i:i + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some]), pa.array([k for _, k in some], pa.int64())], names=["word", "n"])
+
+    words = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    chosen = words.orderBy(F.desc("n"), "word").limit(SEED_WORDS).select("word")
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    table = chosen.repartition(parts, "word").select("word", codec.encode(F.col("word")).alias("ids")).toArrow()
+    return to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
 
 
 _SHARD = pa.schema([("docs", pa.binary()), ("edges", pa.binary()), ("codes", pa.binary()),
@@ -144,10 +189,13 @@ def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] |
     codec = Codec(ranks)
     source = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], docs["text"].cast("string").alias("text"))
 
+    ahead = fold_ahead(source, codec, pattern)
+    digest = hashlib.sha256(ahead).hexdigest()
+
     def shards(batches):
-        find, pairs = regex.compile(pattern), RankPairs(ranks)
+        find, pairs, seeds = regex.compile(pattern), RankPairs(ranks), _seeds(ahead, digest)
         for batch, texts in merged(batches, SHARD):
-            columns = _shard(batch.select(range(len(keep))), texts, find, pairs)
+            columns = _shard(batch.select(range(len(keep))), texts, find, pairs, seeds)
             yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, _SHARD)], schema=_SHARD)
 
     def documents(batches):
