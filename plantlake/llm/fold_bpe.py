@@ -28,6 +28,7 @@ import base64
 import hashlib
 import json
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -35,7 +36,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked
+from plantlake.llm.common import STEP, from_ipc, merged, packed, to_ipc, unpacked
 from plantlake.llm.heap_bpe import merges
 from plantlake.llm.spans import distinct, span_hashes, units
 
@@ -44,7 +45,7 @@ FOLD_BYTES = 64
 MAPS = 8192
 #: Bytes of text in a shard, unless one text is longer.
 SHARD = 32 << 20
-SEED_WORDS, SEED_DOCS = 600_000, 25_000
+SEED_WORDS, SEED_DOCS = 300_000, 25_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -120,33 +121,62 @@ class RankPairs:
         return [s for s in symbols if s >= 0]
 
 
-def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs, seeds: dict[str, list[int]]) -> tuple:
-    """Documents, words to fold, ids of the other words, and the word numbers of each text."""
-    buf, starts, ends, first = units(texts)
-    keys, at, each = distinct(span_hashes(buf, starts, ends))
-    data, number, split = buf.tobytes(), {}, []
-    for j in at:
-        split.append([number.setdefault(w, len(number)) for w in pattern.findall(data[starts[j]:ends[j]].decode())])
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    pool = np.fromiter((n for some in split for n in some), np.int32, int(sizes.sum()))
-    begin, lengths = np.cumsum(sizes) - sizes, sizes[each]
-    stop = np.cumsum(lengths)
-    codes = pool[np.repeat(begin[each] - (stop - lengths), lengths) + np.arange(stop[-1] if len(stop) else 0)]
-    edges = np.concatenate([np.zeros(1, np.int64), stop])[first]
-    letters = [w.encode().decode("latin-1") for w in number]
-    known = [seeds.get(w) if len(w) <= FOLD_BYTES else pairs.ids(w.encode("latin-1")) for w in letters]
-    return to_ipc(batch), packed(edges), packed(codes), [w if k is None else None for w, k in zip(letters, known)], known
-
-
-_SEEDS: dict[str, dict[str, list[int]]] = {}
-
-
-def _seeds(data: bytes, digest: str) -> dict[str, list[int]]:
+def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs, seeds: dict[str, bytes]) -> pa.RecordBatch:
+    """Documents, words to fold, ids of the other words, and the word numbers of each text. Texts
+    are cut a step at a time; a unit is split into words once per shard."""
+    number: dict[str, int] = {}
+    split: dict[int, np.ndarray] = {}
+    codes, edges = [], [np.zeros(1, np.int64)]
+    i = total = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and size < STEP:
+            size += len(texts[j])
+            j += 1
+        buf, starts, ends, first = units(texts[i:j])
+        keys, at, each = distinct(span_hashes(buf, starts, ends))
+        data, own = buf.tobytes(), []
+        for key, place in zip(keys.tolist(), at.tolist()):
+            words = split.get(key)
+            if words is None:
+                words = split[key] = array("i", [number.setdefault(w, len(number)) for w in pattern.findall(data[starts[place]:ends[place]].decode())]).tobytes()
+            own.append(words)
+        pool = np.frombuffer(b"".join(own), np.int32)
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        begin, lengths = np.cumsum(sizes) - sizes, sizes[each]
+        stop = np.cumsum(lengths)
+        codes.append(pool[np.repeat(begin[each] - (stop - lengths), lengths) + np.arange(stop[-1] if len(stop) else 0)])
+        edges.append(total + np.concatenate([np.zeros(1, np.int64), stop])[first[1:]])
+        total += len(codes[-1])
+        i = j
+    del split
+    letters, known = [], []
+    for w in number:
+        raw = w.encode()
+        name = raw.decode("latin-1")
+        ids = seeds.get(name) if len(raw) <= FOLD_BYTES else array("i", pairs.ids(raw)).tobytes()
+        letters.append(name if ids is None else None)
+        known.append(ids)
+    lists = np.cumsum([0, *(len(k) // 4 if k else 0 for k in known)])
+    ids = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(np.frombuffer(b"".join(k for k in known if k), np.int32)),
+                                   mask=pa.array([k is None for k in known]))
+    one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([to_ipc(batch)]), pa.array([packed(np.concatenate(edges))]), pa.array([packed(np.concatenate(codes) if codes else np.empty(0, np.int32))]),
+         one(pa.array(letters, pa.string())), one(ids)], names=["docs", "edges", "codes", "words", "long"])
+
+
+_SEEDS: dict[str, dict[str, bytes]] = {}
+
+
+def _seeds(data: bytes, digest: str) -> dict[str, bytes]:
     """Words folded ahead; a Python worker unpacks them once."""
     if digest not in _SEEDS:
         _SEEDS.clear()
         batch = from_ipc(data)
-        _SEEDS[digest] = dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        ids = batch.column(1)
+        raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), ids.offsets.to_pylist()
+        _SEEDS[digest] = {w: raw[4 * a:4 * b] for w, a, b in zip(batch.column(0).to_pylist(), at, at[1:])}
     return _SEEDS[digest]
 
 
@@ -158,7 +188,7 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
 
     def count(batches):
         find = regex.compile(pattern)
-        for batch, texts in merged(batches, SHARD):
+        for batch, texts in merged(batches, STEP):
             buf, starts, ends, _ = units(texts)
             _, at, each = distinct(span_hashes(buf, starts, ends))
             data, n = buf.tobytes(), Counter()
@@ -177,10 +207,6 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
     return to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
 
 
-_SHARD = pa.schema([("docs", pa.binary()), ("edges", pa.binary()), ("codes", pa.binary()),
-                    ("words", pa.list_(pa.string())), ("long", pa.list_(pa.list_(pa.int32())))])
-
-
 def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] | None = None) -> DataFrame:
     """Encode every text and decode the ids. Gives the columns ``keep`` (default ``doc_id``) and
     ``n_tokens, ids_sha256, decoded_sha256, ids`` (little-endian u32) and ``decoded`` (bytes)."""
@@ -195,8 +221,7 @@ def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] |
     def shards(batches):
         find, pairs, seeds = regex.compile(pattern), RankPairs(ranks), _seeds(ahead, digest)
         for batch, texts in merged(batches, SHARD):
-            columns = _shard(batch.select(range(len(keep))), texts, find, pairs, seeds)
-            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(columns, _SHARD)], schema=_SHARD)
+            yield _shard(batch.select(range(len(keep))), texts, find, pairs, seeds)
 
     def documents(batches):
         for batch in batches:
