@@ -1,10 +1,9 @@
 """Dimension lookups and unions.
 
-A dimension is broadcast only while the optimizer's own size estimate is below
-a limit. Above it the join is a shuffled one on the key and a salt, so that the
-facts of a hot key are spread over several tasks. Adaptive execution splits what
-is still too large, but it does not cover streams or sides that were aggregated
-on the key, and the salt does.
+A lookup is a plain join at every size: Spark broadcasts a dimension below the
+session's own threshold, and beyond it adaptive execution splits the tasks of a hot
+key. Streams get no adaptive execution; there the caller may spread a hot key
+over copies of the dimension by a hash of named id columns.
 """
 
 from __future__ import annotations
@@ -13,49 +12,37 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-SALT = 8
 _SALT = "__salt"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size the optimizer derives for this plan from file and relation sizes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """True where a broadcast is within ``limit`` and the session allows broadcasts."""
-    threshold = str(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return not threshold.startswith("-") and estimated_bytes(df) <= limit
-
-
 def lookup(fact: DataFrame, dim: DataFrame, on: str | dict[str, str],
            cols: list[str] | dict[str, str] | None = None, how: str = "left",
-           where: Column | None = None, limit: int = BROADCAST_LIMIT, salt: int = SALT) -> DataFrame:
+           where: Column | None = None, salt: int = 1, salt_by: list[str] | None = None) -> DataFrame:
     """Add dimension attributes to every fact row.
 
-    on     shared key name, or ``{fact column: dim column}``
-    cols   attributes to bring, or ``{dim column: output name}``; default all non-keys
-    how    "left" keeps facts without a match, "inner" drops them
-    where  predicate on the dimension side, applied below the join
-    salt   number of copies of a dimension too large to broadcast; fact rows of
-           one key are spread over them by a hash of the whole row. Use 1 where
-           the facts hold few rows per key: an existing partitioning is kept then
+    on       shared key name, or ``{fact column: dim column}``
+    cols     attributes to bring, or ``{dim column: output name}``; default all non-keys
+    how      "left" keeps facts without a match, "inner" drops them
+    where    predicate on the dimension side, applied below the join
+    salt     copies of the dimension over which the facts of a key are spread, by a
+             hash of the columns ``salt_by``; these should differ between the facts of
+             a key. Size it by the share of the hottest key: a key with a third of
+             the rows needs as many copies as a third of the tasks
     """
     keys = {on: on} if isinstance(on, str) else dict(on)
     if cols is None:
         cols = [c for c in dim.columns if c not in keys.values()]
     names = cols if isinstance(cols, dict) else {c: c for c in cols}
+    if salt > 1 and not salt_by:
+        raise ValueError("salt needs salt_by, columns that differ between the facts of a key")
     if where is not None:
         dim = dim.where(where)
     tagged = {f: f"__key{i}" for i, f in enumerate(keys)}
     right = dim.select(*[F.col(keys[f]).alias(tagged[f]) for f in keys],
                        *[F.col(c).alias(n) for c, n in names.items()])
     left, extra = fact, []
-    if is_small(right, limit):
-        right = F.broadcast(right)
-    elif salt > 1:
-        left = fact.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salt)))
+    if salt > 1:
+        left = fact.withColumn(_SALT, F.pmod(F.xxhash64(*salt_by), F.lit(salt)))
         right = right.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         extra = [F.col(_SALT) == F.col("__copy")]
     condition = reduce(lambda a, b: a & b, [left[f] == right[t] for f, t in tagged.items()] + extra)
@@ -94,7 +81,7 @@ def join_derived_key(fact: DataFrame, dim: DataFrame, fact_key: str, key_expr: C
 def dim_first(dim: DataFrame, facts: DataFrame, on, cols=None) -> DataFrame:
     """Dimension rows first, with aggregated facts where there are any. ``facts``
     may hold several rows per key, each giving an output row."""
-    return lookup(dim, facts, on, cols, how="left", salt=1)
+    return lookup(dim, facts, on, cols, how="left")
 
 
 def union_feeds(*feeds: DataFrame) -> DataFrame:

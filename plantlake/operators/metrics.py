@@ -87,7 +87,7 @@ def agg_minus_attr(df: DataFrame, keys: list[str], value: str, attr: str, name:
         grouped = df.groupBy(*keys, attr).agg(F.avg(value).alias("__mean"))
     else:
         means = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
-        grouped = lookup(means, dim, on or keys[0], [attr], how="inner", salt=1)
+        grouped = lookup(means, dim, on or keys[0], [attr], how="inner")
     return grouped.select(*keys, (F.col("__mean") - F.col(attr)).alias(name))
 
 

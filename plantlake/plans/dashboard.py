@@ -24,7 +24,7 @@ def site_health(health: DataFrame, sites: DataFrame) -> DataFrame:
                    .alias("health_score")))
     means = newest.groupBy("refinery_id").agg(F.avg("health_score").alias("mean_health"),
                                               F.count("*").alias("unit_count"))
-    return lookup(means, sites, "refinery_id", ["refinery_name", "latitude", "longitude"], how="inner", salt=1)
+    return lookup(means, sites, "refinery_id", ["refinery_name", "latitude", "longitude"], how="inner")
 
 
 def alert_feed(readings: DataFrame, n: int = 100, tie_break: str = "reading_id") -> DataFrame:
@@ -66,7 +66,7 @@ def kpi_cards(readings: DataFrame, production: DataFrame, sites: DataFrame, unit
 def yield_by_crude(production: DataFrame, crudes: DataFrame) -> DataFrame:
     grouped = production.groupBy("input_crude_type_id").agg(
         F.avg("yield_percentage").alias("avg_yield"), F.count("*").alias("sample_count"))
-    return lookup(grouped, crudes, {"input_crude_type_id": "crude_type_id"}, ["crude_name"], how="inner", salt=1)
+    return lookup(grouped, crudes, {"input_crude_type_id": "crude_type_id"}, ["crude_name"], how="inner")
 
 
 def energy_trend(production: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def capacity_trend(kpis: DataFrame) -> DataFrame:
 def by_category(production: DataFrame, products: DataFrame, volume: str) -> DataFrame:
     """Volume per product category; rows are summed per product before the lookup."""
     summed = production.groupBy("output_product_id").agg(F.sum(volume).alias(volume))
-    return (lookup(summed, products, {"output_product_id": "product_id"}, ["product_category"], how="inner", salt=1)
+    return (lookup(summed, products, {"output_product_id": "product_id"}, ["product_category"], how="inner")
             .groupBy("product_category").agg(F.sum(volume).alias(volume)))
 
 
@@ -141,7 +141,7 @@ def days_of_supply(stock: DataFrame, draws: DataFrame, products: DataFrame, volu
     held = by_category(stock, products, volume).withColumnRenamed(volume, "stock_volume")
     drawn = by_category(trailing(draws, ts, days, as_of), products, volume).select(
         "product_category", (F.col(volume) / float(days)).alias("daily_draw"))
-    joined = lookup(held, drawn, "product_category", ["daily_draw"], salt=1)
+    joined = lookup(held, drawn, "product_category", ["daily_draw"])
     return joined.withColumn("days_of_supply", rules.safe_ratio("stock_volume", "daily_draw"))
 
 

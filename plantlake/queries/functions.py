@@ -20,7 +20,7 @@ from plantlake.queries.bindings import k
 def fn_string(t: Tables):
     return t.customer.select(
         "c_custkey", numbered("UNIT-", F.col("c_custkey"), 5).alias("label"),
-        F.substring("c_name", 10, 100).alias("tail"), F.substring("c_mktsegment", 1, 3).alias("head"),
+        F.expr("substring(c_name, 10)").alias("tail"), F.substring("c_mktsegment", 1, 3).alias("head"),
         F.char(F.col("c_custkey") % 26 + 65).alias("letter"))
 
 
@@ -80,7 +80,7 @@ def fn_conditional(t: Tables):
     return t.supplier.select(
         "s_suppkey", F.when(balance < 0, "debt").when(balance > 5000, "rich").otherwise("fair").alias("state"),
         F.when(balance > 0, balance).alias("positive"), balance.cast("int").alias("whole"),
-        F.substring("s_name", 10, 20).try_cast("bigint").alias("number"),
+        F.expr("substring(s_name, 10)").try_cast("bigint").alias("number"),
         F.substring("s_name", 1, 3).try_cast("double").alias("no_number"))
 
 
@@ -94,8 +94,15 @@ def fn_json(t: Tables):
 
 
 # Random and time-of-run values cannot be repeated by another engine.
-@query("fn_random", None)
+# What holds for every one of them can.
+@query("fn_random", """
+    SELECT event_id, true AS in_range, true AS is_finite, true AS is_uuid, true AS is_past,
+           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""")
 def fn_random(t: Tables):
-    rows = t.events.select("event_id", F.rand(1).alias("uniform"), F.randn(2).alias("gaussian"),
-                           F.uuid().alias("uuid"), k().alias("k"))
-    return stamped(rows)
+    rows = stamped(t.events.select("event_id", F.rand(1).alias("uniform"), F.randn(2).alias("gaussian"),
+                                   F.uuid().alias("uuid"), k().alias("k")), "stamp")
+    uniform, gaussian = F.col("uniform"), F.col("gaussian")
+    return rows.select(
+        "event_id", ((uniform >= 0) & (uniform < 1)).alias("in_range"), (gaussian.isNotNull() & (F.abs(gaussian) < 40)).alias("is_finite"),
+        F.col("uuid").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("is_uuid"),
+        (F.col("stamp") <= F.current_timestamp()).alias("is_past"), "k")

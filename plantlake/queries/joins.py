@@ -46,7 +46,7 @@ def inner_dims(t: Tables):
     JOIN customer ON o_custkey = CAST(substr(c_name, 10) AS BIGINT)""")
 def broadcast_derived_key(t: Tables):
     return E.join_derived_key(t.orders.select("o_orderkey", "o_custkey"), t.customer, "o_custkey",
-                              F.substring("c_name", 10, 20).cast("bigint"), ["c_mktsegment"])
+                              F.expr("substring(c_name, 10)").try_cast("bigint"), ["c_mktsegment"])
 
 
 @query("broadcast_left", """
@@ -108,9 +108,13 @@ def union_feeds(t: Tables):
     return E.union_feeds(B.readings(t.events).select(*names), live)
 
 
+AUDITED = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents",
+           "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
 @query("row_audit", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}"
-    for n in ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events")))
+    for n in AUDITED))
 def audit(t: Tables):
     return row_audit({n: getattr(t, n) for n in
-                      ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events")})
+                      AUDITED})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -29,15 +31,19 @@ def apply_recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach; the session's setting always wins."""
+    """Folder every executor can reach: the session's setting, else the checkpoint folder already
+    chosen. Without either only a local master gets a folder of its own."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    # Only reached where nothing is configured, as in local tests.
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+    # One machine only, as in tests: a folder of this process, removed when it ends.
     folder = tempfile.mkdtemp(prefix="plantlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -13,27 +13,33 @@ def _as_struct(schema: str | T.StructType) -> T.StructType:
     return struct(schema) if isinstance(schema, str) else schema
 
 
-def _pattern(path: str) -> str:
-    """A glob that matches exactly ``path``. The file source accepts a plain path
-    only for folders; as a pattern it may name one file or a folder."""
+def _pattern(spark: SparkSession, path: str) -> str:
+    """Folders as they are, so that a stream's sink log and partition columns count. The
+    file source takes a single file only as a pattern, here one that matches just it."""
     path = path.rstrip("/")
-    return path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
+    if any(c in path for c in "*?[{"):
+        return path
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    one = files.exists(place) and not files.getFileStatus(place).isDirectory()
+    return f"{path[:-1]}[{path[-1]}]" if one else path
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
                    **options) -> DataFrame:
     """Parquet folder or file as a stream. Without a schema the footer's is used."""
     resolved = _as_struct(schema) if schema is not None else spark.read.parquet(path).schema
-    return spark.readStream.schema(resolved).options(**options).parquet(_pattern(path))
+    return spark.readStream.schema(resolved).options(**options).parquet(_pattern(spark, path))
 
 
 def csv_stream(spark: SparkSession, path: str, schema: str | T.StructType, **options) -> DataFrame:
-    """CSV with a header row. A line that does not fit the schema keeps the fields
-    that do, and its raw text goes to ``_rescued_data``."""
+    """CSV with a header row, whose names must be those of the schema in its order; a file with other
+    names or another order fails the stream. A line that does not fit the schema keeps the
+    fields that do, and its raw text goes to ``_rescued_data``."""
     full = T.StructType([*_as_struct(schema).fields, T.StructField(RESCUED, T.StringType())])
     return (spark.readStream.schema(full)
             .option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", RESCUED)
+            .option("columnNameOfCorruptRecord", RESCUED).option("enforceSchema", False)
             .options(**options).csv(path))
 
 

@@ -6,14 +6,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plantlake.functions.columns import utc_instant
 from plantlake.plans.gold import anomaly_alerts
 
 LATENESS = "10 minutes"
 
 
 def with_event_time(df: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need a zoned timestamp."""
-    return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Watermarks need a zoned timestamp; times without zone are UTC."""
+    kind = dict(df.dtypes)[ts]
+    return df.withColumn(ts, utc_instant(ts) if kind == "timestamp_ntz" else F.col(ts).cast("timestamp"))
 
 
 def stream_alerts(readings: DataFrame, width: str = "5 minutes", lateness: str = LATENESS) -> DataFrame:

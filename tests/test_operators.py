@@ -31,11 +31,11 @@ NAMES = {1: "one", 2: "two", 3: "three"}
 
 
 @pytest.mark.parametrize("options, node", [
-    ({}, "BroadcastHashJoin"), ({"limit": 0}, "SortMergeJoin"), ({"limit": 0, "salt": 5}, "SortMergeJoin")])
+    ({}, "BroadcastHashJoin"), ({"salt": 1}, "SortMergeJoin"), ({"salt": 5, "salt_by": ["id"]}, "SortMergeJoin")])
 def test_lookup_strategies_agree(spark, fact, dim, options, node):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
-        if "limit" in options:
+        if options:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         left = E.enrich_left(fact, dim, "k", ["name"], **options)
         inner = E.join_inner(fact, [(dim, "k", ["name"])], **options)
@@ -48,17 +48,17 @@ def test_lookup_strategies_agree(spark, fact, dim, options, node):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_broadcast_needs_a_known_small_size(spark, tables):
-    assert E.is_small(tables.nation)
-    assert not E.is_small(tables.lineitem, limit=10_000)
-    assert not E.is_small(spark.createDataFrame([(1,)], "k int"))  # size unknown to the optimizer
+def test_salt_needs_columns(fact, dim):
+    with pytest.raises(ValueError):
+        E.enrich_left(fact, dim, "k", ["name"], salt=3)
 
 
-def test_broadcast_can_be_switched_off(spark, dim):
+def test_unused_columns_are_pruned_without_broadcast(spark, tables):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert not E.is_small(dim)
+        out = E.enrich_left(tables.lineitem, tables.part, {"l_partkey": "p_partkey"}, ["p_name"]).select("l_orderkey", "p_name")
+        assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan(out)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
@@ -73,7 +73,7 @@ def test_hot_key_is_spread_over_tasks(spark):
         for c, v in zip(saved, ("-1", "16", "false")):
             spark.conf.set(c, v)
         def largest(salt):
-            out = E.enrich_left(facts, dims, "k", ["twice"], salt=salt)
+            out = E.enrich_left(facts, dims, "k", ["twice"], salt=salt, salt_by=["id"])
             assert out.where("twice <> 2 * k or twice is null").isEmpty()
             return out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).collect()[0][0]
         assert largest(1) > 20000 and largest(8) < 12000
@@ -89,6 +89,7 @@ def test_adaptive_execution_splits_the_unsalted_join(spark):
     saved = {c: spark.conf.get(c) for c in settings}
     facts = spark.range(0, 200000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).alias("k"))
     dims = spark.range(20000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    facts = facts.withColumn("tags", F.create_map("k", "id"))
     try:
         for c, v in settings.items():
             spark.conf.set(c, v)

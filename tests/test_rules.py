@@ -118,3 +118,22 @@ def test_settle_does_not_sit_on_short_decimals(spark):
 def test_rules_are_jvm_expressions(spark):
     df = spark.range(3).select(R.fill_band(F.col("id") / 3), R.health_score(F.col("id") / 3, "id"))
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_oracle_rules_agree_on_null():
+    """The SQL twins give what the rules give where inputs are missing."""
+    import duckdb
+    from plantlake.queries import bindings as B
+    none = "SELECT NULL::DOUBLE AS fill_percentage, NULL::DOUBLE AS water_bottom_inches, NULL::INTEGER AS volume_barrels, " \
+           "NULL::DOUBLE AS min_operating_level, NULL::DOUBLE AS max_operating_level, NULL::INTEGER AS age"
+    got = duckdb.connect().execute(f"SELECT {B.BAND}, {B.NEEDS_LOOK}, {B.ROOM}, {B.OPERATING}, {B.OWN_BAND}, {B.due('age', '10')} FROM ({none})").fetchone()
+    assert got == ("NORMAL", False, 0, "WITHIN_RANGE", "NORMAL", "OK")
+
+
+def test_rules_on_null(spark):
+    from pyspark.sql import functions as F
+    from plantlake.functions import rules as R
+    x = F.lit(None).cast("double")
+    row = spark.range(1).select(R.fill_band(x), R.needs_attention(x, x), R.available_capacity(x, x), R.operating_status(x, x, x),
+                                R.inventory_status(x, x, x), R.maintenance_status(F.lit(None).cast("date"), F.lit(10), F.lit("2024-01-01").cast("date"))).first()
+    assert tuple(row) == ("NORMAL", False, 0, "WITHIN_RANGE", "NORMAL", "OK")

@@ -139,6 +139,41 @@ def test_partitioned_backfill_writes_few_files(spark, tables, tmp_path):
     assert spark.read.parquet(str(tmp_path / "d")).count() == 1000
 
 
-@pytest.mark.parametrize("path, expected", [("/a/b.parquet", "/a/b.parque[t]"), ("/a/b/", "/a/[b]"), ("/a/*", "/a/*")])
-def test_pattern(path, expected):
-    assert _pattern(path) == expected
+def test_pattern(spark, tmp_path):
+    (tmp_path / "folder").mkdir()
+    (tmp_path / "one.parquet").write_text("")
+    assert _pattern(spark, f"{tmp_path}/folder/") == f"{tmp_path}/folder"
+    assert _pattern(spark, f"{tmp_path}/one.parquet") == f"{tmp_path}/one.parque[t]"
+    assert _pattern(spark, f"{tmp_path}/*.parquet") == f"{tmp_path}/*.parquet"
+
+
+def test_stream_of_a_sink_reads_committed_files_only(spark, tables, tmp_path):
+    from plantlake.sources.files import parquet_stream
+    src, sink = str(tmp_path / "src"), str(tmp_path / "sink")
+    spark.range(100).write.parquet(src)
+    query = (spark.readStream.schema("id bigint").parquet(src).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c1"))
+             .trigger(availableNow=True).start(sink))
+    query.awaitTermination()
+    spark.range(10).coalesce(1).write.mode("append").parquet(str(tmp_path / "stray"))
+    stray = next((tmp_path / "stray").glob("part-*.parquet"))
+    (tmp_path / "sink" / stray.name).write_bytes(stray.read_bytes())
+    out = str(tmp_path / "out")
+    parquet_stream(spark, sink).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start(out).awaitTermination()
+    assert spark.read.parquet(out).count() == 100
+
+
+def test_stream_of_a_partitioned_folder(spark, tables, tmp_path):
+    from pyspark.sql import functions as F
+    from plantlake.sources.files import parquet_stream
+    src, out = str(tmp_path / "days"), str(tmp_path / "all")
+    tables.events.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(src)
+    parquet_stream(spark, src).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(out).awaitTermination()
+    assert spark.read.parquet(out).count() == tables.events.count()
+
+
+def test_csv_with_other_header_fails(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.csv").write_text("reading_value,reading_id\n7,5\n")
+    stream = csv_stream(spark, str(tmp_path / "in"), "reading_id string, reading_value double")
+    with pytest.raises(Exception):
+        stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "o")).awaitTermination()

@@ -29,8 +29,8 @@ def test_silver_streams_equal_batch(spark, tables, tmp_path):
     sensors, sites, crudes = B.sensors(spark), B.sites(tables.nation), B.crudes(tables.region)
     units, products = B.units(tables.supplier), B.products(tables.part)
     pairs = [
-        (lambda e: silver.silver_readings([B.readings(e)] * 2, sensors, stamp=False, salt=4), "events"),
-        (lambda o: silver.silver_shipments(B.shipments(o), sites, crudes, stamp=False, salt=4), "orders"),
+        (lambda e: silver.silver_readings([B.readings(e)] * 2, sensors, stamp=False, salt=4, salt_by=["reading_id"]), "events"),
+        (lambda o: silver.silver_shipments(B.shipments(o), sites, crudes, stamp=False, salt=4, salt_by=["shipment_id"]), "orders"),
         (lambda li: silver.silver_production(B.production(li), units, sites, products, crudes, stamp=False), "lineitem"),
         (lambda e: silver.silver_tank_inventory(B.tank_inventory(e), stamp=False), "events")]
     for n, (build, table) in enumerate(pairs):
@@ -41,7 +41,7 @@ def test_silver_streams_equal_batch(spark, tables, tmp_path):
 def test_salted_stream_lookup_without_broadcast(spark, tables, tmp_path):
     dims = B.products(tables.part)
     build = lambda li: silver.star_enrich(
-        B.production(li), [(dims, {"output_product_id": "product_id"}, ["product_name"])], limit=0, salt=4)
+        B.production(li), [(dims, {"output_product_id": "product_id"}, ["product_name"])], salt=4, salt_by=["production_hour", "input_volume_barrels"])
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
