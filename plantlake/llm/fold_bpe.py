@@ -44,8 +44,8 @@ FOLD_BYTES = 64
 #: Small maps that the rank map is dealt into.
 MAPS = 8192
 #: Bytes of text in a shard, unless one text is longer.
-SHARD = 32 << 20
-SEED_WORDS, SEED_DOCS = 300_000, 25_000
+SHARD = 4 << 20
+SEED_WORDS, SEED_DOCS = 200_000, 25_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
