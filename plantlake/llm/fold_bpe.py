@@ -36,16 +36,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plantlake.llm.common import STEP, from_ipc, merged, packed, to_ipc, unpacked
+from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked
 from plantlake.llm.heap_bpe import merges
 from plantlake.llm.spans import distinct, span_hashes, units
 
 FOLD_BYTES = 64
 #: Small maps that the rank map is dealt into.
 MAPS = 8192
-#: Bytes of text in a shard, unless one text is longer.
-SHARD = 4 << 20
-SEED_WORDS, SEED_DOCS = 200_000, 25_000
+#: Bytes of text in a shard and in a step of its making, unless one text is longer.
+SHARD, PIECE = 4 << 20, 1 << 20
+SEED_WORDS, SEED_DOCS = 150_000, 25_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -130,7 +130,7 @@ def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs,
     i = total = 0
     while i < len(texts):
         j, size = i, 0
-        while j < len(texts) and size < STEP:
+        while j < len(texts) and size < PIECE:
             size += len(texts[j])
             j += 1
         buf, starts, ends, first = units(texts[i:j])
@@ -188,7 +188,7 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
 
     def count(batches):
         find = regex.compile(pattern)
-        for batch, texts in merged(batches, STEP):
+        for batch, texts in merged(batches, PIECE):
             buf, starts, ends, _ = units(texts)
             _, at, each = distinct(span_hashes(buf, starts, ends))
             data, n = buf.tobytes(), Counter()

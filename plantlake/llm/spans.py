@@ -12,7 +12,7 @@ import re
 import numpy as np
 
 U = np.uint64
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LETTER = np.zeros(256, bool)
