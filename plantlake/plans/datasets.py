@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.plans import gold, silver
 from plantlake.schema import PLANT_TABLES, column_names
@@ -18,6 +19,7 @@ from plantlake.sources.files import parquet_stream
 from plantlake.sources.records import decode_json
 from plantlake.sources.tables import read_table, write_path
 from plantlake.streaming.ingest import append_stream, ingest_stream, run_to_end
+from plantlake.streaming.live import dedup_stream
 
 LIVE_FIELDS = """
     reading_id string, sensor_id string, unit_id string, refinery_id string,
@@ -33,7 +35,8 @@ class Dataset:
     properties: dict[str, str] = field(default_factory=dict)
     build: Callable[..., DataFrame] | None = None
     inputs: tuple[str, ...] = ()  # streamed first input, then batch inputs
-    partition_ts: str | None = None  # stored in one folder per day of this column
+    partition_ts: str | None = None  # stored in one folder per period of this column
+    period: str = "day"  # or month, for tables with far fewer rows a day than readings
 
 
 def _bronze(table: str) -> Dataset:
@@ -53,13 +56,13 @@ DATASETS: dict[str, Dataset] = {d.name: d for d in [
             (HISTORY, LIVE, "bronze_dim_sensors"), "reading_timestamp"),
     Dataset("silver_shipments", "silver", "Shipments with variance, delay and cost", {"quality": "silver"},
             lambda s, sites, crudes: silver.silver_shipments(s, sites, crudes),
-            ("bronze_fact_crude_shipments", "bronze_dim_refineries", "bronze_dim_crude_types")),
+            ("bronze_fact_crude_shipments", "bronze_dim_refineries", "bronze_dim_crude_types"), "shipment_date", "month"),
     Dataset("silver_production", "silver", "Production with dimensions and ratios", {"quality": "silver"},
             lambda p, u, r, pr, c: silver.silver_production(p, u, r, pr, c),
             ("bronze_fact_production_output", "bronze_dim_processing_units", "bronze_dim_refineries",
-             "bronze_dim_products", "bronze_dim_crude_types")),
+             "bronze_dim_products", "bronze_dim_crude_types"), "production_hour", "month"),
     Dataset("silver_tank_inventory", "silver", "Valid tank snapshots with status", {"quality": "silver"},
-            silver.silver_tank_inventory, ("bronze_fact_tank_inventory",)),
+            silver.silver_tank_inventory, ("bronze_fact_tank_inventory",), "measurement_timestamp", "month"),
     Dataset("gold_anomaly_alerts", "gold", "Five-minute alert groups", {"quality": "gold"},
             gold.anomaly_alerts, ("silver_sensor_readings",)),
     Dataset("gold_equipment_health", "gold", "Health and maintenance per unit and day", {"quality": "gold"},
@@ -71,6 +74,8 @@ DATASETS: dict[str, Dataset] = {d.name: d for d in [
             gold.product_yield, ("silver_production", "bronze_dim_crude_types", "bronze_dim_products")),
     Dataset("gold_inventory_status", "gold", "Current status of every tank", {"quality": "gold"},
             gold.inventory_status_view, ("silver_tank_inventory", "bronze_dim_storage_tanks")),
+    Dataset("gold_inventory_by_tank", "gold", "Active tanks by their own limits", {"quality": "gold"},
+            gold.inventory_status_view, ("silver_tank_inventory", "bronze_dim_storage_tanks", "bronze_dim_refineries")),
 ]}
 
 
@@ -100,21 +105,44 @@ class Lake:
         run_to_end(ingest_stream(parquet_stream(self.spark, src), self.path(name), self.checkpoint(name),
                                  columns, tenant))
 
-    def ingest_live(self, records: DataFrame, value: str = "value", name: str = LIVE) -> None:
-        """Decode a stream of JSON records, from a broker or from files, into a bronze dataset."""
-        run_to_end(append_stream(decode_json(records, value, LIVE_FIELDS, lenient=True), self.path(name),
-                                 self.checkpoint(name)))
-
-    def update(self, name: str, files_per_partition: int | None = None) -> None:
-        """Process what is new in the streamed inputs of a silver dataset."""
+    def ingest_live(self, records: DataFrame, value: str = "value", name: str = LIVE, unique_within: str | None = None,
+                    continuous: str | None = None) -> StreamingQuery:
+        """Decode a stream of JSON records, from a broker or from files, into a bronze dataset.
+        ``unique_within`` drops redelivered ids that arrive within that time of each other, and
+        with them rows later than that. ``continuous`` is the interval of a query that keeps
+        running; otherwise what is there is taken and the query has ended on return."""
+        rows = decode_json(records, value, LIVE_FIELDS, lenient=True)
+        if unique_within:
+            rows = dedup_stream(rows, ["reading_id"], "reading_timestamp", unique_within)
+        return self._run(append_stream(rows, self.path(name), self.checkpoint(name), continuous=continuous), continuous)
+
+    @staticmethod
+    def _run(query: StreamingQuery, continuous: str | None) -> StreamingQuery:
+        return query if continuous else run_to_end(query)
+
+    def update(self, name: str, files_per_partition: int | None = None, continuous: str | None = None) -> StreamingQuery:
+        """Process what is new in the streamed inputs of a silver dataset, once or (``continuous``)
+        at an interval."""
         d = DATASETS[name]
         facts = [i for i in d.inputs if "_fact_" in i]
         frames = [self.stream(i) if i in facts else self.table(i) for i in d.inputs]
         rows, by = d.build(*frames), None
         if d.partition_ts:
             by = [gold.PARTITION_DATE]
-            rows = rows.withColumn(by[0], F.to_date(d.partition_ts))
-        run_to_end(append_stream(rows, self.path(name), self.checkpoint(name), by, files_per_partition))
+            rows = rows.withColumn(by[0], F.to_date(d.partition_ts) if d.period == "day" else F.trunc(F.to_date(d.partition_ts), d.period))
+        return self._run(append_stream(rows, self.path(name), self.checkpoint(name), by, files_per_partition, continuous),
+                         continuous)
+
+    def publish(self, schema: str, names: list[str]) -> None:
+        """Make stored datasets known by name, as views with their comment and properties. A view
+        reads the folder as it is, with the commits of its stream and all partitions."""
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+        quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        for name in names:
+            d = DATASETS[name]
+            pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in {"layer": d.layer, **d.properties}.items())
+            self.spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} COMMENT {quoted(d.comment)} TBLPROPERTIES ({pairs}) "
+                           f"AS SELECT * FROM parquet.`{self.path(name)}`")
 
     def refresh(self, name: str, **options) -> None:
         """Recompute a gold view from its inputs and replace it."""

@@ -133,11 +133,10 @@ def anomaly_rate(t: Tables):
 
 
 @query("latest_per_key", """
-    SELECT event_id, ts, user_id, event_type, value FROM events
+    SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 def latest(t: Tables):
-    return latest_per_key(t.events.select("event_id", "ts", "user_id", "event_type", "value"),
-                          ["user_id"], "ts", ["event_id"])
+    return latest_per_key(t.events, ["user_id"], "ts", ["event_id"])
 
 
 @query("tumbling_5m", f"""

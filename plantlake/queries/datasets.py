@@ -5,9 +5,12 @@ from __future__ import annotations
 from plantlake.functions.columns import settle
 from plantlake.operators.latest import flat_window
 from plantlake.plans import gold as G, silver as S
+from plantlake.plans.datasets import Lake
 from plantlake.queries import bindings as B
 from plantlake.queries.aggregates import silver, silver_sql
-from plantlake.queries.base import Tables, query, settled, with_bound
+from plantlake.queries.base import REGISTRY, Tables, query, settled, with_bound
+from plantlake.session import fresh_dir
+from plantlake.sources.tables import write_path
 
 
 @query("silver_readings", silver_sql("SELECT * FROM silver"))
@@ -145,6 +148,21 @@ def gold_daily_kpis(t: Tables):
     return kpis(t).withColumns({c: settle(c) for c in KPI_ROUNDED})
 
 
+@query("refresh_gold", REGISTRY["gold_daily_kpis"].sql)
+def refreshed_kpis(t: Tables):
+    """The same figures through stored bronze and silver datasets."""
+    lake = Lake(t.spark, fresh_dir(t.spark, "lake"))
+    plant = {"fact_production_output": B.production(t.lineitem), "dim_processing_units": B.units(t.supplier),
+             "dim_refineries": B.sites(t.nation), "dim_products": B.products(t.part), "dim_crude_types": B.crudes(t.region)}
+    for name, rows in plant.items():
+        landing = fresh_dir(t.spark, name)
+        write_path(rows, landing)
+        lake.ingest(f"bronze_{name}", landing)
+    lake.update("silver_production", files_per_partition=1)
+    lake.refresh("gold_refinery_kpis", on_spec=B.ON_SPEC)
+    return lake.table("gold_refinery_kpis").withColumns({c: settle(c) for c in KPI_ROUNDED})
+
+
 @query("gold_product_yield", with_bound(f"""
     SELECT c.crude_type_id, c.crude_name, c.classification AS crude_class, c.sweetness, d.product_id,
            d.product_name, d.product_category, {settled("avg(p.yield_percentage)", 6)} AS avg_yield,

@@ -50,7 +50,8 @@ def fn_date(t: Tables):
 
 @query("fn_time", """
     SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS seconds, date_trunc('second', ts) AS whole_second,
-           strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS iso, ts AS parsed, date_trunc('hour', ts) AS hour
+           strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS iso, ts AS parsed, date_trunc('hour', ts) AS hour,
+           CAST(CAST(ts AS DATE) AS TIMESTAMP) AS midnight
     FROM events""")
 def fn_time(t: Tables):
     zoned = utc_instant("ts")
@@ -59,7 +60,8 @@ def fn_time(t: Tables):
         "event_id", F.unix_timestamp(zoned).alias("seconds"),
         utc_wall(F.timestamp_seconds(F.unix_timestamp(zoned))).alias("whole_second"), iso.alias("iso"),
         F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("parsed"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"),
+        F.to_timestamp(F.to_date("ts")).cast("timestamp_ntz").alias("midnight"))
 
 
 @query("fn_array", """

@@ -33,12 +33,11 @@ def star_enrich(t: Tables):
 @query("inner_dims", with_bound("""
     SELECT s.shipment_id, s.volume_barrels, r.refinery_name, c.crude_name
     FROM shipments s JOIN sites r ON s.refinery_id = r.refinery_id
-    JOIN crudes c ON s.crude_type_id = c.crude_type_id WHERE c.sweetness = 'Sweet'""", "shipments", "sites", "crudes"))
+    JOIN crudes c ON s.crude_type_id = c.crude_type_id""", "shipments", "sites", "crudes"))
 def inner_dims(t: Tables):
-    sweet = B.crudes(t.region).where("sweetness = 'Sweet'")
     return E.join_inner(B.shipments(t.orders).select("shipment_id", "volume_barrels", "refinery_id", "crude_type_id"), [
         (B.sites(t.nation), "refinery_id", ["refinery_name"]),
-        (sweet, "crude_type_id", ["crude_name"])]).drop("refinery_id", "crude_type_id")
+        (B.crudes(t.region), "crude_type_id", ["crude_name"])]).drop("refinery_id", "crude_type_id")
 
 
 @query("broadcast_derived_key", """
@@ -68,10 +67,10 @@ def left_using(t: Tables):
 
 @query("dim_first_left", """
     SELECT c_custkey, c_name, coalesce(n, 0) AS order_count
-    FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1)
+    FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
     ON o_custkey = c_custkey""")
 def dim_first_left(t: Tables):
-    counts = t.orders.where("o_orderstatus = 'P'").groupBy("o_custkey").agg(F.count("*").alias("n"))
+    counts = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
     joined = E.dim_first(t.customer.select("c_custkey", "c_name"), counts, {"c_custkey": "o_custkey"})
     return joined.select("c_custkey", "c_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("order_count"))
 
@@ -100,11 +99,11 @@ def lookup_by_index(t: Tables):
 
 @query("union_feeds", with_bound("""
     SELECT reading_id, sensor_id, reading_timestamp, reading_value FROM readings UNION ALL
-    SELECT reading_id, sensor_id, reading_timestamp, reading_value + 1 FROM readings WHERE reading_quality = 'GOOD'""",
+    SELECT reading_id, sensor_id, reading_timestamp, reading_value + 1 FROM readings""",
     "readings"))
 def union_feeds(t: Tables):
     names = ["reading_id", "sensor_id", "reading_timestamp", "reading_value"]
-    live = B.readings(t.events).where("reading_quality = 'GOOD'").withColumn("reading_value", F.col("reading_value") + 1)
+    live = B.readings(t.events).withColumn("reading_value", F.col("reading_value") + 1)
     return E.union_feeds(B.readings(t.events).select(*names), live)
 
 

@@ -124,10 +124,10 @@ def attention_flag(t: Tables):
 
 
 @query("available_capacity", with_bound(
-    f"SELECT inventory_id, {B.ROOM} AS available_capacity_barrels FROM tank_inventory WHERE fill_percentage > 0",
+    f"SELECT inventory_id, {B.ROOM} AS available_capacity_barrels FROM tank_inventory",
     "tank_inventory"))
 def available_capacity(t: Tables):
-    return B.tank_inventory(t.events).where("fill_percentage > 0").select(
+    return B.tank_inventory(t.events).select(
         "inventory_id", R.available_capacity("fill_percentage", "volume_barrels").alias("available_capacity_barrels"))
 
 

@@ -3,18 +3,23 @@ given tables into the shared folder, then read back by the source under test."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from plantlake.functions.columns import utc_wall
 from plantlake.queries import bindings as B
-from plantlake.queries.base import Tables, query, with_bound
+from plantlake.queries.base import REGISTRY, Tables, query, with_bound
 from plantlake.session import fresh_dir
 from plantlake.sources.files import RESCUED, csv_stream, json_stream, parquet_stream
 from plantlake.sources.records import decode_json, to_records
-from plantlake.sources.tables import append_mapped, read_table, write_path
+from plantlake.sources.tables import append_mapped, read_table, register_all, write_path, write_table
 from plantlake.streaming.ingest import append_stream, ingest_stream, ingest_table, run_to_end
 
-LANDED = "reading_id bigint, sensor_id string, unit_id bigint, reading_timestamp timestamp_ntz, reading_value double"
+TIMES = ("reading_timestamp", "event_time", "processing_time")
+LANDED = """reading_id bigint, sensor_id string, unit_id bigint, refinery_id bigint, reading_timestamp timestamp_ntz,
+    reading_value double, reading_quality string, is_interpolated boolean, event_time timestamp_ntz,
+    processing_time timestamp_ntz"""
 
 
 def landed(t: Tables, df, label: str):
@@ -24,9 +29,9 @@ def landed(t: Tables, df, label: str):
     return read_table(t.spark, dst)
 
 
-@query("scan_table", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
+@query("scan_table", "SELECT * FROM orders")
 def scan_table(t: Tables):
-    return read_table(t.spark, t.path("orders")).select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return read_table(t.spark, t.path("orders"))
 
 
 @query("bronze_passthrough", "SELECT * FROM lineitem")
@@ -100,13 +105,13 @@ def bronze_tenant(t: Tables):
     return ingest_table(t.spark, t.path("events"), dst, f"{dst}-checkpoint", tenant="tenant_b")
 
 
-FEED = with_bound("""SELECT reading_id, sensor_id, unit_id, reading_timestamp, reading_value FROM readings""", "readings")
+FEED = REGISTRY["bronze_projected"].sql
 
 
 def records(df):
     """Readings as JSON text, as the live feed carries them."""
-    iso = F.date_format("reading_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    rows = df.select("reading_id", "sensor_id", "unit_id", iso.alias("reading_timestamp"), "reading_value")
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+    rows = df.withColumns({c: F.date_format(c, iso) for c in TIMES})
     return rows.select(F.to_json(F.struct("*")).alias("value"))
 
 
@@ -114,7 +119,7 @@ def records(df):
 def json_decode(t: Tables):
     raw = records(B.readings(t.events))
     out = decode_json(raw, "value", LANDED.replace("timestamp_ntz", "string"))
-    return out.withColumn("reading_timestamp", utc_wall(F.to_timestamp("reading_timestamp")))
+    return out.withColumns({c: utc_wall(F.to_timestamp(c)) for c in TIMES})
 
 
 @query("json_decode_lenient", FEED)
@@ -122,14 +127,14 @@ def json_decode_lenient(t: Tables):
     quoted = F.regexp_replace("value", r'"reading_value":([0-9.Ee+-]+)', r'"reading_value":"$1"')
     raw = records(B.readings(t.events)).select(quoted.cast("binary").alias("value"))
     out = decode_json(raw, "value", LANDED.replace("timestamp_ntz", "timestamp"), lenient=True)
-    return out.withColumn("reading_timestamp", utc_wall("reading_timestamp"))
+    return out.withColumns({c: utc_wall(c) for c in TIMES})
 
 
 @query("bronze_live_readings", FEED)
 def bronze_live_readings(t: Tables):
     feed = records(B.readings(parquet_stream(t.spark, t.path("events"))))
     out = landed(t, decode_json(feed, "value", LANDED.replace("timestamp_ntz", "timestamp"), lenient=True), "live")
-    return out.withColumn("reading_timestamp", utc_wall("reading_timestamp"))
+    return out.withColumns({c: utc_wall(c) for c in TIMES})
 
 
 @query("csv_ingest", """
@@ -153,8 +158,7 @@ def csv_ingest(t: Tables):
 @query("jsonl_ingest", FEED)
 def jsonl_ingest(t: Tables):
     src = fresh_dir(t.spark, "jsonl-landing")
-    names = ["reading_id", "sensor_id", "unit_id", "reading_timestamp", "reading_value"]
-    (B.readings(t.events).select(*names)
+    (B.readings(t.events)
      .write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(src))
     return landed(t, json_stream(t.spark, src, LANDED), "jsonl")
 
@@ -172,7 +176,32 @@ def append_rows(t: Tables):
 
 
 @query("to_records", """
-    SELECT CAST(event_id AS VARCHAR) AS key, '{"event_id":' || event_id || ',"user_id":' || user_id ||
-           ',"event_type":"' || event_type || '","value":' || value || '}' AS value FROM events""")
+    SELECT CAST(event_id AS VARCHAR) AS key, '{"event_id":' || event_id || strftime(ts, ',"ts":"%Y-%m-%dT%H:%M:%S.%f"') ||
+           ',"user_id":' || user_id || ',"event_type":"' || event_type || '","value":' || value ||
+           ',"props":' || to_json(props) || '}' AS value FROM events""")
 def keyed_records(t: Tables):
-    return to_records(t.events.select("event_id", "user_id", "event_type", "value"), "event_id")
+    return to_records(t.events, "event_id")
+
+
+@query("write_table", "SELECT * FROM orders")
+def stored_as_table(t: Tables):
+    name = f"plantlake_orders_{uuid.uuid4().hex}"
+    write_table(t.orders, name)
+    return read_table(t.spark, name)
+
+
+@query("write_path", "SELECT * FROM orders")
+def stored_by_status(t: Tables):
+    dst = fresh_dir(t.spark, "by-status")
+    write_path(t.orders, dst, ["o_orderstatus"])
+    return read_table(t.spark, dst)
+
+
+@query("register_all", "SELECT o_orderkey, o_orderstatus, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
+def registered(t: Tables):
+    root, schema = fresh_dir(t.spark, "registered"), f"plantlake_{uuid.uuid4().hex}"
+    write_path(t.orders, f"{root}/orders")
+    write_path(t.customer, f"{root}/customer")
+    register_all(t.spark, root, ["orders"], schema)
+    register_all(t.spark, root, ["customer"], schema, external=True)
+    return t.spark.sql(f"SELECT o_orderkey, o_orderstatus, c_name FROM {schema}.orders JOIN {schema}.customer ON o_custkey = c_custkey")

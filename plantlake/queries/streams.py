@@ -14,7 +14,7 @@ from plantlake.queries.sources import landed
 from plantlake.session import fresh_dir
 from plantlake.sources.files import parquet_stream
 from plantlake.sources.tables import read_table
-from plantlake.streaming.ingest import run_to_end
+from plantlake.streaming.ingest import append_stream, ingest_table, run_to_end
 from plantlake.streaming.live import dedup_stream, latest_stream, replace_each_batch, stream_alerts
 
 
@@ -67,10 +67,30 @@ def alerts(t: Tables):
     return shown_alerts(landed(t, stream_alerts(rows), "stream-alerts"))
 
 
+@query("stream_alerts_stored", REGISTRY["stream_alerts"].sql)
+def stored_alerts(t: Tables):
+    """Alerts over the silver table as it is stored, by day."""
+    stored = fresh_dir(t.spark, "stored-silver")
+    rows = silver_readings([reading_stream(t)], B.sensors(t.spark), stamp=False)
+    by_day = rows.withColumn("partition_date", F.to_date("reading_timestamp"))
+    run_to_end(append_stream(by_day, stored, f"{stored}-checkpoint", ["partition_date"], 1))
+    return shown_alerts(landed(t, stream_alerts(parquet_stream(t.spark, stored)), "stored-alerts"))
+
+
+@query("stream_restart", "SELECT * FROM events")
+def restarted(t: Tables):
+    """Two runs on one checkpoint, the second after more rows have arrived."""
+    src, dst = fresh_dir(t.spark, "restart-landing"), fresh_dir(t.spark, "restart")
+    for rest in (0, 1):
+        t.events.where(F.pmod("event_id", F.lit(2)) == rest).write.mode("append").parquet(src)
+        out = ingest_table(t.spark, src, dst, f"{dst}-checkpoint")
+    return out
+
+
 @query("stream_latest", REGISTRY["latest_per_key"].sql)
 def latest(t: Tables):
     dst = fresh_dir(t.spark, "stream-latest")
-    rows = parquet_stream(t.spark, t.path("events")).select("event_id", "ts", "user_id", "event_type", "value")
+    rows = parquet_stream(t.spark, t.path("events"))
     run_to_end(replace_each_batch(latest_stream(rows, ["user_id"], "ts", ["event_id"]), dst, f"{dst}-checkpoint"))
     return read_table(t.spark, dst)
 

@@ -26,5 +26,7 @@ def decode_json(df: DataFrame, column: str, schema: str | T.StructType, lenient:
 
 
 def to_records(df: DataFrame, key: str) -> DataFrame:
-    """Each row as a JSON ``value`` under its ``key``, the shape broker sinks take."""
-    return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+    """Each row as a JSON ``value`` under its ``key``, the shape broker sinks take. Times keep their microseconds."""
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    value = F.to_json(F.struct("*"), {"timestampNTZFormat": micros, "timestampFormat": f"{micros}XXX"})
+    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))

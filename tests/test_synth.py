@@ -131,5 +131,33 @@ def test_bronze_to_gold(spark, root, tmp_path):
     assert tanks.count() == lake.table("silver_tank_inventory").select("tank_id").distinct().count()
     assert lake.table("gold_product_yield").agg(F.sum("sample_count")).collect()[0][0] == counts["fact_production_output"]
     assert lake.table("gold_anomaly_alerts").where("critical_count = 0 and warning_count <= 5").isEmpty()
+    assert lake.table("gold_inventory_by_tank").where("refinery_name is null").isEmpty()
+    lake.publish("plant", ["silver_production", "gold_refinery_kpis"])
+    assert spark.table("plant.silver_production").count() == counts["fact_production_output"]
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED plant.gold_refinery_kpis").collect()}
+    assert described["Comment"] == DATASETS["gold_refinery_kpis"].comment and "quality=gold" in described["Table Properties"]
     lake.update("silver_sensor_readings")  # nothing new
     assert lake.table("silver_sensor_readings").count() == silver.count()
+
+
+def test_redelivered_live_records_are_stored_once(spark, root, tmp_path):
+    from plantlake.sources.files import parquet_stream
+    folder, counts = root
+    lake, landing = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    history = read_table(spark, f"{folder}/fact_sensor_readings")
+    to_records(history.union(history), "sensor_id").write.parquet(landing)
+    lake.ingest_live(parquet_stream(spark, landing), unique_within="10 minutes")
+    assert lake.table(LIVE).count() == counts["fact_sensor_readings"]
+
+
+def test_continuous_feed_keeps_running(spark, root, tmp_path):
+    from plantlake.sources.files import parquet_stream
+    folder, counts = root
+    lake, landing = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "landing")
+    to_records(read_table(spark, f"{folder}/fact_sensor_readings"), "sensor_id").write.parquet(landing)
+    query = lake.ingest_live(parquet_stream(spark, landing), continuous="1 second")
+    try:
+        query.processAllAvailable()
+        assert query.isActive and lake.table(LIVE).count() == counts["fact_sensor_readings"]
+    finally:
+        query.stop()
