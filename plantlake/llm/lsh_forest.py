@@ -3,10 +3,11 @@
 1. Each document's set of word shingles gives ``TREES`` keys of ``DEPTH`` MinHash values, and a
    128-bit hash of the set. Documents with equal sets become one class, through a partial
    aggregation, so the largest group of copies costs each task one row.
-2. Every key orders the classes anew. In each order, neighbours by longest common prefix are
-   candidates if enough of their values agree. Orders are cut into regions by a prefix whose
-   depth adapts: a region with more than ``REGION`` classes is cut by a longer prefix, and by a
-   hash where even whole keys agree, so no task sorts more than its share.
+2. Every key orders the classes anew. In each order, classes of one whole key are candidates, and so
+   are neighbours among the distinct keys if enough of their values agree. All orders are one
+   range sort in slices of about ``REGION`` rows, by key and then class, so that no crowd of equal
+   or near keys is one task's; the ends of all slices are compared with each other as well, so
+   that a slice cuts no neighbours off.
 3. Candidates connect classes into groups. Inside a group all pairs are compared on full sets, in
    blocks of at most ``BLOCK`` classes, by counting common shingles with a matrix product. A group
    of several blocks compares every block with itself and with its ``HUBS`` best-connected
@@ -99,45 +100,49 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
         run, "doc_id long, n long, lo long, hi long, sig binary")
 
 
-def _placed(classes: DataFrame) -> DataFrame:
-    """``(rep, tree, key, region)`` with a prefix of the key as region, as long as its crowd asks for."""
-    width = 2 * DEPTH
-    keys = classes.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig").select(
-        "rep", "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"))
-    depth, settled, open_ = 2, [], keys
-    while True:
-        region = F.expr(f"substring(key, 1, {2 * depth})")
-        crowded = written(open_.groupBy("tree", region.alias("region")).count().where(F.col("count") > REGION).select("tree", "region"), "forest-crowded")
-        if depth >= DEPTH:
-            rest = crowded.withColumn("split", F.lit(True))
-            own = open_.withColumn("region", region).join(rest, ["tree", "region"], "left")
-            salted = F.when(F.col("split"), F.concat("region", F.substring(F.sha1(F.concat("key", F.col("rep").cast("string").cast("binary"), F.col("tree").cast("string").cast("binary"))), 1, 4).cast("binary")))
-            settled.append(own.select("rep", "tree", "key", F.coalesce(salted, "region").alias("region")))
-            break
-        if crowded.isEmpty():
-            settled.append(open_.withColumn("region", region))
-            break
-        both = open_.withColumn("region", region)
-        settled.append(both.join(crowded, ["tree", "region"], "left_anti").select("rep", "tree", "key", "region"))
-        open_ = both.join(crowded, ["tree", "region"], "left_semi").select("rep", "tree", "key")
-        depth += 2
-    out = settled[0]
-    for more in settled[1:]:
-        out = out.unionByName(more)
-    return out
+_ORDER_SQL = "u long, v long, tree int, key binary"
+_ORDER = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("tree", pa.int32()), ("key", pa.binary())])
+
+
+def _neighbours(batches):
+    """From sorted rows ``(tree, key, rep)``: pairs ``(u, v)`` of equal keys with the first row of the key, and of
+    near keys where enough values agree; then, with v null, the first rows of the outermost keys."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
+    keys = table.column("key").to_pylist()
+    tree, rep = table.column("tree").to_numpy(), table.column("rep").to_numpy()
+    values = np.frombuffer(b"".join(keys), ">u2").reshape(-1, DEPTH)
+    new = np.ones(len(rep), bool)
+    new[1:] = (tree[1:] != tree[:-1]) | (values[1:] != values[:-1]).any(axis=1)
+    heads = np.flatnonzero(new)
+    u, v = [rep[~new]], [rep[heads[np.cumsum(new) - 1]][~new]]
+    for k in range(1, NEIGHBOURS + 1):
+        after, before = heads[k:], heads[:-k]
+        near = (tree[after] == tree[before]) & ((values[after] == values[before]).sum(axis=1) >= AGREE)
+        u.append(rep[after[near]])
+        v.append(rep[before[near]])
+    u, v = np.concatenate(u), np.concatenate(v)
+    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.nulls(len(u), pa.int32()), pa.nulls(len(u), pa.binary())], schema=_ORDER)
+    edge = np.union1d(heads[:NEIGHBOURS], heads[-NEIGHBOURS:])
+    yield pa.RecordBatch.from_arrays([pa.array(rep[edge]), pa.nulls(len(edge), pa.int64()), pa.array(tree[edge], pa.int32()),
+                                      pa.array([keys[i] for i in edge.tolist()], pa.binary())], schema=_ORDER)
 
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Distinct pairs ``(u, v)``, u > v, of neighbours in some order."""
-    w = Window.partitionBy("tree", "region").orderBy("key", "rep")
-    pairs = None
-    placed = _placed(classes)
-    near = placed.select("rep", "key", *[F.lag(c, k).over(w).alias(f"{c}{k}") for k in range(1, NEIGHBOURS + 1) for c in ("rep", "key")])
-    for k in range(1, NEIGHBOURS + 1):
-        agree = sum((F.expr(f"int(substring(key, {2 * i + 1}, 2) = substring(key{k}, {2 * i + 1}, 2))") for i in range(DEPTH)), F.lit(0))
-        own = near.where(F.col(f"rep{k}").isNotNull() & (agree >= AGREE)).select(F.greatest("rep", f"rep{k}").alias("u"), F.least("rep", f"rep{k}").alias("v"))
-        pairs = own if pairs is None else pairs.unionByName(own)
-    return pairs.where("u <> v").distinct()
+    width = 2 * DEPTH
+    keys = classes.select("rep", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig").select(
+        "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"), "rep")
+    order = ["tree", "key", "rep"]
+    slices = max(1, -(-TREES * classes.count() // REGION))
+    found = written(keys.repartitionByRange(slices, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, _ORDER_SQL), "forest-order")
+    # The ends of the slices meet in one task; they are a few rows a slice.
+    ends = found.where("v is null").select("tree", "key", F.col("u").alias("rep")).coalesce(1).sortWithinPartitions(*order)
+    across = ends.mapInArrow(_neighbours, _ORDER_SQL)
+    pairs = found.unionByName(across).where("v is not null and u <> v")
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

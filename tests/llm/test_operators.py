@@ -204,6 +204,21 @@ def test_forest(spark, docs, empty, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 2, 80)
 
 
+def test_forest_crowds(spark, monkeypatch):
+    """Crowds of one whole key and of one long prefix, both larger than REGION."""
+    monkeypatch.setattr(lsh_forest, "REGION", 20)
+    same = np.tile(np.arange(lsh_forest.TREES * lsh_forest.DEPTH, dtype=">u2"), (300, 1))
+    same[150:, lsh_forest.DEPTH - 1::lsh_forest.DEPTH] = np.arange(1000, 1150)[:, None]
+    classes = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(same)], "rep long, sig binary")
+    pairs = lsh_forest.candidates(classes)
+    assert {(r.node, r.root) for r in lsh_forest.components(pairs).collect()} == {(i, 0) for i in range(300)}
+    assert pairs.count() < 300 * 2 * lsh_forest.TREES
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*base[:2 * i], f"x{i}", *base[2 * i + 1:]])) for i in range(120)]
+    got = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 2, 80) == dict.fromkeys(range(120), 0)
+
+
 def test_language(spark, docs, empty):
     got = QUERIES["op10_char_language"](spark, SF).collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
