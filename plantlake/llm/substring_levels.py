@@ -140,7 +140,7 @@ def deduplicated(docs: DataFrame, length: int = 13, base: int = 7, carry: tuple[
             again[at[answer]] = True
             move = following - size
             following_ok = shard.whole(following)
-            following_ok[:len(again) - move] &= again[:-move] & again[move:]
+            following_ok[:max(len(again) - move, 0)] &= again[:-move] & again[move:]
             more = np.bincount(shard.doc[following_ok], minlength=len(shard.texts)) > 0
             out = [_results(shard, names, with_text, None, np.flatnonzero(~more), arrow)]
             if more.any():

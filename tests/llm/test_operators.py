@@ -140,6 +140,15 @@ def test_substrings(docs, empty, length, base):
     assert substring_levels.deduplicated(empty, length, base).count() == 0
 
 
+@pytest.mark.parametrize("length", [13, 50])
+def test_substrings_of_short_shards(spark, length):
+    """Partitions of one document of a few words."""
+    rows = [(n, " ".join(f"{n}w{k}" for k in range(n))) for n in range(1, 8)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    got = substring_levels.deduplicated(frame, length).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.text) for r in got) == [(n, n, 0, t) for n, t in rows]
+
+
 def test_winnowing(spark, docs, empty):
     marked = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     items = [(1, "sat on THE mat, and looked at the dog by the door!"), (2, "one"), (12, "One"), (3, None), (4, "..."), (None, "café — 12 5"), (5, LONG), (6, "the cat")]
