@@ -20,15 +20,16 @@ So a link between two documents is only missed if no chain of candidates joins t
 of similarity 0.8 miss each other in all 16 orders with a probability below 1 in 10,000.
 
 Documents without words (also null texts) have size 0 and link with nothing. Null doc ids link
-with nothing, keep a null component and are kept. Rows that share a doc id share its component.
-Further columns are ignored.
+with nothing, keep a null component and are kept. Rows that share a doc id share its component,
+also with different texts: a doc id links the classes of its texts. With ``by_text`` it doesn't, and
+each text is judged for itself. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plantlake.llm.common import rows_to_batch, steps, written
 from plantlake.llm.spans import mixed, span_hashes, window_hashes, words
@@ -84,20 +85,25 @@ def set_hashes(grams: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[0], out[1]
 
 
+def text_hash(docs: DataFrame) -> Column:
+    """Tells the texts of one doc id apart."""
+    return F.xxhash64(docs["text"].cast("string"))
+
+
 def _features(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, n, lo, hi, sig)``; ``sig`` is null for empty sets."""
+    """``(doc_id, text_hash, n, lo, hi, sig)``; ``sig`` is null for empty sets."""
     def run(batches):
         for batch, texts in steps(batches):
             grams, first = shingle_sets(texts, size)
             n = np.diff(first)
             lo, hi = set_hashes(grams, first)
             sig = iter(signatures(grams, first))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(lo), pa.array(hi),
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(lo), pa.array(hi),
                                               pa.array([next(sig).tobytes() if k else None for k in n.tolist()], pa.binary())],
-                                             names=["doc_id", "n", "lo", "hi", "sig"])
+                                             names=["doc_id", "text_hash", "n", "lo", "hi", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, lo long, hi long, sig binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(docs).alias("text_hash"), F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "doc_id long, text_hash long, n long, lo long, hi long, sig binary")
 
 
 _ORDER_SQL = "u long, v long, tree int, key binary"
@@ -237,10 +243,10 @@ def _compare(percent: int):
 
 
 def _part_sets(docs: DataFrame, members: DataFrame, size: int, label: str) -> DataFrame:
-    """Full sets of the classes ``members(rep, lo, hi, ...)`` from their texts."""
+    """Full sets of the classes ``members(rep, doc_id, text_hash, lo, hi, ...)`` from their texts."""
     small = members.count() <= BROADCAST_ROWS
-    chosen = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(members) if small else members, "rep")
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(docs).alias("text_hash"), F.col("text").cast("string").alias("text")).join(
+        F.broadcast(members) if small else members, ["doc_id", "text_hash"])
 
     def run(batches):
         for batch, texts in steps(batches):
@@ -256,12 +262,21 @@ def _part_sets(docs: DataFrame, members: DataFrame, size: int, label: str) -> Da
         run, "rep long, g long, block int, blocks int, hub boolean, grams binary"), label)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def _shared_ids(features: DataFrame) -> DataFrame:
+    """``(doc_id, most)`` of the doc ids on several sets; ``most`` is one of its sets with most shingles."""
+    own = F.struct("n", "lo", "hi")
+    return features.where("doc_id is not null").groupBy("doc_id").agg(F.min(own).alias("least"), F.max(own).alias("most")).where("least <> most").select("doc_id", "most")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, by_text: bool = False) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` for every row; documents link where at least
-    ``percent`` of the union of their shingle sets (``size`` words each) is common."""
+    ``percent`` of the union of their shingle sets (``size`` words each) is common. The component is the
+    smallest doc id in it. With ``by_text`` there is a column ``text_hash`` too."""
     features = written(_features(docs, size), "forest-features")
     named = features.where("n > 0 and doc_id is not null")
-    classes = written(named.groupBy("n", "lo", "hi").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "forest-classes")
+    # Classes have numbers of their own, as one doc id may be the smallest of several.
+    classes = written(named.groupBy("n", "lo", "hi").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("sig").alias("sig")).select(
+        F.monotonically_increasing_id().alias("rep"), "n", "lo", "hi", "least.doc_id", "least.text_hash", "sig"), "forest-classes")
     pairs = written(candidates(classes), "forest-candidates")
     groups = written(components(pairs, "forest-groups").withColumnsRenamed({"node": "rep", "root": "g"}), "forest-members")
 
@@ -273,8 +288,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     hubs = (groups.join(large, "g").join(degree, "rep").withColumn("place", F.row_number().over(ranked))
             .where(F.col("place") <= HUBS).select("rep", F.lit(True).alias("hub")))
     blocks = F.ceil(F.col("members") / BLOCK * 1.25).cast("int")
-    members = written(groups.join(sizes, "g").join(classes.select("rep", "lo", "hi"), "rep").join(hubs, "rep", "left").select(
-        "rep", "g", "lo", "hi", F.coalesce("hub", F.lit(False)).alias("hub"),
+    members = written(groups.join(sizes, "g").join(classes.select("rep", "doc_id", "text_hash", "lo", "hi"), "rep").join(hubs, "rep", "left").select(
+        "rep", "g", "doc_id", "text_hash", "lo", "hi", F.coalesce("hub", F.lit(False)).alias("hub"),
         F.when(F.col("members") > BLOCK, blocks).otherwise(1).alias("blocks"),
         F.when(F.col("members") > BLOCK, F.pmod(F.xxhash64("rep"), blocks)).otherwise(0).cast("int").alias("block")), "forest-blocks")
     sets = _part_sets(docs, members, size, "forest-sets")
@@ -299,12 +314,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         more = askers.unionByName(asked).groupBy("g", "slice", "block").applyInArrow(compare, "u long, v long")
         links = links.unionByName(written(more, "forest-rest"))
 
+    # Rows that share a doc id link their classes too.
+    shared = None if by_text else written(_shared_ids(features), "forest-shared")
+    if shared is not None and (n_shared := shared.count()):
+        shared = F.broadcast(shared) if n_shared <= BROADCAST_ROWS else shared
+        numbers = classes.select(F.struct("n", "lo", "hi").alias("own"), "rep")
+        same = named.join(shared, "doc_id").select(F.struct("n", "lo", "hi").alias("own"), "most").distinct()
+        same = same.join(numbers, "own").select(F.col("rep").alias("u"), F.col("most").alias("own")).join(numbers, "own").select("u", F.col("rep").alias("v"))
+        links = links.unionByName(written(same.where("u <> v"), "forest-same-id"))
+        # A row without words belongs to the other texts of its id.
+        features = features.join(shared, "doc_id", "left")
+        own = F.when((F.col("n") == 0) & F.col("most").isNotNull(), F.col("most")).otherwise(F.struct("n", "lo", "hi"))
+    else:
+        own = F.struct("n", "lo", "hi")
+
     found = components(links, "forest-components")
-    by_class = written(classes.select("n", "lo", "hi", "rep").join(found, F.col("rep") == F.col("node"), "left").select(
-        "n", "lo", "hi", F.coalesce("root", "rep").alias("component")), "forest-result")
-    # Rows that share a doc id link their classes too; the smallest component stands for all.
-    c = by_class.select(F.col("n").alias("cn"), F.col("lo").alias("cl"), F.col("hi").alias("ch"), "component")
-    out = features.join(c, (F.col("n") == F.col("cn")) & (F.col("lo") == F.col("cl")) & (F.col("hi") == F.col("ch")), "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+    rooted = written(classes.select("n", "lo", "hi", "rep", "doc_id").join(found, F.col("rep") == F.col("node"), "left").select(
+        "n", "lo", "hi", "root", "doc_id"), "forest-rooted")
+    least = written(rooted.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component")), "forest-least")
+    least = F.broadcast(least) if least.count() <= BROADCAST_ROWS else least
+    alone = rooted.where("root is null").select("n", "lo", "hi", F.col("doc_id").alias("component"))
+    c = written(rooted.where("root is not null").join(least, "root").select("n", "lo", "hi", "component").unionByName(alone), "forest-result").select(
+        F.col("n").alias("cn"), F.col("lo").alias("cl"), F.col("hi").alias("ch"), "component")
+    out = features.withColumn("own", own).join(c, (F.col("own.n") == F.col("cn")) & (F.col("own.lo") == F.col("cl")) & (F.col("own.hi") == F.col("ch")), "left")
+    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
+    return out.select("doc_id", *(["text_hash"] if by_text else []), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -228,6 +228,19 @@ def test_forest_crowds(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 2, 80) == dict.fromkeys(range(120), 0)
 
 
+def test_forest_shared_ids(spark, monkeypatch):
+    """Doc ids on several texts, of which some have no words."""
+    a, b, c = ([f"{x}{i}" for i in range(40)] for x in "abc")
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (9, " ".join([*a[:39], "y"])), (8, " ".join([*b[:39], "z"])), (7, " ".join(c)), (7, ""), (6, " ".join(c)),
+            (4, None), (3, "alone here"), (3, None), (10, " ".join(a)), (10, " ".join(c))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_components(rows, 2, 80)
+    assert {(r.doc_id, r.component_id) for r in lsh_forest.near_duplicates(frame, size=2).collect()} == set(want.items())
+    assert want[9] == want[8] == want[7] == 5
+    several = frame.where("doc_id in (5, 8, 9)")
+    assert {(r.doc_id, r.component_id) for r in lsh_forest.near_duplicates(several, size=2).collect()} == {(5, 5), (8, 5), (9, 5)}
+
+
 def test_language(spark, docs, empty):
     got = QUERIES["op10_char_language"](spark, SF).collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
