@@ -2,7 +2,8 @@
 
 Every stage but the last returns the columns of ``documents``. Decisions: a document goes if its
 language is unknown, if a near duplicate with a smaller id stays, if nothing is left of it once
-repeated passages are cut, or if it holds a passage of the benchmark. The last stage gives each document's ids
+repeated passages are cut, or if it holds a passage of the benchmark. A decision holds for rows of the same id and text, so rows without an id are judged by
+their text, and texts that share an id each for itself. The last stage gives each document's ids
 and their round trip. Null ids and texts: see each operator.
 """
 
@@ -28,9 +29,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of near duplicates (five-word shingles, similarity 0.8)."""
-    groups = lsh_forest.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
-    gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    groups = lsh_forest.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80, by_text=True)
+    gone = groups.where("not kept").select("doc_id", "text_hash").distinct()
+    return docs.withColumn("text_hash", lsh_forest.text_hash(docs)).join(gone, ["doc_id", "text_hash"], "left_anti").select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +43,8 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten consecutive words of a benchmark item."""
-    found = winnowing.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    found = winnowing.contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keyed=True)
+    return docs.withColumn("key", winnowing.row_key(docs)).join(found.where("contaminated").select("key").distinct(), "key", "left_anti").select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,17 +72,23 @@ def sized(small: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = 10, k: int = 4) -> DataFrame:
+def row_key(docs: DataFrame) -> Column:
+    """Id and text hash of each row, never null."""
+    return F.concat_ws(":", docs["doc_id"].cast("string"), F.xxhash64(docs["text"].cast("string")).cast("string"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, length: int = 10, k: int = 4, keyed: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` for every row of
-    ``docs(doc_id, text)`` against ``items(item_id, text)``."""
+    ``docs(doc_id, text)`` against ``items(item_id, text)``; ``keyed`` puts the ``row_key`` as ``key`` before them."""
+    lead = ["key", "doc_id"] if keyed else ["doc_id"]
     items = items.select(F.col("item_id").cast("string").alias("item_id"), word_array(F.col("text").cast("string")).alias("words")).where(F.size("words") > 0)
     classes = written(items.groupBy("words").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item_id")).alias("ids")).select(
         F.xxhash64("words").alias("c"), "words", F.least(F.size("words"), F.lit(length)).alias("len"), "n_items", "ids"), "winnow-items")
     n_classes = classes.count()
     lengths = sorted(r.len for r in classes.select("len").distinct().collect())  # at most ``length`` numbers
 
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    key = row_key(texts)
     scanned = texts.select("doc_id", key.alias("key"), word_array(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
     plan = [(n, *((k, n - k + 1) if n == length else (n, 1))) for n in lengths]
     for n, gram, w in plan:
@@ -111,7 +117,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, k: int =
         seen = found if seen is None else seen.unionByName(found)
     if seen is None:
         none = F.lit(0).cast("long")
-        return texts.select("doc_id", F.size(word_array(F.col("text"))).cast("long").alias("n_words"), none.alias("n_hit"), none.alias("n_items"),
+        return texts.withColumn("key", key).select(*lead, F.size(word_array(F.col("text"))).cast("long").alias("n_words"), none.alias("n_hit"), none.alias("n_items"),
                             F.sha2(F.lit(""), 256).alias("items_sha256"), F.lit(False).alias("contaminated"))
 
     seen = written(seen, "winnow-windows")
@@ -122,5 +128,5 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, k: int =
              .groupBy("key").agg(F.sum("n_items").alias("n_items"), F.concat_ws(",", F.array_sort(F.flatten(F.collect_list("ids")))).alias("ids")))
     found = hit.join(named, "key").select(F.col("key").alias("k"), "n_hit", "n_items", "ids")
     out = prints.select("doc_id", "key", F.col("n_words").cast("long").alias("n_words")).join(found, F.col("key") == F.col("k"), "left")
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+    return out.select(*lead, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                       F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))

@@ -279,3 +279,16 @@ def test_pipeline(spark):
     assert kept and all(near[i] == i for i in kept)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.where("doc_id < 0"), SF).columns == docs.columns, name
+
+
+def test_pipeline_decisions_by_row(spark, tmp_path):
+    """Null ids, and ids on several texts, through the stages that drop rows."""
+    import corpus_pipeline
+    item = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    other = " ".join(f"v{i}" for i in range(30))
+    rows = [(None, f"see {item} here"), (None, "clean text"), (3, f"also {item}"), (3, "clean on the same id"), (4, None), (None, None), (1, other), (2, other), (2, "unique text on the id of a copy")]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = lambda f: sorted(((r.doc_id, r.text) for r in f.collect()), key=str)
+    assert left(corpus_pipeline.decontaminated(spark, frame, str(tmp_path))) == sorted([x for x in rows if item not in (x[1] or "")], key=str)
+    assert left(corpus_pipeline.near_duplicates(spark, frame, str(tmp_path))) == sorted([x for x in rows if x != (2, other)], key=str)
