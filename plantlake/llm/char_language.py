@@ -96,6 +96,14 @@ class Model:
     weights: np.ndarray
     temperature: float
 
+    def recognised(self, text: str | None, score: float, above_chance: float) -> bool:
+        """Whether a text has letters and its score goes the share ``above_chance`` of the way from an even
+        guess to certainty. With fewer than two languages letters are all there is to ask for."""
+        if not has_letter(text):
+            return False
+        n = len(self.languages)
+        return n < 2 or score >= (1 + above_chance * (n - 1)) / n
+
     def predict(self, text: str | None) -> tuple[str, float]:
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
@@ -156,16 +164,20 @@ def fit(labelled: DataFrame, sample_rows: int = 3000, held: float = 0.2) -> Mode
     return Model(languages, idf, weights, heat)
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with the columns ``lang_pred`` and ``score``. All other columns pass through."""
-    place = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def predict(docs: DataFrame, model: Model, text: str = "text", above_chance: float | None = None) -> DataFrame:
+    """``docs`` with the columns ``lang_pred`` and ``score``, and ``recognised`` if ``above_chance`` is given.
+    All other columns pass through."""
+    place, asked = docs.columns.index(text), above_chance is not None
+    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           *([T.StructField("recognised", T.BooleanType())] if asked else [])])
 
     def run(batches):
         for batch in batches:
-            found = [model.predict(x.as_py()) for x in batch.column(place)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f for f, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                                             names=[*batch.schema.names, "lang_pred", "score"])
+            texts = [x.as_py() for x in batch.column(place)]
+            found = [model.predict(x) for x in texts]
+            more = [pa.array([model.recognised(x, s, above_chance) for x, (_, s) in zip(texts, found)], pa.bool_())] if asked else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f for f, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64()), *more],
+                                             names=[*batch.schema.names, "lang_pred", "score", *(["recognised"] if asked else [])])
 
     return docs.mapInArrow(run, schema)
 
@@ -174,10 +186,11 @@ def remainder(doc_id: Column, by: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(by))
 
 
-def identified(docs: DataFrame, folds: int = 3, held_fold: int = 1, sample_rows: int = 3000, keep: tuple[str, ...] = ()) -> DataFrame:
+def identified(docs: DataFrame, folds: int = 3, held_fold: int = 1, sample_rows: int = 3000, keep: tuple[str, ...] = (),
+               above_chance: float | None = None) -> DataFrame:
     """Learn from the folds other than ``held_fold`` and predict every document:
-    ``(doc_id, *keep, held_out, lang_pred, score)``."""
+    ``(doc_id, *keep, held_out, lang_pred, score[, recognised])``."""
     fold = remainder(docs["doc_id"], folds)
     model = fit(docs.where(fold != held_fold).select(docs["doc_id"].alias("key"), "text", "lang"), sample_rows)
     source = docs.select("doc_id", *keep, F.coalesce(fold == held_fold, F.lit(False)).alias("held_out"), docs["text"].cast("string").alias("__text"))
-    return predict(source, model, "__text").drop("__text")
+    return predict(source, model, "__text", above_chance).drop("__text")

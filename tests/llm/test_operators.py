@@ -292,3 +292,50 @@ def test_pipeline_decisions_by_row(spark, tmp_path):
     left = lambda f: sorted(((r.doc_id, r.text) for r in f.collect()), key=str)
     assert left(corpus_pipeline.decontaminated(spark, frame, str(tmp_path))) == sorted([x for x in rows if item not in (x[1] or "")], key=str)
     assert left(corpus_pipeline.near_duplicates(spark, frame, str(tmp_path))) == sorted([x for x in rows if x != (2, other)], key=str)
+
+
+def test_pipeline_rows_of_each_stage(spark, tmp_path):
+    """Kept rows and texts of the stages against brute force, with and without labels."""
+    import corpus_pipeline
+    import tiktoken
+    given = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS).collect()]
+    copied = " ".join(f"r{i}" for i in range(70))
+    rows = [*given, (9001, None, "en", "s", 0), (9002, "12 34 !", "en", "s", 7), (None, "no id here", None, "s", 10), (9003, f"a start {copied} and end", "en", "s", 0), (9004, f"other opening {copied}", "en", "s", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    left = lambda f: sorted(((r.doc_id, r.text) for r in f.collect()), key=str)
+    lettered = sorted(((i, t) for i, t, *_ in rows if any(c.isalpha() for c in t or "")), key=str)
+    assert left(corpus_pipeline.language(spark, frame, SF)) == lettered
+    assert left(corpus_pipeline.language(spark, frame.drop("lang").selectExpr("doc_id", "text", "string(null) AS lang", "source", "n_chars"), SF)) == lettered
+
+    first, want = {}, []
+    for i, t, *_ in rows:
+        w = words(t, False)
+        for k in range(len(w) - 49 if i is not None else 0):
+            first[tuple(w[k:k + 50])] = min(i, first.get(tuple(w[k:k + 50]), i))
+    for i, t, *_ in rows:
+        w = words(t, False)
+        gone = {k + o for k in range(len(w) - 49 if i is not None else 0) if first[tuple(w[k:k + 50])] < i for o in range(50)}
+        if not gone or len(gone) < len(w):
+            want.append((i, " ".join(x for k, x in enumerate(w) if k not in gone) if gone else t))
+    assert (9004, "other opening") in want
+    assert left(corpus_pipeline.substrings(spark, frame, SF)) == sorted(want, key=str)
+
+    marked = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        v = marked(r.text)
+        n = min(10, len(v))
+        windows |= {tuple(v[k:k + n]) for k in range(len(v) - n + 1)} if n else set()
+    sizes = {len(x) for x in windows}
+    clean = lambda t: (w := marked(t), not any(tuple(w[k:k + n]) in windows for n in sizes for k in range(len(w) - n + 1)))[1]
+    assert left(corpus_pipeline.decontaminated(spark, frame, SF)) == sorted(((i, t) for i, t, *_ in rows if clean(t)), key=str)
+
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=fold_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    got = sorted(((r.doc_id, bytes(r.ids)) for r in corpus_pipeline.encoded(spark, frame, SF).collect()), key=str)
+    assert got == sorted(((i, np.array(coder.encode_ordinary(t or ""), "<u4").tobytes()) for i, t, *_ in rows), key=str)
+
+
+def test_recognised():
+    model = char_language.Model(["a", "b", "c", "d"], None, None, 1.0)
+    assert not model.recognised("text", 0.32, 0.1) and model.recognised("text", 0.33, 0.1) and not model.recognised("12", 0.9, 0.1)
+    assert char_language.Model([], None, None, 1.0).recognised("text", 0.0, 0.1) and char_language.Model(["a"], None, None, 1.0).recognised("text", 1.0, 0.1)
