@@ -48,7 +48,7 @@ def test_sql(spark, name):
 
 
 def test_names():
-    assert [re.match(r"op(\d+)_", n)[1] for n in QUERIES if n != "pipeline"] == [str(i) for i in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in QUERIES if n != "pipeline"] == [str(i) for i in range(1, 14)]
 
 
 def test_counts(docs, empty):
