@@ -1,7 +1,8 @@
 """Catalogue of the plant datasets and how each is refreshed.
 
 Bronze and silver tables are append-only streams with a checkpoint each; gold
-views are recomputed from the silver tables. Functions are called in order by
+views are recomputed from the silver tables, or kept up to date from what is new in them.
+A refresh is one commit: readers see the view before or after it. Functions are called in order by
 the user; nothing here schedules anything.
 """
 
@@ -13,13 +14,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from plantlake.plans import gold, silver
+from plantlake.plans import gold, incremental, silver
 from plantlake.schema import PLANT_TABLES, column_names
 from plantlake.sources.files import parquet_stream
 from plantlake.sources.records import decode_json
-from plantlake.sources.tables import read_table, write_path
+from plantlake.sources.snapshots import Snapshots
+from plantlake.sources.tables import read_table
 from plantlake.streaming.ingest import append_stream, ingest_stream, run_to_end
 from plantlake.streaming.live import dedup_stream
+from plantlake.streaming.merge import merge_stream
 
 LIVE_FIELDS = """
     reading_id string, sensor_id string, unit_id string, refinery_id string,
@@ -37,6 +40,7 @@ class Dataset:
     inputs: tuple[str, ...] = ()  # streamed first input, then batch inputs
     partition_ts: str | None = None  # stored in one folder per period of this column
     period: str = "day"  # or month, for tables with far fewer rows a day than readings
+    increment: Callable[..., incremental.Increment] | None = None  # how a view is kept from what is new
 
 
 def _bronze(table: str) -> Dataset:
@@ -64,18 +68,18 @@ DATASETS: dict[str, Dataset] = {d.name: d for d in [
     Dataset("silver_tank_inventory", "silver", "Valid tank snapshots with status", {"quality": "silver"},
             silver.silver_tank_inventory, ("bronze_fact_tank_inventory",), "measurement_timestamp", "month"),
     Dataset("gold_anomaly_alerts", "gold", "Five-minute alert groups", {"quality": "gold"},
-            gold.anomaly_alerts, ("silver_sensor_readings",)),
+            gold.anomaly_alerts, ("silver_sensor_readings",), increment=incremental.alerts),
     Dataset("gold_equipment_health", "gold", "Health and maintenance per unit and day", {"quality": "gold"},
             gold.equipment_health,
-            ("silver_sensor_readings", "bronze_dim_processing_units", "bronze_dim_refineries")),
+            ("silver_sensor_readings", "bronze_dim_processing_units", "bronze_dim_refineries"), increment=incremental.health),
     Dataset("gold_refinery_kpis", "gold", "Daily figures per site", {"quality": "gold"},
-            gold.daily_kpis, ("silver_production", "bronze_dim_refineries")),
+            gold.daily_kpis, ("silver_production", "bronze_dim_refineries"), increment=incremental.kpis),
     Dataset("gold_product_yield", "gold", "Yield per feed grade and product", {"quality": "gold"},
-            gold.product_yield, ("silver_production", "bronze_dim_crude_types", "bronze_dim_products")),
+            gold.product_yield, ("silver_production", "bronze_dim_crude_types", "bronze_dim_products"), increment=incremental.yields),
     Dataset("gold_inventory_status", "gold", "Current status of every tank", {"quality": "gold"},
-            gold.inventory_status_view, ("silver_tank_inventory", "bronze_dim_storage_tanks")),
+            gold.inventory_status_view, ("silver_tank_inventory", "bronze_dim_storage_tanks"), increment=incremental.newest_snapshots),
     Dataset("gold_inventory_by_tank", "gold", "Active tanks by their own limits", {"quality": "gold"},
-            gold.inventory_status_view, ("silver_tank_inventory", "bronze_dim_storage_tanks", "bronze_dim_refineries")),
+            gold.inventory_status_view, ("silver_tank_inventory", "bronze_dim_storage_tanks", "bronze_dim_refineries"), increment=incremental.newest_snapshots),
 ]}
 
 
@@ -91,7 +95,13 @@ class Lake:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 
+    def store(self, name: str) -> Snapshots:
+        return Snapshots(self.spark, self.path(name))
+
     def table(self, name: str) -> DataFrame:
+        """A dataset as it is now. Of a gold view the newest commit, also while it is refreshed."""
+        if name in DATASETS and DATASETS[name].layer == "gold":
+            return self.store(name).read()
         return read_table(self.spark, self.path(name))
 
     def stream(self, name: str) -> DataFrame:
@@ -135,16 +145,40 @@ class Lake:
 
     def publish(self, schema: str, names: list[str]) -> None:
         """Make stored datasets known by name, as views with their comment and properties. A view
-        reads the folder as it is, with the commits of its stream and all partitions."""
+        reads the folder as it is, with the commits of its stream and all partitions; that of a gold view
+        reads its newest commit and is to be published again after a refresh."""
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
         quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
         for name in names:
             d = DATASETS[name]
             pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in {"layer": d.layer, **d.properties}.items())
+            place = self.path(name)
+            if d.layer == "gold":
+                place += "/{" + ",".join(sorted(self.store(name).commit().parts.values())) + "}"
             self.spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} COMMENT {quoted(d.comment)} TBLPROPERTIES ({pairs}) "
-                           f"AS SELECT * FROM parquet.`{self.path(name)}`")
+                           f"AS SELECT * FROM parquet.`{place}`")
 
     def refresh(self, name: str, **options) -> None:
-        """Recompute a gold view from its inputs and replace it."""
+        """Recompute a gold view from its inputs and replace it in one commit."""
+        d = DATASETS[name]
+        rows = d.build(*[self.table(i) for i in d.inputs], **options)
+        view_part = d.increment().view_part
+        self.store(name).replace(rows, view_part(rows) if view_part else F.lit("all"))
+
+    def refresh_new(self, name: str, settings: dict | None = None, continuous: str | None = None, **options) -> StreamingQuery:
+        """Bring a gold view up to date with the silver rows that came since the last call. Only the days that these rows belong to
+        are rewritten. ``settings`` go to the view's increment and must stay the same, ``options`` to its last step."""
         d = DATASETS[name]
-        write_path(d.build(*[self.table(i) for i in d.inputs], **options), self.path(name))
+        inc, view = d.increment(**(settings or {})), self.store(name)
+        kept = Snapshots(self.spark, f"{self.root}/_partials/{name}")
+
+        def finish(touched: list[str], query: str, batch: int) -> None:
+            if view.holds(query, batch):
+                return
+            stored = kept.read(touched if inc.view_part else None)
+            rows = inc.finish(stored, *[self.table(i) for i in d.inputs[1:]], **options)
+            view.replace(rows, inc.view_part(rows) if inc.view_part else F.lit("all"), touched if inc.view_part else None, query, batch)
+            view.vacuum()
+
+        return self._run(merge_stream(self.stream(d.inputs[0]), kept, inc.reduce, inc.combine, inc.part, self.checkpoint(name), finish,
+                                      inc.owned, continuous=continuous), continuous)

@@ -63,7 +63,11 @@ def equipment_health(readings: DataFrame, units: DataFrame, sites: DataFrame, as
                      days: int = HEALTH_DAYS) -> DataFrame:
     """Health and maintenance state of every unit, also of units without readings."""
     today = F.current_date() if as_of is None else as_of
-    scores = unit_scores(readings, today, days)
+    return health_of(unit_scores(readings, today, days), units, sites, today)
+
+
+def health_of(scores: DataFrame, units: DataFrame, sites: DataFrame, today: Column) -> DataFrame:
+    """State of every unit from its scores per day."""
     with_site = enrich_left(units, sites, "refinery_id", ["refinery_name"])
     joined = dim_first(with_site, scores, "unit_id", ["reading_date", "avg_anomaly_rate", "avg_volatility"])
     return joined.select(
@@ -77,17 +81,26 @@ def equipment_health(readings: DataFrame, units: DataFrame, sites: DataFrame, as
 
 def daily_kpis(production: DataFrame, sites: DataFrame, on_spec: str = ON_SPEC) -> DataFrame:
     """Site and day: volumes, yield, capacity use, energy, downtime and quality."""
-    measures = [
+    share = F.avg(F.when(F.col("quality_grade") == on_spec, 1.0).otherwise(0.0))
+    measures = daily_measures(share, distinct_count("unit_id"))
+    return with_site(by_day(production, "production_hour", ["refinery_id"], measures, "production_date"), sites)
+
+
+def daily_measures(on_spec_rate: Column, units: Column) -> list[Column]:
+    """Aggregates of a day; the number of units and the share on specification depend on the form of the rows."""
+    return [
         F.sum("input_volume_barrels").alias("total_crude_processed"),
         F.sum("output_volume_barrels").alias("total_products_produced"),
         ratio_of_sums("output_volume_barrels", "input_volume_barrels").alias("overall_yield"),
         ratio_of_sums("energy_consumed_mmbtu", "output_volume_barrels").alias("energy_intensity"),
         F.sum("downtime_minutes").alias("total_downtime_minutes"),
-        rules.safe_ratio(F.sum("downtime_minutes"), distinct_count("unit_id") * MINUTES_PER_UNIT)
-        .alias("downtime_percentage"),
-        F.avg(F.when(F.col("quality_grade") == on_spec, 1.0).otherwise(0.0)).alias("on_spec_rate"),
+        rules.safe_ratio(F.sum("downtime_minutes"), units * MINUTES_PER_UNIT).alias("downtime_percentage"),
+        on_spec_rate.alias("on_spec_rate"),
     ]
-    daily = by_day(production, "production_hour", ["refinery_id"], measures, "production_date")
+
+
+def with_site(daily: DataFrame, sites: DataFrame) -> DataFrame:
+    """Daily figures with the site's attributes and the use of its capacity."""
     site = ["refinery_name", "location_city", "location_state", "capacity_bpd"]
     joined = lookup(daily, sites, "refinery_id", site, how="inner")
     use = rules.safe_ratio("total_crude_processed", "capacity_bpd").alias("capacity_utilization")
@@ -105,6 +118,11 @@ def product_yield(production: DataFrame, crudes: DataFrame, products: DataFrame)
                     F.min("yield_percentage").alias("min_yield"),
                     F.max("yield_percentage").alias("max_yield"),
                     F.count("*").alias("sample_count")))
+    return yield_of(grouped, crudes, products)
+
+
+def yield_of(grouped: DataFrame, crudes: DataFrame, products: DataFrame) -> DataFrame:
+    """Yield statistics with the attributes of feed grade and product."""
     joined = join_inner(grouped, [
         (crudes, {"input_crude_type_id": "crude_type_id"},
          {"crude_name": "crude_name", "classification": "crude_class", "sweetness": "sweetness"}),

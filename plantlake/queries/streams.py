@@ -13,9 +13,10 @@ from plantlake.queries.datasets import ALERTS, shown_alerts
 from plantlake.queries.sources import landed
 from plantlake.session import fresh_dir
 from plantlake.sources.files import parquet_stream
-from plantlake.sources.tables import read_table
+from plantlake.sources.snapshots import Snapshots
 from plantlake.streaming.ingest import append_stream, ingest_table, run_to_end
 from plantlake.streaming.live import dedup_stream, latest_stream, replace_each_batch, stream_alerts
+from plantlake.streaming.merge import upsert_latest
 
 
 def reading_stream(t: Tables):
@@ -89,15 +90,23 @@ def restarted(t: Tables):
 
 @query("stream_latest", REGISTRY["latest_per_key"].sql)
 def latest(t: Tables):
+    dst = fresh_dir(t.spark, "stream-latest")
+    rows = parquet_stream(t.spark, t.path("events"))
+    run_to_end(upsert_latest(rows, dst, f"{dst}-checkpoint", ["user_id"], "ts", ["event_id"], buckets=8))
+    return Snapshots(t.spark, dst).read()
+
+
+@query("stream_latest_complete", REGISTRY["latest_per_key"].sql)
+def latest_complete(t: Tables):
+    """All keys again after every batch, for few keys."""
     dst = fresh_dir(t.spark, "stream-latest")
     rows = parquet_stream(t.spark, t.path("events"))
     run_to_end(replace_each_batch(latest_stream(rows, ["user_id"], "ts", ["event_id"]), dst, f"{dst}-checkpoint"))
-    return read_table(t.spark, dst)
+    return Snapshots(t.spark, dst).read()
 
 
 @query("stream_dedup", with_bound(
     "SELECT reading_id, sensor_id, reading_timestamp, reading_value FROM readings", "readings"))
 def dedup(t: Tables):
     rows = reading_stream(t).select("reading_id", "sensor_id", "reading_timestamp", "reading_value")
-    return landed(t, dedup_stream(union_feeds(rows, rows), ["reading_id"], "reading_timestamp", collapse=True),
-                  "stream-dedup")
+    return landed(t, dedup_stream(union_feeds(rows, rows), ["reading_id"], "reading_timestamp", spread=4), "stream-dedup")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.functions.columns import utc_instant
 from plantlake.plans.gold import anomaly_alerts
+from plantlake.sources.snapshots import Snapshots
 
 LATENESS = "10 minutes"
 
@@ -32,34 +32,29 @@ def latest_stream(df: DataFrame, keys: list[str], ts: str, tie_break: list[str])
     return kept.select("__row.*")
 
 
-def collapse_copies(df: DataFrame, ids: list[str]) -> DataFrame:
-    """First row per id of each Arrow batch. It needs no shuffle or state, which no
-    built-in streaming operator offers, and leaves one of thousands of copies."""
-    def first_rows(batches):
-        for batch in batches:
-            rows = pa.Table.from_batches([batch]).append_column("__row", pa.array(range(batch.num_rows), pa.int64()))
-            first = rows.select([*ids, "__row"]).group_by(ids).aggregate([("__row", "min")])["__row_min"]
-            yield batch.take(first.combine_chunks().sort())
-
-    return df.mapInArrow(first_rows, df.schema)
-
-
-def dedup_stream(df: DataFrame, ids: list[str], ts: str, lateness: str = LATENESS,
-                 collapse: bool = False) -> DataFrame:
+def dedup_stream(df: DataFrame, ids: list[str], ts: str, lateness: str = LATENESS, spread: int = 16) -> DataFrame:
     """Drop redelivered rows. An id is remembered until the watermark passes its
     event time by ``lateness``, which bounds the state.
 
-    All copies of an id meet in one task. Where one id may hold a large share of a
-    feed, ``collapse`` drops most copies before that shuffle.
+    It takes two stateful steps: copies of an id are first dealt over ``spread`` tasks, which keep one each, and these meet in one
+    task. So an id that holds a large share of a feed loads no task with more than its share by ``spread``. The salt
+    is a hash of the row and its input partition: a retried task gives the same salts, and equal copies
+    of different partitions get different ones. With ``spread`` 1 there is one step.
     """
-    rows = collapse_copies(df, ids) if collapse else df
-    return with_event_time(rows, ts).withWatermark(ts, lateness).dropDuplicatesWithinWatermark(ids)
+    timed = with_event_time(df, ts).withWatermark(ts, lateness)
+    if spread > 1:
+        salt = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(spread))
+        timed = timed.withColumn("__salt", salt).dropDuplicatesWithinWatermark([*ids, "__salt"]).drop("__salt")
+    return timed.dropDuplicatesWithinWatermark(ids)
 
 
 def replace_each_batch(df: DataFrame, dst: str, checkpoint: str) -> StreamingQuery:
-    """Complete-mode sink that overwrites ``dst``, for results small enough to rewrite."""
+    """Complete-mode sink that replaces ``dst`` in one commit per batch, for results small enough to rewrite."""
+    store = Snapshots(df.sparkSession, dst)
+
     def overwrite(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(dst)
+        store.replace(batch, F.lit("all"))
+        store.vacuum()
 
     return (df.writeStream.outputMode("complete").foreachBatch(overwrite)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -9,8 +9,9 @@ from plantlake.operators.latest import flat_window, latest_per_key
 from plantlake.plans import gold, silver
 from plantlake.queries import bindings as B
 from plantlake.sources.files import parquet_stream
+from plantlake.sources.snapshots import Snapshots
 from plantlake.streaming.ingest import append_stream, run_to_end
-from plantlake.streaming.live import collapse_copies, dedup_stream, latest_stream, replace_each_batch, stream_alerts
+from plantlake.streaming.live import dedup_stream, latest_stream, replace_each_batch, stream_alerts
 
 
 def drained(df, tmp_path, name="out"):
@@ -89,22 +90,26 @@ def batches(spark, tmp_path, parts):
 
 def test_dedup_within_and_across_batches(spark, tmp_path):
     parts = [[(1, "a", "2024-01-01 00:00:00"), (1, "a", "2024-01-01 00:00:00"), (2, "a", "2024-01-01 00:01:00")],
-             [(2, "a", "2024-01-01 00:01:00"), (3, "b", "2024-01-01 00:02:00")]]
-    for collapse in (False, True):
-        folder = tmp_path / str(collapse)
+             [(2, "a", "2024-01-01 00:01:00"), (3, "b", "2024-01-01 00:02:00")], [(1, "x", "2024-01-01 00:01:00")]]
+    for spread in (1, 4):
+        folder = tmp_path / str(spread)
         folder.mkdir()
-        out = drained(dedup_stream(batches(spark, folder, parts), ["id"], "ts", collapse=collapse), folder)
-        assert [r.id for r in out.orderBy("id").collect()] == [1, 2, 3]
+        out = drained(dedup_stream(batches(spark, folder, parts), ["id"], "ts", spread=spread), folder)
+        assert out.columns == ["id", "k", "ts"] and [r.id for r in out.orderBy("id").collect()] == [1, 2, 3]
 
 
-def test_collapse_keeps_one_whole_row_per_id_and_batch(spark):
-    df = spark.range(0, 5000, 1, 1).select(
-        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("i"), F.col("id").alias("n"),
-        F.lit("2024-01-01").cast("timestamp").alias("ts"))
-    out = collapse_copies(df, ["i"])
-    assert out.schema == df.schema
-    assert out.count() == 2501 and out.where("i = 0").collect()[0].n == 0
-    assert out.where("i <> 0 and i <> n").isEmpty()
+def test_dedup_deals_a_hot_id_over_tasks(spark, tmp_path):
+    """A third of the feed has one id. No task of the first step gets more than a part of it, the second one gets few rows."""
+    src = str(tmp_path / "src")
+    spark.range(0, 6000, 1, 12).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("i"), F.lit("x").alias("v"),
+                                       F.lit("2024-01-01").cast("timestamp").alias("ts")).write.parquet(src)
+    stream = dedup_stream(parquet_stream(spark, src), ["i"], "ts", spread=8)
+    query = run_to_end(append_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert tuple(spark.read.parquet(str(tmp_path / "out")).agg(F.count("*"), F.countDistinct("i")).first()) == (4001, 4001)
+    first, second = [p for p in query.recentProgress if p.numInputRows][0].stateOperators[::-1]  # last operator first
+    assert first.numRowsUpdated - second.numRowsUpdated in range(1, 8)
+    salted = spark.read.parquet(src).groupBy("i", F.pmod(F.xxhash64("i", "v", "ts", F.spark_partition_id()), F.lit(8))).count()
+    assert salted.agg(F.max("count")).first()[0] <= 1000
 
 
 def test_late_row_is_dropped_by_the_watermark(spark, tmp_path):
@@ -120,7 +125,7 @@ def test_latest_stream_equals_batch(spark, tmp_path):
     stream = batches(spark, tmp_path, parts)
     run_to_end(replace_each_batch(latest_stream(stream, ["k"], "ts", ["id"]), str(tmp_path / "o"), str(tmp_path / "cp")))
     batch = latest_per_key(spark.read.parquet(str(tmp_path / "src")), ["k"], "ts", ["id"])
-    assert same(spark.read.parquet(str(tmp_path / "o")), batch)
+    assert same(Snapshots(spark, str(tmp_path / "o")).read(), batch)
     assert [r.id for r in batch.orderBy("k").collect()] == [3, 5]
 
 
