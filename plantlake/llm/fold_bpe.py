@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked
 from plantlake.llm.heap_bpe import merges
-from plantlake.llm.spans import distinct, span_hashes, units
+from plantlake.llm.spans import exact_distinct, units
 
 FOLD_BYTES = 64
 #: Small maps that the rank map is dealt into.
@@ -125,7 +125,7 @@ def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs,
     """Documents, words to fold, ids of the other words, and the word numbers of each text. Texts
     are cut a step at a time; a unit is split into words once per shard."""
     number: dict[str, int] = {}
-    split: dict[int, np.ndarray] = {}
+    split: dict[bytes, bytes] = {}
     codes, edges = [], [np.zeros(1, np.int64)]
     i = total = 0
     while i < len(texts):
@@ -134,12 +134,13 @@ def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs,
             size += len(texts[j])
             j += 1
         buf, starts, ends, first = units(texts[i:j])
-        keys, at, each = distinct(span_hashes(buf, starts, ends))
+        at, each = exact_distinct(buf, starts, ends)
         data, own = buf.tobytes(), []
-        for key, place in zip(keys.tolist(), at.tolist()):
-            words = split.get(key)
+        for a, b in zip(starts[at].tolist(), ends[at].tolist()):
+            unit = data[a:b]
+            words = split.get(unit)
             if words is None:
-                words = split[key] = array("i", [number.setdefault(w, len(number)) for w in pattern.findall(data[starts[place]:ends[place]].decode())]).tobytes()
+                words = split[unit] = array("i", [number.setdefault(w, len(number)) for w in pattern.findall(unit.decode())]).tobytes()
             own.append(words)
         pool = np.frombuffer(b"".join(own), np.int32)
         sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
@@ -190,7 +191,7 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
         find = regex.compile(pattern)
         for batch, texts in merged(batches, PIECE):
             buf, starts, ends, _ = units(texts)
-            _, at, each = distinct(span_hashes(buf, starts, ends))
+            at, each = exact_distinct(buf, starts, ends)
             data, n = buf.tobytes(), Counter()
             for j, k in zip(at, np.bincount(each, minlength=len(at)).tolist()):
                 for w in find.findall(data[starts[j]:ends[j]].decode()):

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plantlake.llm.common import packed, steps, unpacked, written
 from plantlake.llm.ranges import id_bounds, part_of, storage
-from plantlake.llm.spans import distinct, span_hashes, units
+from plantlake.llm.spans import exact_distinct, units
 from plantlake.session import fresh_dir
 
 NULL_ID = -(1 << 63)
@@ -45,7 +45,8 @@ SKIPPABLE, END = 0x184D2A5E, b"FRMTABLE"
 ENTRY = struct.Struct("<QQQqqQQQ")
 #: Ids per frame at least, unless the file ends.
 FRAME_IDS = 1 << 18
-REMEMBERED = 1_300_000
+#: Units whose ids a worker keeps, each of so many bytes at most. Results don't depend on it.
+REMEMBERED, KEPT = 1_000_000, 64
 
 
 class Encoder:
@@ -58,7 +59,7 @@ class Encoder:
         self.library = Tokenizer.from_buffer(data)
         special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile(b"|".join(map(re.escape, special))) if special else None
-        self.units: dict[int, bytes] = {}
+        self.units: dict[bytes, bytes] = {}
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -88,18 +89,21 @@ class Encoder:
         for i in odd:  # special strings are no units; the library takes these texts whole
             plain[i] = b""
         buf, starts, ends, first = units(plain)
-        keys, at, each = distinct(span_hashes(buf, starts, ends))
+        at, each = exact_distinct(buf, starts, ends)
         if len(self.units) > REMEMBERED:
             self.units.clear()
-        known, names, data = self.units, keys.tolist(), buf.tobytes()
-        new = [(key, at[i]) for i, key in enumerate(names) if key not in known]
+        known, data = self.units, buf.tobytes()
+        names = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        own: dict[bytes, bytes] = {}
+        new = [name for name in names if name not in known]
         for k in range(0, len(new), 4096):
-            some = [(key, data[starts[j]:ends[j]]) for key, j in new[k:k + 4096]]
-            spaced = [x for x in some if x[1][:1] == b" " and x[1][1:2] > b" "]
-            known.update(zip((key for key, _ in spaced), self.together([p for _, p in spaced])))
-            others = [x for x in some if x[0] not in known]
-            known.update(zip((key for key, _ in others), self.whole([p.decode() for _, p in others])))
-        found = [known[key] for key in names]
+            some = new[k:k + 4096]
+            spaced = [x for x in some if x[:1] == b" " and x[1:2] > b" "]
+            own.update(zip(spaced, self.together(spaced)))
+            others = [x for x in some if x not in own]
+            own.update(zip(others, self.whole([x.decode() for x in others])))
+        found = [own[name] if name in own else known[name] for name in names]
+        known.update((name, ids) for name, ids in own.items() if len(name) <= KEPT)
         pool = np.frombuffer(b"".join(found), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begin = np.cumsum(sizes) - sizes

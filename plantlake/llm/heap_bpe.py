@@ -25,10 +25,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from plantlake.llm.common import steps
-from plantlake.llm.spans import distinct, span_hashes, units
+from plantlake.llm.spans import exact_distinct, units
 
-#: Units whose counts a worker keeps; beyond it the memory starts anew. Results don't depend on it.
-REMEMBERED = 1_000_000
+#: Units whose counts a worker keeps, each of so many bytes at most; beyond it the memory starts anew. Results don't depend on it.
+REMEMBERED, KEPT = 1_000_000, 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -58,7 +58,7 @@ class Vocabulary:
             if self.special else None
         self.pattern = regex.compile(pattern)
         self.words: dict[str, int] = {}
-        self.units: dict[int, int] = {}
+        self.units: dict[bytes, int] = {}
 
     def count(self, text: str) -> int:
         """Tokens of one text, without special strings."""
@@ -70,7 +70,8 @@ class Vocabulary:
                 n = len(symbols) - merges(symbols, self.pairs)
                 if len(self.words) >= REMEMBERED:
                     self.words.clear()
-                self.words[word] = n
+                if len(word) <= KEPT:
+                    self.words[word] = n
             total += n
         return total
 
@@ -109,16 +110,18 @@ def count_step(texts: list[bytes], vocabulary: Vocabulary) -> np.ndarray:
         owner = np.repeat(owner, [len(some) for some in cut])
         extra = np.array([len(some) - 1 for some in cut], np.int64)
     buf, starts, ends, first = units(parts)
-    keys, at, each = distinct(span_hashes(buf, starts, ends))
+    at, each = exact_distinct(buf, starts, ends)
     known, data = vocabulary.units, buf.tobytes()
     if len(known) > REMEMBERED:
         known.clear()
-    counts = np.empty(len(keys), np.int64)
-    for i, key in enumerate(keys.tolist()):
-        n = known.get(key)
+    counts = np.empty(len(at), np.int64)
+    for i, (a, b) in enumerate(zip(starts[at].tolist(), ends[at].tolist())):
+        unit = data[a:b]
+        n = known.get(unit)
         if n is None:
-            j = at[i]
-            n = known[key] = vocabulary.count(data[starts[j]:ends[j]].decode())
+            n = vocabulary.count(unit.decode())
+            if b - a <= KEPT:
+                known[unit] = n
         counts[i] = n
     sums = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts[each])])
     return extra + np.bincount(owner, sums[first[1:]] - sums[first[:-1]], len(texts)).astype(np.int64)

@@ -1,8 +1,8 @@
 """Words and token-boundary units of many texts at once, as offsets and 64-bit hashes.
 
-A span's hash is a polynomial over random byte weights, taken from running sums, so that a task
+A span's hash is a pair of polynomials over random byte weights modulo a prime, taken from running sums, so that a task
 never makes a Python object for a word that it has seen before. Two hashes with different
-``seed`` are independent.
+``seed`` are independent. Where equal hashes must mean equal bytes, ``exact_distinct`` compares the bytes.
 """
 
 from __future__ import annotations
@@ -23,8 +23,13 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 #: White space outside ASCII, in UTF-8.
 _WIDE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
-_SEEDS: dict[int, tuple[np.ndarray, int, int]] = {}
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+PRIME = (1 << 31) - 1
+#: Spans beyond this many bytes are compared as Python bytes.
+_LONG = 4096
+
+_SEEDS: dict[int, list[tuple[np.ndarray, int, int]]] = {}
+_POWERS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+_BASES: dict[int, int] = {}
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -36,38 +41,52 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(32))
 
 
-def _seeded(seed: int) -> tuple[np.ndarray, int, int]:
+def _seeded(seed: int) -> list[tuple[np.ndarray, int, int]]:
+    """Weights, base and inverse base of both polynomials."""
     if seed not in _SEEDS:
         rng = np.random.default_rng(7919 + seed)
-        base = int(rng.integers(1 << 62, 1 << 63)) | 5
-        _SEEDS[seed] = rng.integers(1, 1 << 63, 256, dtype=np.int64).astype(U), base, pow(base, -1, 1 << 64)
+        bases = [int(x) for x in rng.integers(1 << 20, PRIME - 1, 2)]
+        _SEEDS[seed] = [(rng.integers(1, PRIME, 256, dtype=np.int64).astype(U), base, pow(base, -1, PRIME)) for base in bases]
     return _SEEDS[seed]
 
 
-def _powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    if seed not in _POWERS or len(_POWERS[seed][0]) < n:
-        _, base, inverse = _seeded(seed)
-        up, down = (np.cumprod(np.concatenate([np.ones(1, U), np.full(n - 1, x, U)])) for x in (base, inverse))
+def _row_of_powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, U)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have:have + more] = out[:more] * U(pow(base, have, PRIME)) % U(PRIME)
+        have += more
+    return out
+
+
+def _powers(seed: int, k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    if (seed, k) not in _POWERS or len(_POWERS[seed, k][0]) < n:
+        _, base, inverse = _seeded(seed)[k]
+        both = _row_of_powers(base, n), _row_of_powers(inverse, n)
         if n > 4 * _BLOCK:
-            return up, down
-        _POWERS[seed] = up, down
-    return _POWERS[seed]
+            return both
+        _POWERS[seed, k] = both
+    return _POWERS[seed, k]
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """Hash of each span of bytes; spans ascend and don't overlap. Works in blocks of the buffer."""
     out = np.empty(len(starts), U)
-    weights = _seeded(seed)[0]
     i = 0
     while i < len(starts):
         first = int(starts[i])
         j = max(i + 1, int(np.searchsorted(ends, first + _BLOCK, side="right")))
         last = int(ends[j - 1])
-        up, down = _powers(seed, max(_BLOCK, last - first) + 1)
-        sums = np.zeros(last - first + 1, U)
-        np.cumsum(weights[buf[first:last]] * up[:last - first], out=sums[1:])
-        a, b = starts[i:j] - first, ends[i:j] - first
-        out[i:j] = mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(U))
+        a, b, parts = starts[i:j] - first, ends[i:j] - first, []
+        for k, (weights, _, _) in enumerate(_seeded(seed)):
+            up, down = _powers(seed, k, max(_BLOCK, last - first) + 1)
+            terms = weights[buf[first:last]] * up[:last - first]
+            terms = (terms & U(PRIME)) + (terms >> U(31))  # below 2^32, so that running sums fit
+            sums = np.zeros(last - first + 1, U)
+            np.cumsum(terms, out=sums[1:])
+            parts.append((sums[b] - sums[a]) % U(PRIME) * down[a] % U(PRIME))
+        out[i:j] = mixed((parts[0] << U(32) | parts[1]) + (b - a).astype(U) * U(0x9E3779B97F4A7C15))
         i = j
     return out
 
@@ -83,15 +102,57 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], number
 
 
+def differing(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Numbers of the spans whose bytes are not those of span ``other`` (a number for each)."""
+    sizes = ends - starts
+    odd = sizes != sizes[other]
+    live = np.flatnonzero(~odd & (other != np.arange(len(starts))) & (sizes > 0))
+    data = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(buf) + 1,), "<u8", data, strides=(1,))  # eight bytes from every place on
+    step = 0
+    for i in live[sizes[live] > _LONG].tolist():
+        j = other[i]
+        odd[i] = buf[starts[i]:ends[i]].tobytes() != buf[starts[j]:ends[j]].tobytes()
+    live = live[sizes[live] <= _LONG]
+    while len(live):
+        size = sizes[live]
+        at = np.minimum(step, np.maximum(size - 8, 0))
+        spare = U(8) * np.maximum(8 - size, 0).astype(U)  # bits of a short span's load that are not its own
+        odd[live] |= ((eight[starts[live] + at] ^ eight[starts[other[live]] + at]) << spare) != 0
+        step += 8
+        live = live[(size > step) & ~odd[live]]
+    return np.flatnonzero(odd)
+
+
+def exact_distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(a place of each distinct span, number of each span's distinct one)``, told apart by their bytes."""
+    _, at, each = distinct(span_hashes(buf, starts, ends))
+    if len(at) == 0:
+        return at, each
+    odd = differing(buf, starts, ends, at[each])
+    if len(odd):  # other spans of the same hash
+        found: dict[bytes, int] = {}
+        places = at.tolist()
+        for i in odd.tolist():
+            name = buf[starts[i]:ends[i]].tobytes()
+            if name not in found:
+                found[name] = len(places)
+                places.append(i)
+            each[i] = found[name]
+        at = np.array(places, np.int64)
+    return at, each
+
+
 def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Hash of every run of ``length`` neighbours in an array of word hashes."""
     n = len(words) - length + 1
     if n <= 0:
         return np.empty(0, U)
     out = np.zeros(n, U)
-    _, base, _ = _seeded(seed)
+    if seed not in _BASES:
+        _BASES[seed] = int(np.random.default_rng(104729 + seed).integers(1 << 62, 1 << 63)) | 5
     for k in range(length):
-        out *= U(base)
+        out *= U(_BASES[seed])
         out += words[k:k + n]
     return mixed(out)
 
