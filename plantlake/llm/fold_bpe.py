@@ -60,7 +60,7 @@ def let(value: Column, body) -> Column:
 
 
 class Codec:
-    """Column expressions for one vocabulary."""
+    """Column expressions for one vocabulary. The literal tables stand in a plan once per call of ``encoded`` or ``decoded``; below it they are variables."""
 
     def __init__(self, ranks: dict[bytes, int]):
         maps: list[dict[str, int]] = [{} for _ in range(MAPS)]
@@ -74,30 +74,38 @@ class Codec:
         self.maps = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
         self.pieces = F.from_json(F.lit(json.dumps([base64.b64encode(p).decode() for p in pieces])), "array<binary>")
 
-    def rank(self, token: Column) -> Column:
+    def encoded(self, words: Column) -> Column:
+        """Ids of each word of an array; null for null."""
+        return let(self.maps, lambda maps: F.transform(words, lambda w: F.when(w.isNotNull(), self.encode(maps, w))))
+
+    def decoded(self, ids: Column) -> Column:
+        """Bytes of each list of ids."""
+        return let(self.pieces, lambda pieces: F.transform(ids, lambda some: self.decode(pieces, some)))
+
+    def rank(self, maps: Column, token: Column) -> Column:
         at = F.pmod(F.crc32(token.cast("binary")), F.lit(MAPS)).cast("int")
-        return F.try_element_at(F.get(self.maps, at), token)
+        return F.try_element_at(F.get(maps, at), token)
 
-    def merged_once(self, parts: Column) -> Column:
-        ranks = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: self.rank(F.concat(a, b)))
+    def merged_once(self, maps: Column, parts: Column) -> Column:
+        ranks = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: self.rank(maps, F.concat(a, b)))
         join = lambda at: F.concat(
             F.slice(parts, F.lit(1), at - 1), F.array(F.concat(F.get(parts, at - 1), F.get(parts, at))),
             F.slice(parts, at + 2, F.size(parts)))
         return let(ranks, lambda r: let(F.array_position(r, F.array_min(r)).cast("int"),
                                         lambda at: F.when(at > 0, join(at)).otherwise(parts)))
 
-    def encode(self, word: Column) -> Column:
+    def encode(self, maps: Column, word: Column) -> Column:
         """Ids of one word, whose letters stand for bytes."""
         letters = F.filter(F.split(word, ""), lambda x: x != "")
         parts = F.when(F.length(word) > 1, F.aggregate(
-            F.sequence(F.lit(2), F.greatest(F.length(word), F.lit(2))), letters, lambda acc, _: self.merged_once(acc))
+            F.sequence(F.lit(2), F.greatest(F.length(word), F.lit(2))), letters, lambda acc, _: self.merged_once(maps, acc))
         ).otherwise(letters)
-        return let(self.rank(word), lambda own: F.when(own.isNotNull(), F.array(own))
-                   .otherwise(F.transform(parts, self.rank)))
+        return let(self.rank(maps, word), lambda own: F.when(own.isNotNull(), F.array(own))
+                   .otherwise(F.transform(parts, lambda p: self.rank(maps, p))))
 
-    def decode(self, ids: Column) -> Column:
+    def decode(self, pieces: Column, ids: Column) -> Column:
         """Bytes of the ids: their pieces, concatenated."""
-        return F.aggregate(ids, F.lit(bytearray()), lambda acc, i: F.concat(acc, F.get(self.pieces, i)))
+        return F.aggregate(ids, F.lit(bytearray()), lambda acc, i: F.concat(acc, F.get(pieces, i)))
 
 
 class RankPairs:
@@ -204,7 +212,7 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
     words = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     chosen = words.orderBy(F.desc("n"), "word").limit(SEED_WORDS).select("word")
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = chosen.repartition(parts, "word").select("word", codec.encode(F.col("word")).alias("ids")).toArrow()
+    table = chosen.repartition(parts, "word").select("word", F.get(codec.encoded(F.array("word")), F.lit(0)).alias("ids")).toArrow()
     return to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
 
 
@@ -252,8 +260,8 @@ def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] |
                         names=[*some.schema.names, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"])
 
     made = source.mapInArrow(shards, "docs binary, edges binary, codes binary, words array<string>, long array<array<int>>")
-    coded = made.select("docs", "edges", "codes", F.zip_with("words", "long", lambda w, known: F.coalesce(known, codec.encode(w))).alias("ids"))
-    both = coded.withColumn("pieces", F.transform("ids", codec.decode))
+    coded = made.select("docs", "edges", "codes", F.zip_with("long", codec.encoded(F.col("words")), F.coalesce).alias("ids"))
+    both = coded.withColumn("pieces", codec.decoded(F.col("ids")))
     kinds = dict(source.dtypes)
     out = both.mapInArrow(documents, ", ".join(f"k{i} {kinds[f'k{i}']}" for i in range(len(keep)))
                           + ", n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded binary")
