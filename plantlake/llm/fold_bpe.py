@@ -260,7 +260,7 @@ def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] |
                         names=[*some.schema.names, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"])
 
     made = source.mapInArrow(shards, "docs binary, edges binary, codes binary, words array<string>, long array<array<int>>")
-    coded = made.select("docs", "edges", "codes", F.zip_with("long", codec.encoded(F.col("words")), F.coalesce).alias("ids"))
+    coded = made.select("docs", "edges", "codes", F.zip_with("long", codec.encoded(F.col("words")), lambda known, made: F.coalesce(known, made)).alias("ids"))
     both = coded.withColumn("pieces", codec.decoded(F.col("ids")))
     kinds = dict(source.dtypes)
     out = both.mapInArrow(documents, ", ".join(f"k{i} {kinds[f'k{i}']}" for i in range(len(keep)))
