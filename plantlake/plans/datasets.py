@@ -16,11 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.plans import gold, incremental, silver
 from plantlake.schema import PLANT_TABLES, column_names
-from plantlake.sources.files import parquet_stream
+from plantlake.sources.files import RESCUED, parquet_stream
 from plantlake.sources.records import decode_json
 from plantlake.sources.snapshots import Snapshots
 from plantlake.sources.tables import read_table
-from plantlake.streaming.ingest import append_stream, ingest_stream, run_to_end
+from plantlake.streaming.ingest import append_apart, append_stream, ingest_stream, run_to_end
 from plantlake.streaming.live import dedup_stream
 from plantlake.streaming.merge import merge_stream
 
@@ -116,11 +116,18 @@ class Lake:
                                  columns, tenant))
 
     def ingest_live(self, records: DataFrame, value: str = "value", name: str = LIVE, unique_within: str | None = None,
-                    continuous: str | None = None) -> StreamingQuery:
+                    continuous: str | None = None, quarantine: bool = False) -> StreamingQuery:
         """Decode a stream of JSON records, from a broker or from files, into a bronze dataset.
         ``unique_within`` drops redelivered ids that arrive within that time of each other, and
         with them rows later than that. ``continuous`` is the interval of a query that keeps
-        running; otherwise what is there is taken and the query has ended on return."""
+        running; otherwise what is there is taken and the query has ended on return. ``quarantine`` puts the text of records that are
+        broken or don't fit their types into the dataset of the same name with ``_quarantine``, not into this one."""
+        if quarantine and unique_within:
+            raise ValueError("records are set apart before they are made unique: use one of the two here")
+        if quarantine:
+            rows = decode_json(records, value, LIVE_FIELDS, lenient=True, rescued=RESCUED)
+            queries = append_apart(rows, RESCUED, self.path(name), self.path(f"{name}_quarantine"), self.checkpoint(name), continuous=continuous)
+            return [self._run(q, continuous) for q in queries][0]
         rows = decode_json(records, value, LIVE_FIELDS, lenient=True)
         if unique_within:
             rows = dedup_stream(rows, ["reading_id"], "reading_timestamp", unique_within)

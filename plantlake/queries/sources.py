@@ -11,10 +11,10 @@ from plantlake.functions.columns import utc_wall
 from plantlake.queries import bindings as B
 from plantlake.queries.base import REGISTRY, Tables, query, with_bound
 from plantlake.session import fresh_dir
-from plantlake.sources.files import RESCUED, csv_stream, json_stream, parquet_stream
+from plantlake.sources.files import RESCUED, csv_by_header, csv_stream, json_stream, parquet_stream
 from plantlake.sources.records import decode_json, to_records
 from plantlake.sources.tables import append_mapped, read_table, register_all, write_path, write_table
-from plantlake.streaming.ingest import append_stream, ingest_stream, ingest_table, run_to_end
+from plantlake.streaming.ingest import append_apart, append_stream, ingest_stream, ingest_table, run_to_end
 
 TIMES = ("reading_timestamp", "event_time", "processing_time")
 LANDED = """reading_id bigint, sensor_id string, unit_id bigint, refinery_id bigint, reading_timestamp timestamp_ntz,
@@ -163,6 +163,62 @@ def jsonl_ingest(t: Tables):
     return landed(t, json_stream(t.spark, src, LANDED), "jsonl")
 
 
+# Records of which some are broken: by k of the event, text that is no JSON, a cut record, and a number field with text.
+BROKEN = """CASE k %% 10 WHEN 0 THEN 'broken ' || event_id WHEN 1 THEN '{"reading_id": ' || event_id WHEN 2 THEN '{"reading_id": ' || event_id || ', "reading_value": "n/a"}'
+                     ELSE '{"reading_id": ' || event_id || ', "reading_value": ' || user_id || '.5}' END""".replace("%%", "%")
+RESCUE_SQL = f"""
+    WITH numbered AS (SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+    records AS (SELECT event_id, user_id, k % 10 < 3 AS bad, {BROKEN} AS value FROM numbered)
+    SELECT CASE WHEN NOT bad THEN event_id END AS reading_id, CASE WHEN NOT bad THEN user_id + 0.5::DOUBLE END AS reading_value,
+           CASE WHEN bad THEN value END AS raw FROM records"""
+
+
+def broken_records(events):
+    kinds = F.expr(BROKEN)
+    return events.withColumn("k", B.k()).select(kinds.alias("value"))
+
+
+@query("json_rescue", RESCUE_SQL)
+def json_rescue(t: Tables):
+    out = decode_json(broken_records(t.events), "value", "reading_id bigint, reading_value double", rescued="raw")
+    return out.select("reading_id", "reading_value", "raw")
+
+
+@query("json_rescue_lenient", RESCUE_SQL.replace("CASE WHEN NOT bad THEN event_id END", "CASE WHEN NOT bad OR k = 2 THEN event_id END").replace(
+    "k % 10 < 3 AS bad", "k % 10 AS k, k % 10 < 3 AS bad"))
+def json_rescue_lenient(t: Tables):
+    """The field that fits is kept beside the raw text."""
+    return decode_json(broken_records(t.events), "value", "reading_id bigint, reading_value double", lenient=True, rescued="raw")
+
+
+@query("jsonl_quarantine", RESCUE_SQL)
+def jsonl_quarantine(t: Tables):
+    """Lines set apart by two streams; together they are all lines."""
+    src, dst = fresh_dir(t.spark, "broken-landing"), fresh_dir(t.spark, "jsonl-apart")
+    broken_records(t.events).write.text(src)
+    stream = json_stream(t.spark, src, "reading_id bigint, reading_value double", rescue=True)
+    for q in append_apart(stream, RESCUED, dst, f"{dst}-quarantine", f"{dst}-checkpoint"):
+        run_to_end(q)
+    good, bad = read_table(t.spark, dst), read_table(t.spark, f"{dst}-quarantine").withColumnRenamed(RESCUED, "raw")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+@query("csv_by_header", """
+    SELECT event_id AS reading_id, event_type AS sensor_id, CASE WHEN event_id % 3 <> 2 THEN ts END AS reading_timestamp, value AS reading_value,
+           false AS was_rescued FROM events""")
+def by_header(t: Tables):
+    """Three kinds of files in one folder: columns in another order, with further columns, and without one."""
+    src = fresh_dir(t.spark, "csv-kinds")
+    rows = t.events.select("event_id", F.col("event_id").alias("reading_id"), F.col("event_type").alias("sensor_id"), F.col("value").cast("string").alias("reading_value"),
+                           F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("reading_timestamp"), F.lit("a, b").alias("note"))
+    kinds = [["reading_id", "sensor_id", "reading_timestamp", "reading_value"], ["note", "reading_value", "sensor_id", "reading_id", "reading_timestamp"],
+             ["reading_value", "reading_id", "sensor_id"]]
+    for k, names in enumerate(kinds):
+        rows.where(F.col("event_id") % 3 == k).select(*names).write.mode("append").option("header", True).csv(src)
+    stream = csv_by_header(t.spark, src, "reading_id bigint, sensor_id string, reading_timestamp timestamp_ntz, reading_value double")
+    return landed(t, stream, "csv-kinds").withColumn("was_rescued", F.col(RESCUED).isNotNull()).drop(RESCUED)
+
+
 @query("append_mapped", with_bound("""
     SELECT reading_id, sensor_id, reading_value, processing_time FROM readings UNION ALL
     SELECT l_orderkey, 'line ' || l_linenumber, l_quantity, NULL FROM lineitem""", "readings"))

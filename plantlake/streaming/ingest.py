@@ -35,6 +35,14 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def append_apart(df: DataFrame, rescued: str, dst: str, quarantine: str, checkpoint: str, **options) -> tuple[StreamingQuery, StreamingQuery]:
+    """Append the rows whose column ``rescued`` is null to ``dst``, without it, and that column of all others to ``quarantine``. Two
+    streams with a checkpoint each, so that every row gets to one of the folders exactly once, also over restarts."""
+    good = append_stream(df.where(F.col(rescued).isNull()).drop(rescued), dst, checkpoint, **options)
+    only = {k: v for k, v in options.items() if k == "continuous"}
+    return good, append_stream(df.where(F.col(rescued).isNotNull()).select(rescued), quarantine, f"{checkpoint}-{rescued}", **only)
+
+
 def ingest_stream(src: DataFrame, dst: str, checkpoint: str, columns: list[str] | None = None,
                   tenant: str | None = None, **options) -> StreamingQuery:
     """Bronze ingest of a source stream: whole rows, or the listed columns only, or

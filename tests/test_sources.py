@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.columns import inline_rows
 from plantlake.schema import PLANT_TABLES, READING_RECORD, column_names, struct, table_schema
-from plantlake.sources.files import RESCUED, _pattern, csv_stream, json_stream
+from plantlake.sources.files import RESCUED, _pattern, csv_by_header, csv_stream, json_stream
 from plantlake.sources.kafka import kafka_options
 from plantlake.sources.records import decode_json, to_records
 from plantlake.sources.tables import append_mapped, mapped, read_table, register_all, write_path, write_table
-from plantlake.streaming.ingest import append_stream, ingest_table, run_to_end
+from plantlake.streaming.ingest import append_apart, append_stream, ingest_table, run_to_end
 
 
 def test_schemas(spark):
@@ -108,6 +108,78 @@ def test_decode_json_strict_and_lenient(spark):
     assert lenient[0].event_time.microsecond == 1
 
 
+def test_rescue_keeps_the_text_of_what_does_not_fit(spark):
+    odd = [*RECORDS, '[{"reading_id":"d"}]', '{"reading_id":"e"', "", '{"other":1}', '{"reading_id":null}', '"text"', '{"reading_id":"f","reading_value":1e3}']
+    df = spark.createDataFrame([(n, r) for n, r in enumerate(odd)], "n int, value string")
+    strict = {r.n: r for r in decode_json(df, "value", FIELDS, keep=("n",), rescued="raw").collect()}
+    lenient = {r.n: r for r in decode_json(df, "value", FIELDS, lenient=True, keep=("n",), rescued="raw").collect()}
+    fits = {0: "a", 4: None, 8: None, 9: None, 11: "f"}
+    for n, text in enumerate(odd):
+        assert strict[n].raw == (None if n in fits else text), n
+        assert strict[n].reading_id == fits.get(n)
+        assert lenient[n].raw == (None if n in {**fits, 1: "b"} else text), n
+    assert lenient[1].reading_value == 2.5 and lenient[2].reading_id == "c" and lenient[2].reading_value is None and lenient[11].reading_value == 1000.0
+
+
+def test_broken_lines_go_to_quarantine_once(spark, tmp_path):
+    src, out, bad = (str(tmp_path / n) for n in ("in", "out", "bad"))
+    (tmp_path / "in").mkdir()
+    run = lambda: [run_to_end(q) for q in append_apart(json_stream(spark, src, "a int, b string", rescue=True), RESCUED, out, bad, str(tmp_path / "cp"))]
+    (tmp_path / "in" / "1.json").write_text('{"a":1,"b":"x"}\n\n{bad\n{"a":"no number"}\n')
+    run()
+    (tmp_path / "in" / "2.json").write_text('{"a":2}\nnot at all\n')
+    run()
+    run()
+    assert rows(spark.read.parquet(out), "a") == [(1, "x"), (2, None)]
+    assert rows(spark.read.parquet(bad), RESCUED) == [("not at all",), ('{"a":"no number"}',), ("{bad",)]
+
+
+def test_live_records_with_quarantine(spark, tmp_path):
+    from plantlake.plans.datasets import LIVE, Lake
+    from plantlake.sources.files import parquet_stream
+    lake, src = Lake(spark, str(tmp_path / "lake")), str(tmp_path / "in")
+    texts = ['{"reading_id":"a","reading_value":1.5}', '{"reading_id":"b","reading_value":"none"}', "oops"]
+    spark.createDataFrame([(x,) for x in texts], "value string").write.parquet(src)
+    lake.ingest_live(parquet_stream(spark, src), quarantine=True)
+    assert rows(lake.table(LIVE).select("reading_id", "reading_value"), "reading_id") == [("a", 1.5)]
+    assert rows(lake.table(f"{LIVE}_quarantine"), RESCUED) == [("oops",), (texts[1],)]
+    with pytest.raises(ValueError):
+        lake.ingest_live(parquet_stream(spark, src), quarantine=True, unique_within="1 minute")
+
+
+def test_csv_is_mapped_by_each_files_header(spark, tmp_path):
+    import gzip
+    folder = tmp_path / "in"
+    folder.mkdir()
+    run = lambda: run_to_end(append_stream(csv_by_header(spark, str(folder), "id int, v double, t string"), str(tmp_path / "out"), str(tmp_path / "cp")))
+    (folder / "plain.csv").write_text("id,v,t\n1,1.5,a\n2,oops,b\n3,,\n")
+    (folder / "shuffled.csv").write_text('\ufeff"t", v ,more,id\n"x, y",2.5,z,4\nshort,3.5\n')
+    (folder / "lacking.csv").write_text("t\nonly\nt\n")
+    (folder / "none.csv").write_text("")
+    (folder / "head.csv").write_text("v,id\n")
+    with gzip.open(folder / "packed.csv.gz", "wt") as file:
+        file.write("id,t\n9,z,surplus\n")
+    run()
+    (folder / "later.csv").write_text("v,id,t\n7.5,7,c\n")
+    run()
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).collect(), key=str) == sorted([
+        (1, 1.5, "a", None), (2, None, "b", "2,oops,b"), (3, None, None, None), (4, 2.5, "x, y", None), (None, 3.5, "short", "short,3.5"),
+        (None, None, "only", None), (9, None, "z", "9,z,surplus"), (7, 7.5, "c", None)], key=str)
+
+
+def test_csv_file_without_known_header_fails(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id\n1\n")
+    stream = csv_by_header(spark, str(folder), "id int")
+    (folder / "b.csv").write_text("other,id\n2,3\n")
+    with pytest.raises(Exception, match="no header was read"):
+        run_to_end(append_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
+    again = csv_by_header(spark, str(folder), "id int")
+    run_to_end(append_stream(again, str(tmp_path / "out"), str(tmp_path / "cp")))
+    assert rows(spark.read.parquet(str(tmp_path / "out")).select("id"), "id") == [(1,), (3,)]
+
+
 def test_to_records_round_trip(spark):
     df = inline_rows(spark, ["sensor_id", "v"], [("s1", 1.5), ("s2", None)])
     out = {r.key: json.loads(r.value) for r in to_records(df, "sensor_id").collect()}
