@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plantlake.operators.enrich import union_feeds
 from plantlake.plans import gold, incremental, silver
 from plantlake.schema import PLANT_TABLES, column_names
 from plantlake.sources.files import RESCUED, parquet_stream
@@ -23,6 +24,7 @@ from plantlake.sources.tables import read_table
 from plantlake.streaming.ingest import append_apart, append_stream, ingest_stream, run_to_end
 from plantlake.streaming.live import dedup_stream
 from plantlake.streaming.merge import merge_stream
+from plantlake.streaming.pending import BATCH, enrich_when_known
 
 LIVE_FIELDS = """
     reading_id string, sensor_id string, unit_id string, refinery_id string,
@@ -102,10 +104,10 @@ class Lake:
         """A dataset as it is now. Of a gold view the newest commit, also while it is refreshed."""
         if name in DATASETS and DATASETS[name].layer == "gold":
             return self.store(name).read()
-        return read_table(self.spark, self.path(name))
+        return read_table(self.spark, self.path(name)).drop(BATCH)
 
     def stream(self, name: str) -> DataFrame:
-        return parquet_stream(self.spark, self.path(name))
+        return parquet_stream(self.spark, self.path(name)).drop(BATCH)
 
     def ingest(self, name: str, src: str, columns: list[str] | None = None, tenant: str | None = None) -> None:
         """Bring what is new in a parquet source into a bronze dataset. The reading
@@ -150,6 +152,22 @@ class Lake:
         return self._run(append_stream(rows, self.path(name), self.checkpoint(name), by, files_per_partition, continuous),
                          continuous)
 
+    def update_when_known(self, continuous: str | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
+        """As ``update`` of the silver readings, but with the sensors as they are at each micro-batch, and readings of sensors
+        that are not known yet wait until they are. A table is brought up to date by this call only, or only by ``update``."""
+        name = "silver_sensor_readings"
+        d = DATASETS[name]
+        options = {"maxFilesPerTrigger": files_per_trigger} if files_per_trigger else {}
+        feeds = [parquet_stream(self.spark, self.path(i), **options) for i in d.inputs if "_fact_" in i]
+        columns = [c for c in silver.READING_COLUMNS if c in feeds[0].columns]
+
+        def build(rows: DataFrame, sensors: DataFrame) -> DataFrame:
+            return silver.silver_readings([rows], sensors).withColumn(gold.PARTITION_DATE, F.to_date(d.partition_ts))
+
+        query = enrich_when_known(union_feeds(*[f.select(*columns) for f in feeds]), lambda: self.table(d.inputs[-1]), "sensor_id", build, self.path(name),
+                                  Snapshots(self.spark, f"{self.root}/_waiting/{name}"), self.checkpoint(name), [gold.PARTITION_DATE], continuous=continuous)
+        return self._run(query, continuous)
+
     def publish(self, schema: str, names: list[str]) -> None:
         """Make stored datasets known by name, as views with their comment and properties. A view
         reads the folder as it is, with the commits of its stream and all partitions; that of a gold view

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantlake.operators.enrich import enrich_left, union_feeds
+from plantlake.plans.datasets import Lake
 from plantlake.plans.silver import silver_production, silver_readings
 from plantlake.queries import bindings as B
 from plantlake.queries.aggregates import silver_sql
@@ -45,6 +46,22 @@ def stream_silver(t: Tables):
     return landed(t, silver_readings(feeds, B.sensors(t.spark), stamp=False), "stream-silver")
 
 
+@query("stream_dim_changes", silver_sql("""
+    SELECT * FROM silver UNION ALL SELECT * REPLACE (-1 - reading_id AS reading_id) FROM silver"""))
+def dim_changes(t: Tables):
+    """Readings of two feeds that come before their sensors are known wait for them."""
+    lake = Lake(t.spark, fresh_dir(t.spark, "lake-dims"))
+    sensors = B.sensors(t.spark)
+    half = F.pmod(F.xxhash64("reading_id"), F.lit(2))
+    for part, known in ((0, F.col("sensor_id") < "d"), (1, F.col("sensor_id") >= "d")):
+        sensors.where(known).write.mode("append").parquet(lake.path("bronze_dim_sensors"))
+        rows = B.readings(t.events).where(half == part)
+        rows.write.mode("append").parquet(lake.path("bronze_fact_sensor_readings"))
+        as_live(rows).write.mode("append").parquet(lake.path("bronze_fact_sensor_readings_stream"))
+        lake.update_when_known()
+    return lake.table("silver_sensor_readings").drop("partition_date", "silver_processed_at")
+
+
 @query("stream_star", REGISTRY["silver_production"].sql)
 def stream_star(t: Tables):
     rows = B.production(parquet_stream(t.spark, t.path("lineitem")))

@@ -24,6 +24,7 @@ class Commit:
     schema: str | None = None
     query: str | None = None  #: streaming query that the rows come from, and its last batch
     batch: int = -1
+    note: str | None = None  #: of the writer
 
 
 class Snapshots:
@@ -70,7 +71,8 @@ class Snapshots:
         now = self.commit()
         return now.query == query and batch <= now.batch
 
-    def replace(self, rows: DataFrame, part: Column, parts: list[str] | None = None, query: str | None = None, batch: int = -1) -> Commit:
+    def replace(self, rows: DataFrame, part: Column, parts: list[str] | None = None, query: str | None = None, batch: int = -1,
+                note: str | None = None) -> Commit:
         """Put ``rows`` in the place of the named parts; without names, of all. ``part`` gives each row's part, a text fit
         for a folder name."""
         now = self.commit()
@@ -82,7 +84,7 @@ class Snapshots:
         if parts is not None and set(made) - set(parts):
             raise ValueError(f"rows of other parts: {sorted(set(made) - set(parts))[:5]}")
         kept = {} if parts is None else {p: f for p, f in now.parts.items() if p not in set(parts)}
-        new = Commit(version, kept | {p: f"{folder}/{PART}={p}" for p in made}, json.dumps(rows.schema.jsonValue()), query, batch)
+        new = Commit(version, kept | {p: f"{folder}/{PART}={p}" for p in made}, json.dumps(rows.schema.jsonValue()), query, batch, note)
         self._publish(new)
         return new
 
