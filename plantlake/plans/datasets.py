@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from plantlake.operators.enrich import union_feeds
@@ -19,8 +19,8 @@ from plantlake.plans import gold, incremental, silver
 from plantlake.schema import PLANT_TABLES, column_names
 from plantlake.sources.files import RESCUED, parquet_stream
 from plantlake.sources.records import decode_json
+from plantlake.sources.schemas import SchemaLog, read_as, source_schema
 from plantlake.sources.snapshots import Snapshots
-from plantlake.sources.tables import read_table
 from plantlake.streaming.ingest import append_apart, append_stream, ingest_stream, run_to_end
 from plantlake.streaming.live import dedup_stream
 from plantlake.streaming.merge import merge_stream
@@ -104,18 +104,27 @@ class Lake:
         """A dataset as it is now. Of a gold view the newest commit, also while it is refreshed."""
         if name in DATASETS and DATASETS[name].layer == "gold":
             return self.store(name).read()
-        return read_table(self.spark, self.path(name)).drop(BATCH)
+        return read_as(self.spark, self.path(name), self.schemas(name).current()).drop(BATCH)
+
+    def schemas(self, name: str) -> SchemaLog:
+        """How the schema of a bronze dataset has grown."""
+        return SchemaLog(self.spark, f"{self.root}/_schemas/{name}")
 
     def stream(self, name: str) -> DataFrame:
-        return parquet_stream(self.spark, self.path(name)).drop(BATCH)
+        return parquet_stream(self.spark, self.path(name), self.schemas(name).current()).drop(BATCH)
 
     def ingest(self, name: str, src: str, columns: list[str] | None = None, tenant: str | None = None) -> None:
         """Bring what is new in a parquet source into a bronze dataset. The reading
-        history takes its declared columns only."""
+        history takes its declared columns only. Columns that the source has gained since the last call are
+        taken from then on, and wider types; another change of a type raises ``SchemaChange``."""
         if name == HISTORY and columns is None:
             columns = column_names("fact_sensor_readings")
-        run_to_end(ingest_stream(parquet_stream(self.spark, src), self.path(name), self.checkpoint(name),
-                                 columns, tenant))
+        came = source_schema(self.spark, src)
+        kept = T.StructType([f for f in came.fields if columns is None or f.name in columns])
+        extra = [T.StructField("tenant", T.StringType())] if tenant is not None else []
+        full = self.schemas(name).grow(T.StructType(kept.fields + extra))
+        shape = T.StructType([f for f in full.fields if not extra or f.name != "tenant"])
+        run_to_end(ingest_stream(parquet_stream(self.spark, src, shape), self.path(name), self.checkpoint(name), columns, tenant))
 
     def ingest_live(self, records: DataFrame, value: str = "value", name: str = LIVE, unique_within: str | None = None,
                     continuous: str | None = None, quarantine: bool = False) -> StreamingQuery:
@@ -158,7 +167,7 @@ class Lake:
         name = "silver_sensor_readings"
         d = DATASETS[name]
         options = {"maxFilesPerTrigger": files_per_trigger} if files_per_trigger else {}
-        feeds = [parquet_stream(self.spark, self.path(i), **options) for i in d.inputs if "_fact_" in i]
+        feeds = [parquet_stream(self.spark, self.path(i), self.schemas(i).current(), **options) for i in d.inputs if "_fact_" in i]
         columns = [c for c in silver.READING_COLUMNS if c in feeds[0].columns]
 
         def build(rows: DataFrame, sensors: DataFrame) -> DataFrame:

@@ -112,6 +112,32 @@ def kpis(on_spec: str = gold.ON_SPEC) -> Increment:
     return Increment(reduce, combine, F.col(DAY), finish, lambda df: F.col("production_date"))
 
 
+def sketched_kpis(on_spec: str = gold.ON_SPEC, bits: int = 12) -> Increment:
+    """Daily figures per site with a sketch of the units of a day in the place of a row per unit, for very many units. The units are then
+    counted within a relative standard error of about 1.04 / sqrt(2^``bits``), 1.6 % for 12 bits."""
+    measured = ("input_volume_barrels", "output_volume_barrels", "energy_consumed_mmbtu", "downtime_minutes")
+    keys = {"refinery_id": F.col("refinery_id"), "production_date": F.to_date("production_hour")}
+    sums = {c: F.sum(c) for c in measured} | {"on_spec_count": count_where(F.col("quality_grade") == on_spec)}
+
+    def reduce(rows: DataFrame) -> DataFrame:
+        # The sketch takes numbers, texts and bytes; ids of other types as text.
+        kind = dict(rows.dtypes)["unit_id"]
+        unit = F.col("unit_id") if kind in ("int", "bigint", "string", "binary") else F.col("unit_id").cast("string")
+        groups = rows.groupBy(*[c.alias(n) for n, c in keys.items()]).agg(
+            F.count("*").alias("row_count"), *[c.alias(n) for n, c in sums.items()], F.hll_sketch_agg(unit, bits).alias("units"))
+        return groups.withColumn(DAY, F.col("production_date"))
+
+    def combine(parts: DataFrame) -> DataFrame:
+        return parts.groupBy(DAY, *keys).agg(*[F.sum(s).alias(s) for s in ("row_count", *sums)], F.hll_union_agg("units").alias("units"))
+
+    def finish(parts: DataFrame, sites: DataFrame) -> DataFrame:
+        daily = parts.groupBy("refinery_id", "production_date").agg(
+            *gold.daily_measures(F.sum("on_spec_count") / F.sum("row_count"), F.hll_sketch_estimate(F.hll_union_agg("units"))))
+        return gold.with_site(daily, sites)
+
+    return Increment(reduce, combine, F.col(DAY), finish, lambda df: F.col("production_date"))
+
+
 def health() -> Increment:
     """Health per unit and day: counts and moments per sensor type."""
     value, status = "reading_value", F.col("alert_status")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -88,6 +88,11 @@ class Snapshots:
         self._publish(new)
         return new
 
+    def declare(self, schema: T.StructType) -> None:
+        """A commit that changes nothing but the schema."""
+        now = self.commit()
+        self._publish(replace(now, version=now.version + 1, schema=json.dumps(schema.jsonValue())))
+
     def _publish(self, new: Commit) -> None:
         jvm = self.spark._jvm
         draft, final = (self._path(f"{self.root}/_commits/{n}") for n in (f".{uuid.uuid4().hex}", f"{new.version:012d}.json"))
