@@ -119,7 +119,8 @@ class Lake:
         taken from then on, and wider types; another change of a type raises ``SchemaChange``."""
         if name == HISTORY and columns is None:
             columns = column_names("fact_sensor_readings")
-        came = source_schema(self.spark, src)
+        known = [f for f in self.schemas(name).current() or [] if tenant is None or f.name != "tenant"]
+        came = source_schema(self.spark, src, T.StructType(known))
         kept = T.StructType([f for f in came.fields if columns is None or f.name in columns])
         extra = [T.StructField("tenant", T.StringType())] if tenant is not None else []
         full = self.schemas(name).grow(T.StructType(kept.fields + extra))

@@ -52,8 +52,8 @@ def merged(old: T.StructType, new: T.StructType, prefix: str = "") -> T.StructTy
     return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new.fields if f.name.lower() not in known])
 
 
-def source_schema(spark: SparkSession, path: str) -> T.StructType:
-    """What the files of a parquet folder have in common after widening. Spark merges the footers of all files in a job;
+def source_schema(spark: SparkSession, path: str, known: T.StructType | None = None) -> T.StructType:
+    """What the files of a parquet folder, after the ``known`` columns, have in common after widening. Spark merges the footers of all files in a job;
     only where types differ does the driver look at the files one by one."""
     frame = spark.read.parquet(path)
     try:
@@ -64,7 +64,7 @@ def source_schema(spark: SparkSession, path: str) -> T.StructType:
     files = sorted(frame.inputFiles())
     with ThreadPoolExecutor(16) as pool:
         shapes = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
-    out = T.StructType([])
+    out = known or T.StructType([])
     for shape in shapes:
         out = merged(out, shape)
     return merged(out, frame.schema)  # with the columns of the folders

@@ -13,7 +13,7 @@ FEEDS = ("bronze_fact_sensor_readings", "bronze_fact_sensor_readings_stream")
 class Plant:
     def __init__(self, spark, tables, root):
         self.spark, self.lake = spark, Lake(spark, str(root / "lake"))
-        self.readings, self.sensors = B.readings(tables.events).cache(), B.sensors(spark)
+        self.readings, self.sensors = B.readings(tables.events), B.sensors(spark)
         self.add("reading_id < 0", feed=1)
 
     def know(self, *ids):
