@@ -24,7 +24,11 @@ def part_of(ids: pa.Array, bounds: np.ndarray) -> np.ndarray:
 
 
 def storage(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and plain path of a folder that every executor reaches. The folder is made."""
-    files, path = fs.FileSystem.from_uri(folder if "://" in folder else folder.removeprefix("file:"))
+    """File system and plain path of a folder that every executor reaches. The folder is made. Tasks
+    write through Arrow, which knows local paths, ``file``, ``hdfs``, ``viewfs``, ``s3``, ``gs`` and ``abfs``."""
+    try:
+        files, path = fs.FileSystem.from_uri(folder if "://" in folder else folder.removeprefix("file:"))
+    except (pa.ArrowInvalid, OSError) as error:
+        raise ValueError(f"tasks cannot write files to {folder}: {error}") from error
     files.create_dir(path, recursive=True)
     return files, path

@@ -3,14 +3,19 @@
 Writing. Of records with equal payloads the one with the largest page id is a ``response``, the
 others are ``revisit`` records that name it. Which one that is follows from an aggregation over
 digests (two short columns), so pages of one large group of copies are never brought together;
-pages then meet their decision on page id and digest. Each task writes its own files under a
-temporary name and renames them, so a retry replaces files and readers see whole ones only.
+pages then meet their decision on page id and digest. Each attempt of a task writes files of its
+own name, under a temporary one at first. The manifest names those of the attempt that counted, so
+another attempt cannot replace them and readers see whole ones only.
 
 Reading. A task gets a byte range of a file, looks for gzip magic, and takes a candidate as a
 record only if it decompresses to a WARC header. A range owns the records that start inside it,
 also where they end beyond it; bytes that look like magic inside a record are never reached, since
 the search goes on behind each record.
 
+Nothing is passed over. A file starts with a record, a record follows right behind each other one up
+to the size in the manifest, and each range makes sure of the record after its last, wherever that
+starts. So a damaged, cut or missing file is an error, also where a range begins at the damage.
+
 Null html is the empty payload, null urls have no target header. Null page ids have no id header
 and read back as null; they are never referred to. Repeated page ids keep a record each, and
 equal records with the largest id are all responses. Further columns are ignored.
@@ -109,22 +114,28 @@ class _Window:
         return b"".join(out), at - len(unpack.unused_data)
 
 
-def records(file, size: int, start: int, end: int):
-    """Records that start in ``start:end`` of an open file."""
+def records(file, size: int, start: int, end: int, name: str = "the file"):
+    """Records that start in ``start:end`` of an open file of ``size`` bytes. ``ValueError`` where it does not go on with a record."""
     window = _Window(file, start, size)
     window.grow(end + len(MAGIC) - 1)
-    at = start
-    while at < end:
-        found = window.data.find(MAGIC, at - start, end - start + len(MAGIC) - 1)
-        if found < 0:
-            return
-        got = window.member_at(start + found)
+    at, following = start, start == 0
+    while at < end or following:
+        if not following:
+            found = window.data.find(MAGIC, at - start, end - start + len(MAGIC) - 1)
+            if found < 0:
+                return
+            at = start + found
+        got = window.member_at(at)
         record = parsed(got[0]) if got else None
-        if record is None:
-            at = start + found + 1
-            continue
-        yield record
-        at = got[1]
+        if record is not None:
+            if at >= end:
+                return  # whole, and owned by a later range
+            yield record
+            at, following = got[1], got[1] < size
+        elif following:
+            raise ValueError(f"damaged archive: no whole record at byte {at} of {size} in {name}")
+        else:
+            at += 1
 
 
 def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -142,13 +153,16 @@ def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write all pages. Gives ``(name, size, n_records)`` for each file."""
+    storage(folder)  # a folder that tasks cannot write fails here
+
     def store(batches):
         files, root = storage(folder)
-        task, made, out, held, n = TaskContext.get().partitionId(), [], None, 0, 0
+        context = TaskContext.get()
+        task, made, out, held, n = f"{context.partitionId():06d}-{context.taskAttemptId()}", [], None, 0, 0
 
         def close():
             out.close()
-            name = f"pages-{task:06d}-{len(made):04d}.warc.gz"
+            name = f"pages-{task}-{len(made):04d}.warc.gz"
             files.move(temp, f"{root}/{name}")
             made.append((name, held, n))
 
@@ -174,7 +188,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, file_byt
 
 def read_archives(manifest: DataFrame, folder: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Every record: ``(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload)``.
-    The payload is null for revisits. A response whose payload fails its digest is an error."""
+    The payload is null for revisits. Files that are not whole records from end to end, and responses whose payload fails its digest, are errors."""
     count = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = manifest.where("size > 0").select("name", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
@@ -187,7 +201,7 @@ def read_archives(manifest: DataFrame, folder: str, range_bytes: int = RANGE_BYT
             for name, size, start in zip(*(c.to_pylist() for c in batch.columns)):
                 rows = []
                 with files.open_input_file(f"{root}/{name}") as file:
-                    for head, block in records(file, size, start, min(size, start + range_bytes)):
+                    for head, block in records(file, size, start, min(size, start + range_bytes), name):
                         payload = block.split(b"\r\n\r\n", 1)[1] if head["WARC-Type"] == "response" else None
                         stated = head["WARC-Payload-Digest"].removeprefix("sha1:")
                         if payload is not None and digest(payload) != stated:

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import io
 import math
+import os
 import re
 import zlib
 
@@ -122,6 +124,39 @@ def test_warc(spark, tmp_path):
     assert warc.round_trip(spark, pages.where("page_id > 99")).count() == 0
 
 
+def test_damaged_archives(spark, tmp_path):
+    """A flipped byte in any record, a cut file and a missing one are errors, whatever the ranges; bytes behind the stated size are not read."""
+    members = [warc.member(i, "u", f"page {i} ".encode() * 90, None) for i in range(5)]
+    whole = b"".join(members)
+    edges = np.cumsum([0, *map(len, members)]).tolist()
+
+    def read(data, span):
+        return [int(h["X-Page-ID"]) for a in range(0, len(whole), span) for h, _ in warc.records(io.BytesIO(data), len(whole), a, min(len(whole), a + span))]
+
+    for span in (1 << 20, 4096, 200, 64, 1, edges[1], edges[2]):
+        assert read(whole, span) == list(range(5)) == read(whole + b"more", span)
+        for a, b in zip(edges, edges[1:]):
+            for at in (a, a + 20, (a + b) // 2, b - 6):
+                with pytest.raises(ValueError, match="no whole record"):
+                    read(whole[:at] + bytes([whole[at] ^ 0x55]) + whole[at + 1:], span)
+        for length in (0, 10, edges[2], len(whole) - 20, len(whole) - 1):
+            with pytest.raises(ValueError, match="no whole record"):
+                read(whole[:length], span)
+
+    folder = str(tmp_path / "w")
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(6)], "page_id long, url string, html string")
+    manifest = warc.write_archives(pages, folder, file_bytes=400)
+    again = warc.write_archives(pages, folder, file_bytes=400)  # another attempt leaves the files of the first alone
+    names = [r.name for r in manifest.collect()]
+    assert not set(names) & {r.name for r in again.collect()}
+    assert warc.read_archives(manifest, folder).count() == 6 == manifest.agg({"n_records": "sum"}).first()[0]
+    os.rename(f"{folder}/{names[0]}", f"{folder}/gone")
+    with pytest.raises(Exception, match="FileNotFoundError|No such file"):
+        warc.read_archives(manifest, folder).collect()
+    with pytest.raises(ValueError, match="tasks cannot write"):
+        warc.write_archives(pages, "dbfs://archives/a")
+
+
 @pytest.mark.parametrize("length, base", [(13, 7), (13, 3), (5, 7), (4, 1)])
 def test_substrings(docs, empty, length, base):
     first = {}
