@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding as folds over the byte arrays of distinct words.
 
-Three narrow steps, without a shuffle:
+Three narrow steps, without a shuffle of texts:
 
 1. A task cuts its texts into pattern matches (words) and numbers the distinct ones, one row per
-   shard of texts.
+   shard of texts. The shards are stored, so that a lost executor costs no second cutting and a
+   task never holds the Python workers of both this step and the last.
 2. Spark's higher-order functions encode each distinct word: ``aggregate`` folds merges over the
    array of its bytes, each time joining the leftmost adjacent pair of lowest rank. Ranks come
    from a literal rank map, dealt into small maps by checksum so that a lookup compares a few
@@ -15,8 +16,8 @@ The fold looks at every pair for every merge. Words of over ``FOLD_BYTES`` bytes
 merged with a heap in step 1, by the same rule. Vocabulary files are read on the driver.
 
 Most shards share most of their words. The most frequent words of a sample of texts are therefore
-folded first and travel with the job, ``SEED_WORDS`` of them at most from about ``SEED_DOCS``
-texts; shards fold just the words that are not among them. Results don't depend on the sample.
+folded and decoded first and travel with the job, ``SEED_WORDS`` of them at most from about ``SEED_DOCS``
+texts; shards fold and decode just the words that are not among them. Results don't depend on the sample.
 
 Null and empty texts give no ids. Null and repeated doc ids pass through, row by row. Further
 columns are kept only on request (``keep``); special strings are ordinary text.
@@ -36,7 +37,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked
+from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked, written
 from plantlake.llm.heap_bpe import merges
 from plantlake.llm.spans import exact_distinct, units
 
@@ -78,21 +79,23 @@ class Codec:
         """Ids of each word of an array; null for null."""
         return let(self.maps, lambda maps: F.transform(words, lambda w: F.when(w.isNotNull(), self.encode(maps, w))))
 
-    def decoded(self, ids: Column) -> Column:
-        """Bytes of each list of ids."""
-        return let(self.pieces, lambda pieces: F.transform(ids, lambda some: self.decode(pieces, some)))
+    def decoded(self, ids: Column, known: Column) -> Column:
+        """Bytes of each list of ids, unless they are known already."""
+        return let(self.pieces, lambda pieces: F.zip_with(ids, known, lambda some, own: F.coalesce(own, self.decode(pieces, some))))
 
     def rank(self, maps: Column, token: Column) -> Column:
         at = F.pmod(F.crc32(token.cast("binary")), F.lit(MAPS)).cast("int")
         return F.try_element_at(F.get(maps, at), token)
 
     def merged_once(self, maps: Column, parts: Column) -> Column:
+        """Parts after the merge of lowest rank. An empty part in front says that none is left; such parts stay."""
         ranks = F.zip_with(parts, F.slice(parts, F.lit(2), F.size(parts)), lambda a, b: self.rank(maps, F.concat(a, b)))
         join = lambda at: F.concat(
             F.slice(parts, F.lit(1), at - 1), F.array(F.concat(F.get(parts, at - 1), F.get(parts, at))),
             F.slice(parts, at + 2, F.size(parts)))
-        return let(ranks, lambda r: let(F.array_position(r, F.array_min(r)).cast("int"),
-                                        lambda at: F.when(at > 0, join(at)).otherwise(parts)))
+        done = F.concat(F.array(F.lit("")), parts)
+        return F.when(F.get(parts, F.lit(0)) == "", parts).otherwise(
+            let(ranks, lambda r: let(F.array_position(r, F.array_min(r)).cast("int"), lambda at: F.when(at > 0, join(at)).otherwise(done))))
 
     def encode(self, maps: Column, word: Column) -> Column:
         """Ids of one word, whose letters stand for bytes."""
@@ -101,7 +104,7 @@ class Codec:
             F.sequence(F.lit(2), F.greatest(F.length(word), F.lit(2))), letters, lambda acc, _: self.merged_once(maps, acc))
         ).otherwise(letters)
         return let(self.rank(maps, word), lambda own: F.when(own.isNotNull(), F.array(own))
-                   .otherwise(F.transform(parts, lambda p: self.rank(maps, p))))
+                   .otherwise(F.transform(F.filter(parts, lambda p: p != ""), lambda p: self.rank(maps, p))))
 
     def decode(self, pieces: Column, ids: Column) -> Column:
         """Bytes of the ids: their pieces, concatenated."""
@@ -129,8 +132,8 @@ class RankPairs:
         return [s for s in symbols if s >= 0]
 
 
-def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs, seeds: dict[str, bytes]) -> pa.RecordBatch:
-    """Documents, words to fold, ids of the other words, and the word numbers of each text. Texts
+def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs, seeds: tuple[dict[str, int], pa.RecordBatch]) -> pa.RecordBatch:
+    """Documents, words to fold, ids and bytes of the other words, and the word numbers of each text. Texts
     are cut a step at a time; a unit is split into words once per shard."""
     number: dict[str, int] = {}
     split: dict[bytes, bytes] = {}
@@ -159,38 +162,43 @@ def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, pairs: RankPairs,
         total += len(codes[-1])
         i = j
     del split
-    letters, known = [], []
+    place, table = seeds
+    letters, known, beyond = [], [], []
     for w in number:
         raw = w.encode()
         name = raw.decode("latin-1")
-        ids = seeds.get(name) if len(raw) <= FOLD_BYTES else array("i", pairs.ids(raw)).tobytes()
-        letters.append(name if ids is None else None)
-        known.append(ids)
-    lists = np.cumsum([0, *(len(k) // 4 if k else 0 for k in known)])
-    ids = pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(np.frombuffer(b"".join(k for k in known if k), np.int32)),
-                                   mask=pa.array([k is None for k in known]))
+        at = place.get(name)
+        if len(raw) > FOLD_BYTES:
+            at = len(place) + len(beyond)
+            beyond.append(pairs.ids(raw))
+        letters.append(name if at is None else None)
+        known.append(at)
+    rows = pa.array(known, pa.int64())
+    ids = pa.concat_arrays([table.column("ids"), pa.array(beyond, table.column("ids").type)]).take(rows)
+    back = pa.concat_arrays([table.column("back"), pa.nulls(len(beyond), pa.binary())]).take(rows)
     one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
     return pa.RecordBatch.from_arrays(
         [pa.array([to_ipc(batch)]), pa.array([packed(np.concatenate(edges))]), pa.array([packed(np.concatenate(codes) if codes else np.empty(0, np.int32))]),
-         one(pa.array(letters, pa.string())), one(ids)], names=["docs", "edges", "codes", "words", "long"])
+         one(pa.array(letters, pa.string())), one(ids), one(back)], names=["docs", "edges", "codes", "words", "known", "back"])
 
 
-_SEEDS: dict[str, dict[str, bytes]] = {}
+_SEEDS: dict[str, tuple[dict[str, int], pa.RecordBatch]] = {}
 
 
-def _seeds(data: bytes, digest: str) -> dict[str, bytes]:
-    """Words folded ahead; a Python worker unpacks them once."""
+def _seeds(data: bytes, digest: str) -> tuple[dict[str, int], pa.RecordBatch]:
+    """Words folded ahead, as places in a table of ids and bytes; a Python worker unpacks them once."""
     if digest not in _SEEDS:
         _SEEDS.clear()
         batch = from_ipc(data)
-        ids = batch.column(1)
-        raw, at = ids.values.to_numpy().astype(np.int32).tobytes(), ids.offsets.to_pylist()
-        _SEEDS[digest] = {w: raw[4 * a:4 * b] for w, a, b in zip(batch.column(0).to_pylist(), at, at[1:])}
+        _SEEDS[digest] = {w: i for i, w in enumerate(batch.column("word").to_pylist())}, batch.select(["ids", "back"])
     return _SEEDS[digest]
 
 
+_SEEDED = pa.schema([("word", pa.string()), ("ids", pa.list_(pa.int32())), ("back", pa.binary())])
+
+
 def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
-    """Ids of the most frequent words of a sample of the texts."""
+    """The most frequent words of a sample of the texts, with their ids and the bytes that these decode to."""
     total = source.count()
     share = min(1.0, SEED_DOCS / max(total, 1))
     sample = source.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)))).select("text")
@@ -212,7 +220,9 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
     words = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     chosen = words.orderBy(F.desc("n"), "word").limit(SEED_WORDS).select("word")
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = chosen.repartition(parts, "word").select("word", F.get(codec.encoded(F.array("word")), F.lit(0)).alias("ids")).toArrow()
+    folded = chosen.repartition(parts, "word").select("word", codec.encoded(F.array("word")).alias("lists"))
+    none = F.array(F.lit(None).cast("binary"))
+    table = folded.select("word", F.get("lists", F.lit(0)).alias("ids"), F.get(codec.decoded(F.col("lists"), none), F.lit(0)).alias("back")).toArrow().cast(_SEEDED)
     return to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
 
 
@@ -259,9 +269,10 @@ def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] |
                          pa.array(raw, pa.binary()), pa.array(text, pa.binary())],
                         names=[*some.schema.names, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"])
 
-    made = source.mapInArrow(shards, "docs binary, edges binary, codes binary, words array<string>, long array<array<int>>")
-    coded = made.select("docs", "edges", "codes", F.zip_with("long", codec.encoded(F.col("words")), lambda known, made: F.coalesce(known, made)).alias("ids"))
-    both = coded.withColumn("pieces", codec.decoded(F.col("ids")))
+    made = written(source.mapInArrow(
+        shards, "docs binary, edges binary, codes binary, words array<string>, known array<array<int>>, back array<binary>"), "fold-shards")
+    coded = made.select("docs", "edges", "codes", "back", F.zip_with("known", codec.encoded(F.col("words")), lambda known, made: F.coalesce(known, made)).alias("ids"))
+    both = coded.select("docs", "edges", "codes", "ids", codec.decoded(F.col("ids"), F.col("back")).alias("pieces"))
     kinds = dict(source.dtypes)
     out = both.mapInArrow(documents, ", ".join(f"k{i} {kinds[f'k{i}']}" for i in range(len(keep)))
                           + ", n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded binary")
