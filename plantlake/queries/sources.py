@@ -62,30 +62,56 @@ bronze("production_output", "lineitem", B.production, "production")
 bronze("quality_tests", "orders", B.quality_tests, "quality_tests")
 bronze("tank_inventory", "events", B.tank_inventory, "tank_inventory")
 
-SENSOR_ROWS = """SELECT p_partkey AS sensor_id, p_partkey % 100 AS unit_id, p_type AS sensor_type,
-                        p_size + 0.0::DOUBLE AS warning_low, p_size + p_retailprice AS warning_high,
+SENSOR_ROWS = """SELECT p_partkey AS sensor_id, p_partkey % 100 AS unit_id, p_partkey % 25 AS refinery_id, p_name AS sensor_name,
+                        p_type AS sensor_type, CASE WHEN p_size % 2 = 0 THEN 'bar' ELSE 'degC' END AS measurement_unit,
+                        p_size - 10::DOUBLE AS min_value, p_size + p_retailprice * 2 AS max_value,
+                        p_size::DOUBLE AS warning_low, p_size + p_retailprice AS warning_high,
+                        p_size * 0.5::DOUBLE AS critical_low, p_size + p_retailprice * 1.5::DOUBLE AS critical_high,
+                        p_size * 60 AS reading_interval_seconds, p_brand AS manufacturer, 'M' || p_size AS model,
+                        CAST(DATE '2020-01-01' + p_size AS VARCHAR) AS installation_date,
+                        CAST(DATE '2023-01-01' + CAST(p_partkey % 300 AS INTEGER) AS VARCHAR) AS calibration_date,
                         p_size <> 7 AS is_active FROM part"""
-TANK_ROWS = """SELECT c_custkey AS tank_id, c_name AS tank_name, c_mktsegment AS product_type,
-                      c_nationkey AS refinery_id, c_acctbal > 0 AS is_active FROM customer"""
+TANK_ROWS = """SELECT c_custkey AS tank_id, c_nationkey AS refinery_id, c_name AS tank_name, 'kind ' || (c_nationkey % 5) AS tank_type,
+                      c_mktsegment AS product_type, CAST(c_custkey % 900 * 1000 + 50000 AS INTEGER) AS capacity_barrels,
+                      (c_custkey % 10) / 50 AS min_operating_level, 1 - (c_custkey % 7) / 20 AS max_operating_level,
+                      (c_custkey % 90 + 40)::DOUBLE AS diameter_feet, (c_custkey % 30 + 20)::DOUBLE AS height_feet,
+                      CASE WHEN c_custkey % 3 = 0 THEN 'alloy' ELSE 'steel' END AS material, c_custkey % 4 = 0 AS has_heating,
+                      c_custkey % 5 = 0 AS has_mixer,
+                      CAST(DATE '2022-01-01' + CAST(c_custkey % 700 AS INTEGER) AS VARCHAR) AS last_inspection_date,
+                      c_acctbal > 0 AS is_active FROM customer"""
+
+
+def day_after(start: str, days):
+    return F.date_add(F.to_date(F.lit(start)), days.cast("int"))
 
 
 @query("bronze_sensors", SENSOR_ROWS)
 def bronze_sensors(t: Tables):
     part = parquet_stream(t.spark, t.path("part"))
+    key, size, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
     return landed(t, part.select(
-        F.col("p_partkey").alias("sensor_id"), (F.col("p_partkey") % 100).alias("unit_id"),
-        F.col("p_type").alias("sensor_type"), F.col("p_size").cast("double").alias("warning_low"),
-        (F.col("p_size") + F.col("p_retailprice")).alias("warning_high"),
-        (F.col("p_size") != 7).alias("is_active")), "bronze-sensors")
+        key.alias("sensor_id"), (key % 100).alias("unit_id"), (key % 25).alias("refinery_id"), F.col("p_name").alias("sensor_name"),
+        F.col("p_type").alias("sensor_type"), F.when(size % 2 == 0, "bar").otherwise("degC").alias("measurement_unit"),
+        (size - 10).cast("double").alias("min_value"), (size + price * 2).alias("max_value"),
+        size.cast("double").alias("warning_low"), (size + price).alias("warning_high"),
+        (size * 0.5).alias("critical_low"), (size + price * 1.5).alias("critical_high"),
+        (size * 60).alias("reading_interval_seconds"), F.col("p_brand").alias("manufacturer"),
+        F.concat(F.lit("M"), size.cast("string")).alias("model"), day_after("2020-01-01", size).alias("installation_date"),
+        day_after("2023-01-01", key % 300).alias("calibration_date"), (size != 7).alias("is_active")), "bronze-sensors")
 
 
 @query("bronze_storage_tanks", TANK_ROWS)
 def bronze_storage_tanks(t: Tables):
     customer = parquet_stream(t.spark, t.path("customer"))
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
     return landed(t, customer.select(
-        F.col("c_custkey").alias("tank_id"), F.col("c_name").alias("tank_name"),
-        F.col("c_mktsegment").alias("product_type"), F.col("c_nationkey").alias("refinery_id"),
-        (F.col("c_acctbal") > 0).alias("is_active")), "bronze-tanks")
+        key.alias("tank_id"), nation.alias("refinery_id"), F.col("c_name").alias("tank_name"),
+        F.concat(F.lit("kind "), (nation % 5).cast("string")).alias("tank_type"), F.col("c_mktsegment").alias("product_type"),
+        (key % 900 * 1000 + 50000).cast("int").alias("capacity_barrels"), (key % 10 / 50).alias("min_operating_level"),
+        (1 - key % 7 / 20).alias("max_operating_level"), (key % 90 + 40).cast("double").alias("diameter_feet"),
+        (key % 30 + 20).cast("double").alias("height_feet"), F.when(key % 3 == 0, "alloy").otherwise("steel").alias("material"),
+        (key % 4 == 0).alias("has_heating"), (key % 5 == 0).alias("has_mixer"),
+        day_after("2022-01-01", key % 700).alias("last_inspection_date"), (F.col("c_acctbal") > 0).alias("is_active")), "bronze-tanks")
 
 
 @query("bronze_projected", with_bound("""
