@@ -11,9 +11,10 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 from plantlake.llm import (
-    char_language, content_chunks, deleted_interpolation, fold_bpe, framed_ids, heap_bpe, lsh_forest, substring_levels, warc, winnowing)
+    char_language, common, content_chunks, deleted_interpolation, fold_bpe, framed_ids, heap_bpe, lsh_forest, substring_levels, warc, winnowing)
 from plantlake.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -206,6 +207,26 @@ def test_winnowing(spark, docs, empty):
     assert not any(r.contaminated for r in winnowing.contamination(docs, frame.where("item_id > 99")).collect())
 
 
+def test_winnowing_shared_phrase(spark, monkeypatch):
+    """A phrase in all items and documents costs rows in proportion to their sum."""
+    phrase = " ".join(f"p{i}" for i in range(15))
+    stored = {}
+
+    def counted(df, label):
+        out = common.written(df, label)
+        stored[label] = max(stored.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(winnowing, "written", counted)
+    n = 60
+    docs = spark.createDataFrame([(i, f"d{i} {phrase} e{i}") for i in range(n)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"a{i} {phrase} b{i}") for i in range(n)], "item_id long, text string")
+    digest = hashlib.sha256(",".join(sorted(map(str, range(n)))).encode()).hexdigest()
+    got = winnowing.contamination(docs, items).collect()
+    assert [tuple(r) for r in sorted(got)] == [(i, 17, 15, n, digest, True) for i in range(n)]
+    assert max(stored.values()) <= 8 * n, stored
+
+
 def brute_components(rows, size, percent):
     sets = {}
     for i, t in rows:
@@ -327,6 +348,10 @@ def test_pipeline_decisions_by_row(spark, tmp_path):
     left = lambda f: sorted(((r.doc_id, r.text) for r in f.collect()), key=str)
     assert left(corpus_pipeline.decontaminated(spark, frame, str(tmp_path))) == sorted([x for x in rows if item not in (x[1] or "")], key=str)
     assert left(corpus_pipeline.near_duplicates(spark, frame, str(tmp_path))) == sorted([x for x in rows if x != (2, other)], key=str)
+    # Of repeated rows one stays, the one with the smallest other columns.
+    again = frame.unionByName(frame.withColumn("lang", F.lit("da"))).unionByName(frame)
+    kept = corpus_pipeline.near_duplicates(spark, again, str(tmp_path))
+    assert left(kept) == sorted([x for x in rows if x != (2, other)], key=str) and {r.lang for r in kept.collect()} == {"da"}
 
 
 def test_pipeline_rows_of_each_stage(spark, tmp_path):
@@ -342,6 +367,15 @@ def test_pipeline_rows_of_each_stage(spark, tmp_path):
     assert left(corpus_pipeline.language(spark, frame, SF)) == lettered
     assert left(corpus_pipeline.language(spark, frame.drop("lang").selectExpr("doc_id", "text", "string(null) AS lang", "source", "n_chars"), SF)) == lettered
 
+    # A missing language is filled where the classifier is sure; given ones stay.
+    hidden = frame.withColumn("lang", F.when(F.col("doc_id") % 5 != 0, F.col("lang")))
+    model = {r.doc_id: r for r in char_language.identified(hidden).collect()}
+    filled = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, hidden, SF).collect()}
+    gaps = [(i, lang) for i, t, lang, *_ in rows if i is not None and i % 5 == 0 and i in filled]
+    assert all(filled[i] == (model[i].lang_pred if model[i].score >= corpus_pipeline.FILL_FROM else None) for i, _ in gaps)
+    assert sum(filled[i] == lang for i, lang in gaps) > 0.5 * len(gaps) and all(filled[i] in (lang, None) for i, lang in gaps)
+    assert all(filled[i] == lang for i, _, lang, *_ in rows if i is not None and i in filled and i % 5)
+
     first, want = {}, []
     for i, t, *_ in rows:
         w = words(t, False)
