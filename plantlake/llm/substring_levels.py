@@ -82,7 +82,7 @@ def _least(doc_ids: np.ndarray, index: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def deduplicated(docs: DataFrame, length: int = 13, base: int = 7, carry: tuple[str, ...] = ("doc_id",), with_text: bool = True) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = 13, base: int = 3, carry: tuple[str, ...] = ("doc_id",), with_text: bool = True) -> DataFrame:
     """``(*carry, n_words, n_removed, kept_sha256[, text])`` for every row. ``text`` is the text as it was where
     nothing was removed, else the kept words joined by spaces. ``carry`` must hold ``doc_id``."""
     levels = lengths_of_levels(length, base)
