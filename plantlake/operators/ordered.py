@@ -43,13 +43,24 @@ def with_index(df: DataFrame, order: list[Column], name: str = "row_index", slic
     return running_total(df, order, F.lit(1).cast("bigint"), name, exclusive=True, slices=slices)
 
 
-def with_rank(df: DataFrame, score: str, name: str = "rank", slices: int | None = None) -> DataFrame:
-    """SQL ``rank()`` by descending score over the whole table. Equal scores are
-    counted first, so ties of any size stay one row while they are ordered."""
-    df = pinned(df)  # read twice below; also keeps both reads equal
-    counts = df.groupBy(score).agg(F.count("*").alias("__n"))
-    ahead = running_total(counts, [F.desc(score)], "__n", "__ahead", exclusive=True, slices=slices)
-    return lookup(df, ahead.select(score, (F.col("__ahead") + 1).alias(name)), score, [name], how="inner")
+def with_rank(df: DataFrame, score: str, name: str = "rank", slices: int | None = None, top: int | None = None) -> DataFrame:
+    """SQL ``rank()`` by descending score over the whole table, null scores last. Equal scores are
+    counted first, so ties of any size stay one row while they are ordered.
+
+    ``top`` keeps the rows ranked that high: they hold at most ``top`` different scores, so every task
+    keeps that many and nothing is stored ahead; the rows of ``df`` must be the same when read again."""
+    if top is None:
+        df = pinned(df)  # read twice below; also keeps both reads equal
+    counts = df.groupBy(F.col(score).alias("__score")).agg(F.count("*").alias("__n"))
+    order = [F.desc_nulls_last("__score")]
+    if top is None:
+        ahead = running_total(counts, order, "__n", "__ahead", exclusive=True, slices=slices)
+    else:
+        before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # at most `top` rows
+        ahead = (counts.orderBy(*order).limit(top).withColumn("__ahead", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+                 .where(F.col("__ahead") < top))
+    ranks = ahead.select("__score", (F.col("__ahead") + 1).alias(name))
+    return df.join(ranks, df[score].eqNullSafe(ranks["__score"])).drop("__score")
 
 
 def indexed_lookup(df: DataFrame, dim: DataFrame, idx_col: str, order_by: list[Column], cols,

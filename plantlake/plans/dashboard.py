@@ -175,8 +175,7 @@ def blend_average(shipments: DataFrame) -> DataFrame:
 
 def health_leaderboard(health: DataFrame, n: int | None = None) -> DataFrame:
     """Units ranked by health; ``n`` keeps the units ranked that high."""
-    ranked = with_rank(health.select("unit_id", "unit_name", "health_score"), "health_score", "health_rank")
-    return ranked if n is None else ranked.where(F.col("health_rank") <= n)
+    return with_rank(health.select("unit_id", "unit_name", "health_score"), "health_score", "health_rank", top=n)
 
 
 def maintenance_calendar(units: DataFrame, as_of: Column) -> DataFrame:

@@ -223,6 +223,22 @@ def test_rank_with_a_large_tie(spark):
     assert got == {i: 1 + sum(x > s for x in scores) for i, s in data}
 
 
+def test_rank_of_null_scores_and_of_the_top(spark):
+    data = [(i, None if i % 7 == 0 else float(i % 10)) for i in range(90)]
+    df = inline_rows(spark, ["id", "score"], data)
+    ahead = lambda s: sum(x is not None and (s is None or x > s) for _, x in data)
+    want = {i: 1 + ahead(s) for i, s in data}
+    assert {r.id: r["rank"] for r in with_rank(df, "score").collect()} == want
+    context = spark.sparkContext
+    for top in (1, 9, 10, 89, 200):
+        context.setJobGroup(f"rank-{top}", "")
+        best = with_rank(df, "score", top=top)
+        assert not context.statusTracker().getJobIdsForGroup(f"rank-{top}")  # nothing runs or is stored ahead
+        assert {r.id: r["rank"] for r in best.collect()} == {i: k for i, k in want.items() if k <= top}
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert with_rank(df.where("id > 500"), "score", top=3).count() == 0
+
+
 def test_no_whole_table_window(spark):
     df = inline_rows(spark, ["id", "v"], [(i, i) for i in range(50)])
     out = running_total(df, [F.asc("id")], "v", "run", slices=4)
