@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plantlake.functions import rules
 from plantlake.functions.columns import utc_wall
@@ -34,16 +34,17 @@ def reduced(rows: DataFrame, keys: dict[str, Column], sums: dict[str, Column], v
 
 
 def combined(parts: DataFrame, keys: list[str], sums: list[str], values: tuple[str, ...]) -> DataFrame:
-    """Partial results of coarser or equal groups. Squared distances move to the common mean, so that no large squares
-    are subtracted from each other."""
-    group = Window.partitionBy(*keys)
-    means = {f"{v}_all": F.sum(F.col(f"{v}_n") * F.col(f"{v}_mean")).over(group) / F.nullif(F.sum(f"{v}_n").over(group), F.lit(0))
-             for v in values}
-    moments = [c for v in values for c in (
-        F.sum(f"{v}_n").alias(f"{v}_n"), F.first(f"{v}_all").alias(f"{v}_mean"),
-        F.sum(F.col(f"{v}_m2") + F.col(f"{v}_n") * F.pow(F.col(f"{v}_mean") - F.col(f"{v}_all"), 2)).alias(f"{v}_m2"),
-        F.min(f"{v}_min").alias(f"{v}_min"), F.max(f"{v}_max").alias(f"{v}_max"))]
-    return parts.withColumns(means).groupBy(*keys).agg(*[F.sum(s).alias(s) for s in ("row_count", *sums)], *moments)
+    """Partial results of coarser or equal groups, by one hash aggregation. The squared distances of the parts' means from the common
+    mean come from covariances, which follow running means, so that no large squares are subtracted from each other."""
+    moments = []
+    for v in values:
+        n, mean = F.col(f"{v}_n"), F.col(f"{v}_mean")
+        common = F.sum(n * mean) / F.nullif(F.sum(n), F.lit(0))
+        # sum n (mean - common)^2 = sum n mean d - common * sum n d, with d from the plain average of the means.
+        between = F.count(mean) * (F.covar_pop(n * mean, mean) - common * F.covar_pop(n, mean))
+        moments += [F.sum(n).alias(f"{v}_n"), common.alias(f"{v}_mean"), (F.sum(f"{v}_m2") + F.greatest(between, F.lit(0.0))).alias(f"{v}_m2"),
+                    F.min(f"{v}_min").alias(f"{v}_min"), F.max(f"{v}_max").alias(f"{v}_max")]
+    return parts.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in ("row_count", *sums)], *moments)
 
 
 def deviation(value: str) -> Column:

@@ -4,7 +4,7 @@ import math
 import shutil
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from plantlake.functions.columns import inline_rows
@@ -197,6 +197,28 @@ def test_moments_merge_without_cancelling(spark):
         assert (r.dev is None) == (w.d is None) and (w.d is None or math.isclose(r.dev, w.d, rel_tol=1e-4))  # squares of 1e18 would leave no digit
 
 
+def test_moments_merge_without_sorted_windows(spark):
+    data = [(g, p, 1e6 + g + 0.25 * p + 0.5 * k) for g in range(5) for p in range(6) for k in range(p % 3 + 1)]
+    df = spark.createDataFrame([*data, (7, 0, None)], "g int, p int, v double")
+    parts = incremental.reduced(df, {"g": F.col("g"), "p": F.col("p")}, {}, ("v",))
+    got = incremental.combined(parts, ["g"], [], ("v",))
+    assert "Window" not in plan(got) and "Sort" not in plan(got)  # which held all rows of a task in memory, twice
+    want = {r.g: r for r in df.groupBy("g").agg(F.count("v").alias("n"), F.avg("v").alias("m"), F.stddev_samp("v").alias("d")).collect()}
+    for r in got.withColumn("dev", incremental.deviation("v")).collect():
+        w = want[r.g]
+        assert r.v_n == w.n and (r.v_mean is None) == (w.m is None) and (w.m is None or math.isclose(r.v_mean, w.m, rel_tol=1e-15))
+        assert (r.dev is None) == (w.d is None) and (w.d is None or math.isclose(r.dev, w.d, rel_tol=1e-9))
+    lone = incremental.combined(parts, ["g", "p"], [], ("v",)).select(sorted(parts.columns))
+    assert rows(lone, "g", "p") == rows(parts.select(sorted(parts.columns)), "g", "p")  # a part by itself stays as it is
+
+
+def test_parts_of_far_apart_sizes_and_means(spark):
+    parts = spark.createDataFrame([(1, 10 ** 9, 10 ** 9, 5.0, 4e9, 0.0, 9.0), (1, 1, 1, 50.0, 0.0, 50.0, 50.0)],
+                                  "g int, row_count long, v_n long, v_mean double, v_m2 double, v_min double, v_max double")
+    got = incremental.combined(parts, ["g"], [], ("v",)).first()
+    assert got.v_n == 10 ** 9 + 1 and math.isclose(got.v_m2, 4e9 + 45.0 ** 2, rel_tol=1e-12)
+
+
 def batches(spark, src, part):
     inline_rows(spark, ["id", "k", "s"], part).select("id", "k", F.col("s").cast("timestamp_ntz").alias("ts")).coalesce(1).write.mode("append").parquet(src)
 
