@@ -20,7 +20,7 @@ def merge_stream(df: DataFrame, store: Snapshots, reduce: Step, combine: Step, p
     """Merge a stream into ``store``. A batch is reduced, joined with the stored rows of the parts that it touches, and
     these parts are replaced in one commit; a batch that is already in the store changes nothing.
 
-    reduce   rows of a batch to stored rows, as few as can be merged
+    reduce   rows of a batch to stored rows, as few as can be merged; those of the first batch are stored as they are
     combine  old and new stored rows to stored rows
     part     part of a stored row; at most as many as days or buckets of a batch are collected
     then     called after the commit with the touched parts, the query and the batch, also for a repeated batch
@@ -30,8 +30,15 @@ def merge_stream(df: DataFrame, store: Snapshots, reduce: Step, combine: Step, p
     def take(rows: DataFrame, batch: int) -> None:
         spark = store.spark
         query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if owned and store.commit().query not in (None, query):
+        now = store.commit()
+        if owned and now.parts and now.query not in (None, query):
             raise ValueError(f"{store.root} holds rows of another checkpoint; remove it to start anew")
+        if now.version < 0:
+            # Nothing to merge with: the reduced rows are the stored ones, and their folders tell the parts.
+            touched = list(store.replace(reduce(rows), part, query=query, batch=batch).parts)
+            if touched and then:
+                then(touched, query, batch)
+            return
         # Stored once, since it is read for its parts and for its rows.
         folder = fresh_dir(spark, "merge")
         reduce(rows).write.parquet(folder)
@@ -39,8 +46,7 @@ def merge_stream(df: DataFrame, store: Snapshots, reduce: Step, combine: Step, p
         touched = [r[0] for r in fresh.select(F.coalesce(part.cast("string"), F.lit("null"))).distinct().collect()]
         if touched:
             if not store.holds(query, batch):
-                old = store.read(touched).unionByName(fresh) if store.exists() else fresh
-                store.replace(combine(old), part, touched, query, batch)
+                store.replace(combine(store.read(touched).unionByName(fresh)), part, touched, query, batch)
                 store.vacuum(keep)
             if then:
                 then(touched, query, batch)

@@ -12,9 +12,9 @@ from plantlake.operators.latest import latest_per_key
 from plantlake.plans import gold, incremental
 from plantlake.plans.datasets import Lake
 from plantlake.sources.files import parquet_stream
-from plantlake.sources.snapshots import Snapshots
+from plantlake.sources.snapshots import LISTING, Snapshots
 from plantlake.streaming.ingest import append_stream, run_to_end
-from plantlake.streaming.merge import upsert_latest
+from plantlake.streaming.merge import merge_stream, upsert_latest
 
 NAMES = ["refinery_id", "unit_id", "sensor_type", "s", "reading_value", "alert_status"]
 
@@ -219,6 +219,39 @@ def test_parts_of_far_apart_sizes_and_means(spark):
     assert got.v_n == 10 ** 9 + 1 and math.isclose(got.v_m2, 4e9 + 45.0 ** 2, rel_tol=1e-12)
 
 
+def test_first_batch_is_stored_without_merging(spark, tmp_path):
+    src, calls = str(tmp_path / "src"), []
+    summed = lambda df: df.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def combine(df):
+        calls.append(df)
+        return summed(df)
+
+    store, then = Snapshots(spark, str(tmp_path / "t")), []
+    for wave in (1, 2):
+        spark.range(20).select((F.col("id") % 3).alias("k"), F.lit(wave).cast("long").alias("n")).write.mode("append").parquet(src)
+        run_to_end(merge_stream(parquet_stream(spark, src), store, summed, combine, F.col("k"), str(tmp_path / "cp"),
+                                lambda parts, query, batch: then.append(sorted(parts)), owned=True))
+        assert len(calls) == wave - 1 and then == [["0", "1", "2"]] * wave
+    assert rows(store.read(), "k") == [(0, 21), (1, 21), (2, 18)]
+
+
+def test_many_parts_are_listed_by_few_tasks(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path / "t"))
+    store.replace(spark.range(90).select("id"), F.col("id"))
+    before = spark.conf.get(LISTING)
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        df = store.read()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("listing")
+        stages = [s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds]
+        tasks = sum(spark.sparkContext.statusTracker().getStageInfo(s).numTasks for s in stages)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < tasks <= 4 * spark.sparkContext.defaultParallelism < 90
+    assert df.count() == 90 and spark.conf.get(LISTING) == before
+
+
 def batches(spark, src, part):
     inline_rows(spark, ["id", "k", "s"], part).select("id", "k", F.col("s").cast("timestamp_ntz").alias("ts")).coalesce(1).write.mode("append").parquet(src)
 
