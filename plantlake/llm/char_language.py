@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 FEATURES = 1 << 15
 UNKNOWN = "und"
 _SLICE = 1 << 20
+#: Rows that a task predicts and passes on at once.
+ROWS = 256
 
 
 def cell_counts(text: str) -> np.ndarray:
@@ -172,8 +174,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", above_chance: flo
                            *([T.StructField("recognised", T.BooleanType())] if asked else [])])
 
     def run(batches):
-        for batch in batches:
-            texts = [x.as_py() for x in batch.column(place)]
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
+            texts = batch.column(place).to_pylist()
             found = [model.predict(x) for x in texts]
             more = [pa.array([model.recognised(x, s, above_chance) for x, (_, s) in zip(texts, found)], pa.bool_())] if asked else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f for f, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64()), *more],
@@ -192,5 +194,7 @@ def identified(docs: DataFrame, folds: int = 3, held_fold: int = 1, sample_rows:
     ``(doc_id, *keep, held_out, lang_pred, score[, recognised])``."""
     fold = remainder(docs["doc_id"], folds)
     model = fit(docs.where(fold != held_fold).select(docs["doc_id"].alias("key"), "text", "lang"), sample_rows)
-    source = docs.select("doc_id", *keep, F.coalesce(fold == held_fold, F.lit(False)).alias("held_out"), docs["text"].cast("string").alias("__text"))
-    return predict(source, model, "__text", above_chance).drop("__text")
+    named = ["doc_id", *keep, F.coalesce(fold == held_fold, F.lit(False)).alias("held_out")]
+    if "text" in keep and docs.schema["text"].dataType == T.StringType():
+        return predict(docs.select(*named), model, "text", above_chance)  # the text goes to the task once
+    return predict(docs.select(*named, docs["text"].cast("string").alias("__text")), model, "__text", above_chance).drop("__text")

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,13 +44,14 @@ def strings(column: pa.Array) -> list[bytes]:
 def steps(batches: Iterable[pa.RecordBatch], size: int = STEP) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches, each with about ``size`` bytes in its column ``text``."""
     for batch in batches:
-        texts = strings(batch.column("text"))
-        start = held = 0
-        for i, text in enumerate(texts):
-            held += len(text)
-            if held >= size or i + 1 == len(texts):
-                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
-                start, held = i + 1, 0
+        column = batch.column("text").cast(pa.large_binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            n = min(int(np.searchsorted(ends, before + size)) + 1, len(ends)) - start
+            yield batch.slice(start, n), strings(column.slice(start, n))  # only one step's texts are Python objects
+            start += n
 
 
 def merged(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

@@ -37,6 +37,8 @@ from plantlake.llm.spans import mixed, span_hashes, window_hashes, words
 U = np.uint64
 TREES, DEPTH, AGREE = 16, 8, 5
 REGION, BLOCK, HUBS, NEIGHBOURS = 20_000, 1024, 32, 2
+#: Bytes of text whose shingles a task holds at once; sorting them takes some thirty times as much.
+TEXTS = 1 << 20
 #: Groups move to the texts by broadcast while they have at most so many rows (16 bytes each and as much for the hash).
 BROADCAST_ROWS = 2_000_000
 _RNG = np.random.default_rng(80)
@@ -93,7 +95,7 @@ def text_hash(docs: DataFrame) -> Column:
 def _features(docs: DataFrame, size: int) -> DataFrame:
     """``(doc_id, text_hash, n, lo, hi, sig)``; ``sig`` is null for empty sets."""
     def run(batches):
-        for batch, texts in steps(batches):
+        for batch, texts in steps(batches, TEXTS):
             grams, first = shingle_sets(texts, size)
             n = np.diff(first)
             lo, hi = set_hashes(grams, first)
@@ -249,7 +251,7 @@ def _part_sets(docs: DataFrame, members: DataFrame, size: int, label: str) -> Da
         F.broadcast(members) if small else members, ["doc_id", "text_hash"])
 
     def run(batches):
-        for batch, texts in steps(batches):
+        for batch, texts in steps(batches, TEXTS):
             grams, first = shingle_sets(texts, size)
             lo, hi = set_hashes(grams, first)
             same = (batch.column("lo").to_numpy() == lo) & (batch.column("hi").to_numpy() == hi)

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -408,3 +409,25 @@ def test_recognised():
     model = char_language.Model(["a", "b", "c", "d"], None, None, 1.0)
     assert not model.recognised("text", 0.32, 0.1) and model.recognised("text", 0.33, 0.1) and not model.recognised("12", 0.9, 0.1)
     assert char_language.Model([], None, None, 1.0).recognised("text", 0.0, 0.1) and char_language.Model(["a"], None, None, 1.0).recognised("text", 1.0, 0.1)
+
+
+def test_steps_hold_one_step_of_texts(monkeypatch):
+    asked, real = [], common.strings
+    monkeypatch.setattr(common, "strings", lambda column: asked.append(len(column)) or real(column))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["ab", None, "", "cdef", "g", "é" * 9, "h"])], names=["id", "text"])
+    got = [(b.column(0).to_pylist(), t) for b, t in common.steps([batch, batch.slice(0, 0), batch.slice(5)], 4)]
+    assert got == [([0, 1, 2, 3], [b"ab", b"", b"", b"cdef"]), ([4, 5], [b"g", "é".encode() * 9]), ([6], [b"h"]), ([5], ["é".encode() * 9]), ([6], [b"h"])]
+    assert asked == [len(t) for _, t in got]  # never the whole batch
+
+
+def test_language_sends_texts_once_and_in_slices(spark, docs, monkeypatch):
+    keep = ("text", "lang")
+    plain = sorted(map(repr, char_language.identified(docs, keep=keep).collect()))
+    slim = char_language.identified(docs, keep=keep)
+    assert "__text" not in slim._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(char_language, "ROWS", 2)
+    model = char_language.Model(["en", "fr"], np.ones(char_language.FEATURES), np.zeros((char_language.FEATURES + 1, 2)), 1.0)
+    found = char_language.predict(docs.select("doc_id", "text").coalesce(1), model)
+    assert found.count() == len(ROWS) and {r.lang_pred for r in found.collect()} <= {"en", "und"}
+    assert sorted(map(repr, char_language.identified(docs, keep=keep).collect())) == plain
+    assert char_language.identified(docs).columns == ["doc_id", "held_out", "lang_pred", "score"]
