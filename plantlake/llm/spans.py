@@ -124,13 +124,44 @@ def differing(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.n
     return np.flatnonzero(odd)
 
 
+def _ends_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last eight bytes of each span as numbers. A span of fewer has all in the first and 0 in the second."""
+    data = np.concatenate([np.zeros(8, np.uint8), buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(buf) + 9,), "<u8", data, strides=(1,))  # eight bytes from every place on, from 8 before the first
+    sizes = ends - starts
+    short = np.flatnonzero(sizes < 8)
+    low, high = eight[starts + 8], eight[ends]
+    low[short] <<= U(8) * (8 - sizes[short]).astype(U)
+    low[sizes == 0] = high[short] = 0
+    return low, high
+
+
 def exact_distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(a place of each distinct span, number of each span's distinct one)``, told apart by their bytes."""
-    _, at, each = distinct(span_hashes(buf, starts, ends))
+    """``(a place of each distinct span, number of each span's distinct one)``, told apart by their bytes. Only spans of
+    over 16 bytes have others between their ends; those are hashed and compared byte by byte."""
+    sizes = ends - starts
+    low, high = _ends_of(buf, starts, ends)
+    keys = mixed(low + mixed(high + sizes.astype(U) * U(0x9E3779B97F4A7C15)))
+    long = np.flatnonzero(sizes > 16)
+    if len(long):
+        lengths = sizes[long]
+        stop = np.cumsum(lengths)
+        if 2 * int(stop[-1]) < len(buf):
+            keys[long] ^= span_hashes(buf[np.repeat(starts[long] - (stop - lengths), lengths) + np.arange(stop[-1])], stop - lengths, stop)
+        else:
+            keys[long] ^= span_hashes(buf, starts[long], ends[long])
+    _, at, each = distinct(keys)
     if len(at) == 0:
         return at, each
-    odd = differing(buf, starts, ends, at[each])
-    if len(odd):  # other spans of the same hash
+    other = at[each]
+    wrong = (sizes != sizes[other]) | (low != low[other]) | (high != high[other])
+    live = np.flatnonzero((sizes > 16) & ~wrong)
+    if len(live):
+        place = np.zeros(len(starts), np.int64)
+        place[live] = np.arange(len(live))
+        wrong[live[differing(buf, starts[live], ends[live], place[other[live]])]] = True
+    odd = np.flatnonzero(wrong)
+    if len(odd):  # other spans of the same key
         found: dict[bytes, int] = {}
         places = at.tolist()
         for i in odd.tolist():

@@ -6,7 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
-from plantlake.llm import fold_bpe, framed_ids, heap_bpe, lsh_forest, spans, substring_levels
+from plantlake.llm import common, fold_bpe, framed_ids, heap_bpe, lsh_forest, spans, substring_levels
 
 
 def mirrored(a, b, n=2048):
@@ -89,3 +89,48 @@ def test_windows_and_sets(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in substring_levels.deduplicated(frame).collect()} == {1: 0, 2: 0, 3: 20}
     assert {r.doc_id: r.component_id for r in lsh_forest.near_duplicates(frame, size=2).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_only_long_spans_are_hashed(monkeypatch):
+    """Spans of up to 16 bytes are told apart by their first and last eight bytes."""
+    words = [b"a", b"a\0", b"", b"12345678", b"123456789", b"1234567890abcdef", b"1234567890Abcdef", b"12345678-long-12345678", b"12345678+long+12345678"] * 2
+    sizes = np.array([len(w) for w in words])
+    ends = np.cumsum(sizes)
+    hashed, real = [], spans.span_hashes
+    monkeypatch.setattr(spans, "span_hashes", lambda buf, starts, ends, seed=0: hashed.extend((ends - starts).tolist()) or real(buf, starts, ends, seed))
+    at, each = spans.exact_distinct(np.frombuffer(b"".join(words), np.uint8), ends - sizes, ends)
+    assert len(at) == 9 and [words[at[k]] for k in each] == words
+    assert hashed == [22] * 4
+
+
+def test_words_of_many_shards_are_folded_once(spark, monkeypatch):
+    """The fold gets a word once however many shards have it, in rows of few words, and every shard gets its ids back."""
+    import tiktoken
+    import pyarrow as pa
+    import regex
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = fold_bpe.load_ranks(path)
+    monkeypatch.setattr(fold_bpe, "FOLD_ROW", 8)
+    texts = [f"qzxv{k % 40} wvut{k % 30}é " + "字" * 30 for k in range(200)]
+    place, rows = {b" ": 0}, []
+    for k in range(0, 200, 50):
+        some = [t.encode() for t in texts[k:k + 50]]
+        _, own = fold_bpe._shard(pa.RecordBatch.from_arrays([pa.array(range(50))], names=["k0"]), some, regex.compile(P.PATTERN), place, 3)
+        rows += [{"shard": str(k), **r} for r in own.to_pylist()]
+    folded, numbered = [], 0
+    for bucket in range(3):
+        own = [r for r in rows if r["bucket"] == bucket]
+        out = fold_bpe._distinct(pa.RecordBatch.from_pylist(own, pa.schema([("shard", pa.string()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("letters", pa.binary())])), fold_bpe.RankPairs(ranks))
+        assert all(len(r["words"]) <= 8 for r in out.to_pylist())
+        folded += [w for r in out.to_pylist() for w in r["words"] if w is not None]
+        numbered += sum(len(common.unpacked(r["each"], np.int32)) for r in out.to_pylist() if r["shards"])
+    assert sorted(folded) == sorted({w.encode().decode("latin-1") for t in texts for w in regex.findall(P.PATTERN, t) if len(w.encode()) <= fold_bpe.FOLD_BYTES and w != " "})
+    assert numbered > 2 * len(folded)
+
+    monkeypatch.setattr(fold_bpe, "SHARD", 400)
+    monkeypatch.setattr(fold_bpe, "SEED_WORDS", 3)
+    given = [*enumerate(texts), (7, texts[7]), (None, "null id"), (500, None), (501, "")]
+    frame = spark.createDataFrame(given, "doc_id long, text string").coalesce(2)
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in fold_bpe.round_trip(frame, path, P.PATTERN).collect()), key=str)
+    assert got == sorted(((i, np.array(coder.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in given), key=str)
