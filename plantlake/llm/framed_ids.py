@@ -23,7 +23,6 @@ number and come first, repeated doc ids keep an entry each. Further columns are
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -58,7 +57,7 @@ class Encoder:
 
         self.library = Tokenizer.from_buffer(data)
         special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile(b"|".join(map(re.escape, special))) if special else None
+        self.special = [s for s in special if s]
         self.units: dict[bytes, bytes] = {}
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
@@ -84,7 +83,7 @@ class Encoder:
         return [data[a:b] for a, b in zip([0, *stops], stops)]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        odd = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
+        odd = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
         plain = list(texts)
         for i in odd:  # special strings are no units; the library takes these texts whole
             plain[i] = b""
@@ -95,15 +94,19 @@ class Encoder:
         known, data = self.units, buf.tobytes()
         names = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
         own: dict[bytes, bytes] = {}
-        new = [name for name in names if name not in known]
+        found = list(map(known.get, names))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        new = [names[i] for i in fresh]
         for k in range(0, len(new), 4096):
             some = new[k:k + 4096]
             spaced = [x for x in some if x[:1] == b" " and x[1:2] > b" "]
             own.update(zip(spaced, self.together(spaced)))
-            others = [x for x in some if x not in own]
+            others = [x for x in some if x[:1] != b" " or x[1:2] <= b" "]
             own.update(zip(others, self.whole([x.decode() for x in others])))
-        found = [own[name] if name in own else known[name] for name in names]
-        known.update((name, ids) for name, ids in own.items() if len(name) <= KEPT)
+        for i, name in zip(fresh, new):
+            found[i] = own[name]
+            if len(name) <= KEPT:
+                known[name] = found[i]
         pool = np.frombuffer(b"".join(found), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begin = np.cumsum(sizes) - sizes
