@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -79,16 +80,54 @@ def shard_numbers() -> Iterator[int]:
         n += 1
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system. Spark keeps workers for a minute after their task; what they
+    hold then counts beside the next stage."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, giving back its memory at the end of each task."""
+    def task(batches):
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
+def lean_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``run`` for ``applyInArrow`` over large groups, giving back its memory after each."""
+    def group(table: pa.Table) -> pa.Table:
+        out = run(table)
+        give_back()
+        return out
+
+    return group
+
+
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()  # a worker runs one task at a time
+
+
 def packed(values: np.ndarray) -> bytes:
     """Compressed array; the bytes of each place go together, which suits sorted or small numbers."""
     raw = np.ascontiguousarray(values)
     planes = raw.view(np.uint8).reshape(len(raw), raw.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _PACKER.compress(planes.tobytes())
+
+
+def packed_runs(values: np.ndarray, stops: np.ndarray) -> list[bytes]:
+    """``packed`` of each of the runs of ``values`` that end at ``stops``."""
+    raw = np.ascontiguousarray(values)
+    planes = [np.ascontiguousarray(x).tobytes() for x in raw.view(np.uint8).reshape(len(raw), raw.itemsize).T]
+    ends = stops.tolist()
+    return [_PACKER.compress(b"".join([p[a:b] for p in planes])) for a, b in zip([0, *ends], ends)]
 
 
 def unpacked(data: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    planes = np.frombuffer(_UNPACKER.decompress(data), np.uint8)
     return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
 
 

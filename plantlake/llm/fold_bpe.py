@@ -16,7 +16,8 @@ The fold looks at every pair for every merge. Words of over ``FOLD_BYTES`` bytes
 merged with a heap in step 2, by the same rule. Vocabulary files are read on the driver.
 
 The most frequent words of a sample of texts are folded and decoded first and travel with the job, ``SEED_WORDS`` of them
-at most from about ``SEED_DOCS`` texts; only other words go to the buckets. Results don't depend on the sample.
+at most from about ``SEED_DOCS`` texts; only other words go to the buckets. Results don't depend on the sample. A word
+that the pattern cuts further when it stands alone is not among them, so a unit that equals one of them needs no cutting.
 
 Shard files are written through Arrow, which knows the paths that ``ranges.storage`` names. A file has a name of its own,
 which the rows of its words carry, so a repeated task can't mix two cuttings.
@@ -35,6 +36,7 @@ import zlib
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,17 +44,17 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plantlake.llm.common import from_ipc, merged, packed, to_ipc, unpacked, written
+from plantlake.llm.common import from_ipc, lean, merged, packed, to_ipc, unpacked, written
 from plantlake.llm.heap_bpe import merges
 from plantlake.llm.ranges import storage
 from plantlake.llm.spans import exact_distinct, units
 from plantlake.session import fresh_dir
 
 FOLD_BYTES = 64
-#: Small maps that the rank map is dealt into.
+#: Small maps that the rank map is dealt into; a power of two.
 MAPS = 8192
 #: Bytes of text in a shard and in a step of its making, unless one text is longer.
-SHARD, PIECE = 4 << 20, 1 << 20
+SHARD, PIECE = 4 << 20, 2 << 20
 SEED_WORDS, SEED_DOCS = 150_000, 25_000
 #: Words in a row that is folded, and buckets of words for each shuffle partition.
 FOLD_ROW, BUCKETS = 1024, 4
@@ -93,7 +95,7 @@ class Codec:
         return let(self.pieces, lambda pieces: F.transform(ids, lambda some: self.decode(pieces, some)))
 
     def rank(self, maps: Column, token: Column) -> Column:
-        at = F.pmod(F.crc32(token.cast("binary")), F.lit(MAPS)).cast("int")
+        at = F.crc32(token.cast("binary")).bitwiseAND(F.lit(MAPS - 1).cast("long")).cast("int")
         return F.try_element_at(F.get(maps, at), token)
 
     def merged_once(self, maps: Column, parts: Column) -> Column:
@@ -170,11 +172,18 @@ def numbers(column: pa.Array, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
+def _runs(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at ``begin``, one run after the other."""
+    stop = np.cumsum(lengths)
+    return np.repeat(begin - (stop - lengths), lengths) + np.arange(stop[-1] if len(stop) else 0)
+
+
 def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, place: dict[bytes, int], buckets: int) -> tuple[bytes, pa.RecordBatch]:
     """The file of a shard (documents and the word numbers of each text) and a row for each bucket of its words. Words folded
     ahead have their places as numbers, the others follow in the order of the rows. Texts
-    are cut a step at a time; a unit is split into words once per shard."""
-    number: dict[str, int] = {}
+    are cut a step at a time; a unit that is a word folded ahead is not cut at all, any other once per shard."""
+    ahead = len(place)
+    number: dict[bytes, int] = {}
     split: dict[bytes, bytes] = {}
     codes, edges = [], [np.zeros(1, np.int64)]
     i = total = 0
@@ -186,37 +195,51 @@ def _shard(batch: pa.RecordBatch, texts: list[bytes], pattern, place: dict[bytes
         buf, starts, ends, first = units(texts[i:j])
         at, each = exact_distinct(buf, starts, ends)
         data, own = buf.tobytes(), []
-        for a, b in zip(starts[at].tolist(), ends[at].tolist()):
-            unit = data[a:b]
+        names = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        known = np.fromiter(map(place.get, names, repeat(-1)), np.int32, len(names))
+        rest = np.flatnonzero(known < 0)
+        for k in rest.tolist():
+            unit = names[k]
             words = split.get(unit)
             if words is None:
-                words = split[unit] = array("i", [number.setdefault(w, len(number)) for w in pattern.findall(unit.decode())]).tobytes()
+                words = array("i")
+                for w in pattern.findall(unit.decode()):
+                    w = w.encode()
+                    code = place.get(w)
+                    words.append(ahead + number.setdefault(w, len(number)) if code is None else code)
+                words = split[unit] = words.tobytes()
             own.append(words)
-        pool = np.frombuffer(b"".join(own), np.int32)
-        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        begin, lengths = np.cumsum(sizes) - sizes, sizes[each]
+        sizes = np.ones(len(names), np.int64)
+        sizes[rest] = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        begin = np.cumsum(sizes) - sizes
+        pool = np.empty(int(sizes.sum()), np.int32)
+        alone = known >= 0
+        pool[begin[alone]] = known[alone]
+        pool[_runs(begin[rest], sizes[rest])] = np.frombuffer(b"".join(own), np.int32)
+        lengths = sizes[each]
         stop = np.cumsum(lengths)
-        codes.append(pool[np.repeat(begin[each] - (stop - lengths), lengths) + np.arange(stop[-1] if len(stop) else 0)])
+        codes.append(pool[_runs(begin[each], lengths)])
         edges.append(total + np.concatenate([np.zeros(1, np.int64), stop])[first[1:]])
         total += len(codes[-1])
         i = j
     del split
-    words = [w.encode() for w in number]
-    code = np.fromiter((place.get(w, -1) for w in words), np.int64, len(words))
-    new = np.flatnonzero(code < 0)
-    bucket = np.fromiter((zlib.crc32(words[i]) % buckets for i in new.tolist()), np.int64, len(new))
+    words = list(number)
+    bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
     order = np.argsort(bucket, kind="stable")
-    new, bucket = new[order], bucket[order]
-    code[new] = len(place) + np.arange(len(new))
-    words = [words[i] for i in new.tolist()]
+    bucket = bucket[order]
+    moved = np.empty(len(words), np.int32)
+    moved[order] = np.arange(ahead, ahead + len(words))
+    numbered = np.concatenate(codes) if codes else np.empty(0, np.int32)
+    new = numbered >= ahead
+    numbered[new] = moved[numbered[new] - ahead]
+    words = [words[i] for i in order.tolist()]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     first = np.flatnonzero(np.diff(bucket, prepend=-1))
     stops = np.append(first[1:], len(words))
     if len(words) == 0:  # a shard has at least one row
         bucket, first, stops = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64)
     own = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
-    numbered = code[np.concatenate(codes)] if codes else np.empty(0, np.int64)
-    file = pa.RecordBatch.from_arrays([pa.array([to_ipc(batch)]), pa.array([packed(np.concatenate(edges))]), pa.array([packed(numbered.astype(np.int32))])],
+    file = pa.RecordBatch.from_arrays([pa.array([to_ipc(batch)]), pa.array([packed(np.concatenate(edges))]), pa.array([packed(numbered)])],
                                       names=["docs", "edges", "codes"])
     rows = pa.RecordBatch.from_arrays(
         [pa.array(bucket[first].astype(np.int32)), cut(sizes.astype(np.uint32).tobytes(), 4 * stops), cut(b"".join(words), own[stops])], names=["bucket", "sizes", "letters"])
@@ -299,12 +322,14 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
                 some = rows[i:i + 50_000]
                 yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in some]), pa.array([k for _, k in some], pa.int64())], names=["word", "n"])
 
-    words = sample.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    words = sample.mapInArrow(lean(count), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     chosen = words.orderBy(F.desc("n"), "word").limit(SEED_WORDS)
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     folded = chosen.repartition(parts, "word").select("word", "n", codec.encoded(F.array("word")).alias("lists"))
     table = folded.select("word", F.get("lists", F.lit(0)).alias("ids"), F.get(codec.decoded(F.col("lists")), F.lit(0)).alias("back"), "n").toArrow()
     table = table.sort_by([("n", "descending"), ("word", "ascending")]).drop_columns("n").cast(_SEEDED)  # frequent words get small numbers
+    find = regex.compile(pattern).findall
+    table = table.filter(pa.array([find(w := x.encode("latin-1").decode()) == [w] for x in table.column("word").to_pylist()], pa.bool_()))
     return to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
 
 
@@ -380,13 +405,13 @@ def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] |
                      pa.array(raw, pa.binary()), pa.array(text, pa.binary())],
                     names=[*some.schema.names, "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"])
 
-    made = written(source.mapInArrow(shards, "shard string, bucket int, sizes binary, letters binary"), "fold-words")
+    made = written(source.mapInArrow(lean(shards), "shard string, bucket int, sizes binary, letters binary"), "fold-words")
     words = made.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        distinct, "bucket int, shards array<string>, counts binary, each binary, words array<string>, known array<array<int>>")
+        lean(distinct), "bucket int, shards array<string>, counts binary, each binary, words array<string>, known array<array<int>>")
     coded = words.select("bucket", "shards", "counts", "each", F.zip_with("known", codec.encoded(F.col("words")), lambda known, made: F.coalesce(known, made)).alias("ids"))
     both = coded.select("bucket", "shards", "counts", "each", "ids", codec.decoded(F.col("ids")).alias("pieces"))
-    back = both.mapInArrow(dealt, "shard string, bucket int, n binary, ids binary, sizes binary, back binary")
+    back = both.mapInArrow(lean(dealt), "shard string, bucket int, n binary, ids binary, sizes binary, back binary")
     kinds = dict(source.dtypes)
-    out = back.repartition(parts, "shard").sortWithinPartitions("shard", "bucket").mapInArrow(documents, ", ".join(f"k{i} {kinds[f'k{i}']}" for i in range(len(keep)))
+    out = back.repartition(parts, "shard").sortWithinPartitions("shard", "bucket").mapInArrow(lean(documents), ", ".join(f"k{i} {kinds[f'k{i}']}" for i in range(len(keep)))
                                                                                              + ", n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded binary")
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded")

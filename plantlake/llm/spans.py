@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 
 U = np.uint64
 _BLOCK = 1 << 19
@@ -150,9 +151,10 @@ def exact_distinct(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tup
             keys[long] ^= span_hashes(buf[np.repeat(starts[long] - (stop - lengths), lengths) + np.arange(stop[-1])], stop - lengths, stop)
         else:
             keys[long] ^= span_hashes(buf, starts[long], ends[long])
-    _, at, each = distinct(keys)
-    if len(at) == 0:
-        return at, each
+    each = pa.array(keys).dictionary_encode().indices.to_numpy().astype(np.int64)  # numbers in order of first places
+    if len(each) == 0:
+        return each, each.copy()
+    at = np.flatnonzero(np.diff(np.maximum.accumulate(each), prepend=-1))
     other = at[each]
     wrong = (sizes != sizes[other]) | (low != low[other]) | (high != high[other])
     live = np.flatnonzero((sizes > 16) & ~wrong)

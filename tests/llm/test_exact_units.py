@@ -134,3 +134,65 @@ def test_words_of_many_shards_are_folded_once(spark, monkeypatch):
     coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     got = sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in fold_bpe.round_trip(frame, path, P.PATTERN).collect()), key=str)
     assert got == sorted(((i, np.array(coder.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in given), key=str)
+
+
+def test_words_folded_ahead_are_not_cut(monkeypatch):
+    """A unit that is a word folded ahead gets its number without the pattern; others are cut once per shard."""
+    import pyarrow as pa
+    import regex
+
+    class Counted:
+        def __init__(self):
+            self.real, self.seen = regex.compile(P.PATTERN), []
+
+        def findall(self, text):
+            self.seen.append(text)
+            return self.real.findall(text)
+
+    texts = [b"Plain words, 12  and odd99 words", b"", "Plain é 字 words".encode(), b"words"] * 3
+    place = {w: i for i, w in enumerate([b"Plain", b" words", b",", b" and"])}
+    monkeypatch.setattr(fold_bpe, "PIECE", 30)
+    pattern = Counted()
+    file, rows = fold_bpe._shard(pa.RecordBatch.from_arrays([pa.array(range(len(texts)))], names=["k0"]), texts, pattern, place, 3)
+    assert not {x.encode() for x in pattern.seen} & set(place)
+    assert len(pattern.seen) == len(set(pattern.seen))
+    words = list(place)
+    for row in rows.to_pylist():
+        sizes = np.frombuffer(row["sizes"], np.uint32)
+        words += [row["letters"][b - n:b] for n, b in zip(sizes, np.cumsum(sizes))]
+    assert len(words) == len(set(words))
+    held = common.from_ipc(file)
+    edges, codes = common.unpacked(held.column(1)[0].as_py(), np.int64), common.unpacked(held.column(2)[0].as_py(), np.int32)
+    got = [[words[c] for c in codes[a:b]] for a, b in zip(edges, edges[1:])]
+    assert got == [[w.encode() for w in regex.findall(P.PATTERN, t.decode())] for t in texts]
+
+
+def test_only_words_that_stand_alone_are_folded_ahead(spark):
+    """A word that the pattern cuts further without what follows is left to the shards."""
+    ranks = fold_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
+    frame = spark.createDataFrame([(1, "xyz xy")], "doc_id long, text string")
+    table = common.from_ipc(fold_bpe.fold_ahead(frame.select("text"), fold_bpe.Codec(ranks), r"xy(?=z)|x|y|z|[^xyz]+"))
+    assert set(table.column("word").to_pylist()) == {"x", "y", "z", " "}
+
+
+def test_packed_runs():
+    values, stops = np.arange(70_000, dtype=np.uint32) * 7, np.array([0, 5, 5, 1000, 70_000])
+    whole = [values[a:b] for a, b in zip([0, *stops[:-1]], stops)]
+    assert common.packed_runs(values, stops) == [common.packed(x) for x in whole]
+    assert common.packed_runs(values[:0], stops[:0]) == []
+
+
+def test_tasks_give_back_what_they_freed(monkeypatch):
+    """At the end of a task, after the operator's own function has ended."""
+    said = []
+    monkeypatch.setattr(common, "give_back", lambda: said.append("back"))
+
+    def run(batches):
+        for b in batches:
+            yield b + 1
+        said.append("ended")
+
+    assert list(common.lean(run)([1, 2])) == [2, 3] and said == ["ended", "back"]
+    assert common.lean_group(lambda t: t * 2)(4) == 8 and said == ["ended", "back", "back"]
+    monkeypatch.undo()
+    common.give_back()
