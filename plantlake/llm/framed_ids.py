@@ -34,7 +34,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plantlake.llm.common import packed, steps, unpacked, written
+from plantlake.llm.common import lean, packed_runs, steps, unpacked, written
 from plantlake.llm.ranges import id_bounds, part_of, storage
 from plantlake.llm.spans import exact_distinct, units
 from plantlake.session import fresh_dir
@@ -213,10 +213,12 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0
             encoder = _LOADED[key] = Encoder(data)
         tail = np.array([end_id], np.uint32)
         for batch, texts in steps(batches):
-            ids = [np.concatenate([x, tail]) for x in encoder(texts)]
+            ids = encoder(texts)
+            stops = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) + 1)
+            flat = np.concatenate([y for x in ids for y in (x, tail)] or [tail[:0]])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part_of(batch.column(0), bounds), pa.int32()), batch.column(0),
-                 pa.array([packed(x) for x in ids], pa.binary())], names=["part", "doc_id", "ids"])
+                 pa.array(packed_runs(flat, stops), pa.binary())], names=["part", "doc_id", "ids"])
 
     def store(batches):
         part, writer, made = None, None, []
@@ -235,9 +237,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int = 0
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int64(), pa.int64()))],
                                          names=["part", "name", "n_docs", "n_ids"])
 
-    ids = chosen.mapInArrow(encode, "part int, doc_id long, ids binary")
+    ids = chosen.mapInArrow(lean(encode), "part int, doc_id long, ids binary")
     placed = ids.repartition(files, "part").sortWithinPartitions("part", "doc_id", "ids")
-    return written(placed.mapInArrow(store, "part int, name string, n_docs long, n_ids long"), "id-files")
+    return written(placed.mapInArrow(lean(store), "part int, name string, n_docs long, n_ids long"), "id-files")
 
 
 def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
@@ -262,7 +264,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                 reader.close()
 
     return (files.select("name", "first").repartition(count, "name")
-            .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def framed_ids(docs: DataFrame, tokenizer_file: str, end_id: int = 0) -> DataFrame:
