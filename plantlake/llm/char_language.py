@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from plantlake.llm.common import lean
+
 FEATURES = 1 << 15
 UNKNOWN = "und"
 _SLICE = 1 << 20
@@ -140,7 +142,7 @@ def fit(labelled: DataFrame, sample_rows: int = 3000, held: float = 0.2) -> Mode
         cells = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(seen[cells], pa.int64())], names=["cell", "docs"])
 
-    found = rows.select("text").mapInArrow(frequencies, "cell int, docs long").groupBy("cell").agg(F.sum("docs").alias("docs")).collect()
+    found = rows.select("text").mapInArrow(lean(frequencies), "cell int, docs long").groupBy("cell").agg(F.sum("docs").alias("docs")).collect()
     docs = np.zeros(FEATURES)
     for r in found:  # one row per cell at most
         docs[r.cell] = r.docs
@@ -158,7 +160,7 @@ def fit(labelled: DataFrame, sample_rows: int = 3000, held: float = 0.2) -> Mode
                 yield pa.RecordBatch.from_arrays([pa.array([pick]), pa.array([lang]), pa.array([cells.astype("<i4").tobytes()]),
                                                   pa.array([values.astype("<f4").tobytes()])], names=["pick", "lang", "cells", "values"])
 
-    sample = picked.mapInArrow(sparse, "pick long, lang string, cells binary, values binary").orderBy("pick", "lang", "cells").limit(sample_rows).collect()
+    sample = picked.mapInArrow(lean(sparse), "pick long, lang string, cells binary, values binary").orderBy("pick", "lang", "cells").limit(sample_rows).collect()
     data = [(np.frombuffer(r.cells, "<i4").astype(np.int64), np.frombuffer(r["values"], "<f4").astype(np.float64), languages.index(r.lang)) for r in sample]
     cut = int(len(data) * held)
     weights = train(data[cut:], len(languages))
@@ -181,7 +183,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", above_chance: flo
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f for f, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64()), *more],
                                              names=[*batch.schema.names, "lang_pred", "score", *(["recognised"] if asked else [])])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def remainder(doc_id: Column, by: int) -> Column:

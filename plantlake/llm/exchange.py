@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plantlake.llm.common import merged, packed, packed_sorted, rows_to_batch, shard_numbers, to_ipc, unpacked, unpacked_sorted, written
+from plantlake.llm.common import lean, lean_group, merged, packed, packed_sorted, rows_to_batch, shard_numbers, to_ipc, unpacked, unpacked_sorted, written
 
 #: Text bytes of a shard (unless one text is longer) and keys of a bucket, roughly.
 SHARD, KEYS = 12 << 20, 2 << 20
@@ -44,7 +44,7 @@ def shards(docs: DataFrame, columns: list[str], kind_of: Callable[[dict], int] |
                 size = sum(len(t) for t, k in zip(texts, kinds) if k == kind)
                 yield rows_to_batch([(4 * next(numbers) + kind, kind, size, to_ipc(own))], SHARDS)
 
-    return written(source.mapInArrow(pack, SHARDS_SQL), label)
+    return written(source.mapInArrow(lean(pack), SHARDS_SQL), label)
 
 
 def buckets_for(keys: int) -> int:
@@ -83,7 +83,7 @@ def combined(sent: DataFrame, kinds: list, combine: Callable[[int, np.ndarray, n
             rows.append((shard, level, bucket, [packed(x[index[a:b]]) for x in answers], []))
         return pa.Table.from_batches([rows_to_batch(rows, ANSWER)])
 
-    return written(sent.groupBy("level", "bucket").applyInArrow(answer, ANSWER_SQL), label)
+    return written(sent.groupBy("level", "bucket").applyInArrow(lean_group(answer), ANSWER_SQL), label)
 
 
 def answered(stored: DataFrame, answers: DataFrame, run: Callable[[int, int, bytes, dict[int, list[np.ndarray]]], list[pa.RecordBatch]],
@@ -108,4 +108,4 @@ def answered(stored: DataFrame, answers: DataFrame, run: Callable[[int, int, byt
         shard = table.column("shard")[0].as_py()
         return pa.Table.from_batches(run(shard, kind, payload, found), schema=arrow)
 
-    return both.groupBy("shard").applyInArrow(one, schema)
+    return both.groupBy("shard").applyInArrow(lean_group(one), schema)

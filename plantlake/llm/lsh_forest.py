@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from plantlake.llm.common import rows_to_batch, steps, written
+from plantlake.llm.common import lean, rows_to_batch, steps, written
 from plantlake.llm.spans import mixed, span_hashes, window_hashes, words
 
 U = np.uint64
@@ -105,7 +105,7 @@ def _features(docs: DataFrame, size: int) -> DataFrame:
                                              names=["doc_id", "text_hash", "n", "lo", "hi", "sig"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(docs).alias("text_hash"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, text_hash long, n long, lo long, hi long, sig binary")
+        lean(run), "doc_id long, text_hash long, n long, lo long, hi long, sig binary")
 
 
 _ORDER_SQL = "u long, v long, tree int, key binary"
@@ -145,10 +145,10 @@ def candidates(classes: DataFrame) -> DataFrame:
         "tree", F.expr(f"substring(sig, tree * {width} + 1, {width})").alias("key"), "rep")
     order = ["tree", "key", "rep"]
     slices = max(1, -(-TREES * classes.count() // REGION))
-    found = written(keys.repartitionByRange(slices, *order).sortWithinPartitions(*order).mapInArrow(_neighbours, _ORDER_SQL), "forest-order")
+    found = written(keys.repartitionByRange(slices, *order).sortWithinPartitions(*order).mapInArrow(lean(_neighbours), _ORDER_SQL), "forest-order")
     # The ends of the slices meet in one task; they are a few rows a slice.
     ends = found.where("v is null").select("tree", "key", F.col("u").alias("rep")).coalesce(1).sortWithinPartitions(*order)
-    across = ends.mapInArrow(_neighbours, _ORDER_SQL)
+    across = ends.mapInArrow(lean(_neighbours), _ORDER_SQL)
     pairs = found.unionByName(across).where("v is not null and u <> v")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
@@ -261,7 +261,7 @@ def _part_sets(docs: DataFrame, members: DataFrame, size: int, label: str) -> Da
                                              names=["rep", "g", "block", "blocks", "hub", "grams"])
 
     return written(chosen.select("text", "rep", "g", "block", "blocks", "hub", "lo", "hi").mapInArrow(
-        run, "rep long, g long, block int, blocks int, hub boolean, grams binary"), label)
+        lean(run), "rep long, g long, block int, blocks int, hub boolean, grams binary"), label)
 
 
 def _shared_ids(features: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from plantlake.llm.common import discard, from_ipc, strings, to_ipc, written
+from plantlake.llm.common import discard, from_ipc, lean, strings, to_ipc, written
 from plantlake.llm.exchange import SENT_SQL, answered, buckets_for, combined, send, shards
 from plantlake.llm.spans import span_hashes, window_hashes, words
 
@@ -153,7 +153,7 @@ def deduplicated(docs: DataFrame, length: int = 13, base: int = 3, carry: tuple[
                                                        pa.array([to_ipc(rest)], pa.binary())], schema=arrow))
             return out
 
-        sent = current.select("shard", "payload").mapInArrow(ask, SENT_SQL)
+        sent = current.select("shard", "payload").mapInArrow(lean(ask), SENT_SQL)
         answers = combined(sent, [np.int64 if last else np.bool_], meet, f"substring-level-{size}")
         out = answered(current, answers, decide, [np.int64 if last else np.bool_], sql, arrow)
         columns = [*names, "n_words", "n_removed", "kept_sha256", *(["text"] if with_text else [])]
