@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from plantlake.llm.common import lean
+from plantlake.llm.common import give_back, lean
 
 FEATURES = 1 << 15
 UNKNOWN = "und"
@@ -69,6 +69,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs:
     for _ in range(epochs):
         for r in order.permutation(len(rows)):
             cells, values, own = rows[r]
+            values = values.astype(np.float64)
             w = weights(zs := z[cells], ns := n[cells])
             error = softmax(values @ w)
             error[own] -= 1
@@ -142,10 +143,9 @@ def fit(labelled: DataFrame, sample_rows: int = 3000, held: float = 0.2) -> Mode
         cells = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(seen[cells], pa.int64())], names=["cell", "docs"])
 
-    found = rows.select("text").mapInArrow(lean(frequencies), "cell int, docs long").groupBy("cell").agg(F.sum("docs").alias("docs")).collect()
+    found = rows.select("text").mapInArrow(lean(frequencies), "cell int, docs long").groupBy("cell").agg(F.sum("docs").alias("docs")).toArrow()  # one row per cell at most
     docs = np.zeros(FEATURES)
-    for r in found:  # one row per cell at most
-        docs[r.cell] = r.docs
+    docs[found.column("cell").to_numpy()] = found.column("docs").to_numpy()
     idf = np.log((1 + sum(sizes.values())) / (1 + docs)) + 1
 
     languages = sorted(sizes)
@@ -160,11 +160,14 @@ def fit(labelled: DataFrame, sample_rows: int = 3000, held: float = 0.2) -> Mode
                 yield pa.RecordBatch.from_arrays([pa.array([pick]), pa.array([lang]), pa.array([cells.astype("<i4").tobytes()]),
                                                   pa.array([values.astype("<f4").tobytes()])], names=["pick", "lang", "cells", "values"])
 
-    sample = picked.mapInArrow(lean(sparse), "pick long, lang string, cells binary, values binary").orderBy("pick", "lang", "cells").limit(sample_rows).collect()
-    data = [(np.frombuffer(r.cells, "<i4").astype(np.int64), np.frombuffer(r["values"], "<f4").astype(np.float64), languages.index(r.lang)) for r in sample]
+    sample = picked.mapInArrow(lean(sparse), "pick long, lang string, cells binary, values binary").orderBy("pick", "lang", "cells").limit(sample_rows).toArrow()
+    data = [(np.frombuffer(c.as_buffer(), "<i4"), np.frombuffer(v.as_buffer(), "<f4"), languages.index(lang.as_py()))
+            for c, v, lang in zip(*(sample.column(name) for name in ("cells", "values", "lang")))]  # views of the table
     cut = int(len(data) * held)
     weights = train(data[cut:], len(languages))
-    heat = temperature(np.array([v @ weights[c] for c, v, _ in data[:cut]]), np.array([y for _, _, y in data[:cut]])) if cut else 1.0
+    heat = temperature(np.array([v.astype(np.float64) @ weights[c] for c, v, _ in data[:cut]]), np.array([y for _, _, y in data[:cut]])) if cut else 1.0
+    del found, sample, data
+    give_back()
     return Model(languages, idf, weights, heat)
 
 

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plantlake.llm.common import from_ipc, lean, merged, packed, to_ipc, unpacked, written
+from plantlake.llm.common import from_ipc, give_back, lean, merged, packed, to_ipc, unpacked, written
 from plantlake.llm.heap_bpe import merges
 from plantlake.llm.ranges import storage
 from plantlake.llm.spans import exact_distinct, units
@@ -330,7 +330,10 @@ def fold_ahead(source: DataFrame, codec: Codec, pattern: str) -> bytes:
     table = table.sort_by([("n", "descending"), ("word", "ascending")]).drop_columns("n").cast(_SEEDED)  # frequent words get small numbers
     find = regex.compile(pattern).findall
     table = table.filter(pa.array([find(w := x.encode("latin-1").decode()) == [w] for x in table.column("word").to_pylist()], pa.bool_()))
-    return to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
+    data = to_ipc(table.combine_chunks().to_batches()[0] if len(table) else pa.RecordBatch.from_pylist([], table.schema))
+    del table
+    give_back()
+    return data
 
 
 def round_trip(docs: DataFrame, ranks_file: str, pattern: str, keep: list[str] | None = None) -> DataFrame:

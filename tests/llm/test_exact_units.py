@@ -196,3 +196,18 @@ def test_tasks_give_back_what_they_freed(monkeypatch):
     assert common.lean_group(lambda t: t * 2)(4) == 8 and said == ["ended", "back", "back"]
     monkeypatch.undo()
     common.give_back()
+
+
+def test_driver_gives_back_what_learning_and_seeds_took(spark, monkeypatch):
+    """The driver gets no row objects of the learned cells, and returns its memory before the next step."""
+    from plantlake.llm import char_language
+    said, kinds = [], []
+    monkeypatch.setattr(char_language, "give_back", lambda: said.append("fit"), raising=False)
+    monkeypatch.setattr(fold_bpe, "give_back", lambda: said.append("ahead"), raising=False)
+    collect = type(spark.range(0)).collect
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda self: kinds.append(self.columns) or collect(self))
+    rows = [(k, "the cat and the dog" if k % 2 else "der Hund und die Katze", "en" if k % 2 else "de") for k in range(20)]
+    model = char_language.fit(spark.createDataFrame(rows, "key long, text string, lang string"))
+    assert model.languages == ["de", "en"] and model.predict("the dog and the cat")[0] == "en"
+    fold_bpe.fold_ahead(spark.createDataFrame([("a b",)], "text string"), fold_bpe.Codec(fold_bpe.load_ranks(P.path("byte_bpe_multi_50k.tiktoken"))), P.PATTERN)
+    assert said == ["fit", "ahead"] and kinds == [["lang", "n"]]
