@@ -11,8 +11,10 @@
 3. Candidates connect classes into groups. Inside a group all pairs are compared on full sets, in
    blocks of at most ``BLOCK`` classes, by counting common shingles with a matrix product. A group
    of several blocks compares every block with itself and with its ``HUBS`` best-connected
-   members first, then the classes that this leaves outside the group's largest component with
-   all blocks. Links leave a task as a spanning forest, never as all pairs.
+   members first. What this leaves in different components meets again where it can still be alike:
+   sets that are hold one of the rarest shingles of each in common (``_meetings``), so unlike sets
+   of a large group cost their shingles and not their pairs. Links leave a task as a spanning
+   forest, never as all pairs.
 4. Components of the links are found by alternating large-star and small-star steps on written
    tables.
 
@@ -153,8 +155,8 @@ def candidates(classes: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
-    """``(node, root)`` for every end of an edge ``(u, v)``; the root is the smallest node reachable."""
+def stars(edges: DataFrame, label: str) -> DataFrame:
+    """``(u, v)`` for every end u of an edge ``(u, v)`` but the smallest node v that it reaches."""
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), label)
     before = None
     while True:
@@ -164,10 +166,15 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = written(small.select("e.u", "e.v").where("u <> v").distinct(), label)
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.groupBy("u").agg(F.min("v").alias("m"), F.collect_set("v").alias("below"))
+        edges = written(small.select(F.explode(F.concat("below", F.array("u"))).alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), label)
+    return edges
+
+
+def components(edges: DataFrame, label: str = "components") -> DataFrame:
+    """``(node, root)`` for every end of an edge ``(u, v)``; the root is the smallest node reachable."""
+    edges = stars(edges, label)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -218,28 +225,44 @@ def spanning(links: np.ndarray, rows: np.ndarray, columns: np.ndarray, known: li
     return out
 
 
+def _to_least(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links of the same components, each to the smallest of its component."""
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return [(x, find(x)) for x in list(root) if find(x) != x]
+
+
 _LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 _SETS_SQL = "rep long, g long, block int, part int, root long, grams binary"
 
 
-def _compare(percent: int):
+def _compare(percent: int, across: bool = False):
     """Function for one (group, part): compare its rows (role 0) with each other and with its guests
-    (role 1) if it is a block, or its askers (role 2) with its rows."""
+    (role 1) if it is a block, or its askers (role 2) with its rows if parts go ``across`` blocks."""
     def run(table: pa.Table) -> pa.Table:
         reps, roles, roots = (table.column(c).to_pylist() for c in ("rep", "role", "root"))
         sets = [np.frombuffer(g, U) for g in table.column("grams").to_pylist()]
         keep = list({(rep, role): i for i, (rep, role) in enumerate(zip(reps, roles))}.values())
         reps, roles, roots, sets = ([x[i] for i in keep] for x in (reps, roles, roots, sets))
         role = np.array(roles)
-        if (role == 2).any():
+        if across:
             rows, columns = np.flatnonzero(role == 2), np.flatnonzero(role == 0)
         else:
             rows, columns = np.arange(len(reps)), np.flatnonzero(role == 0)
         if not len(rows) or not len(columns):
             return _LINKS.empty_table()
-        known = [r if r is not None else -1 - i for i, r in enumerate(roots)] if (role == 2).any() else None
+        known = roots if across else None
         found = spanning(_linked(sets, rows, columns, percent), rows, columns, known)
-        return pa.Table.from_batches([rows_to_batch([(reps[a], reps[b]) for a, b in found if reps[a] != reps[b]], _LINKS)])
+        return pa.Table.from_batches([rows_to_batch(_to_least([(reps[a], reps[b]) for a, b in found if reps[a] != reps[b]]), _LINKS)])
 
     return run
 
@@ -264,6 +287,45 @@ def _part_sets(docs: DataFrame, members: DataFrame, size: int, label: str) -> Da
         lean(run), "rep long, g long, block int, blocks int, hub boolean, grams binary"), label)
 
 
+_SHINGLES_SQL = "rep long, g long, block int, root long, apart boolean, n int, gram long"
+
+
+def _shingles(batches):
+    """A row for each shingle of the sets in column ``text``, with the size of the set."""
+    for batch, sets in steps(batches, TEXTS):
+        sizes = np.array([len(s) // 8 for s in sets], np.int32)
+        each = pa.array(np.repeat(np.arange(len(sets)), sizes))
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(each) for c in ("rep", "g", "block", "root", "apart")] + [
+            pa.array(np.repeat(sizes, sizes)), pa.array(np.frombuffer(b"".join(sets), np.int64))], names=["rep", "g", "block", "root", "apart", "n", "gram"])
+
+
+def _meetings(several: DataFrame, rooted: DataFrame, percent: int) -> DataFrame:
+    """``(g, slice, block, role, rep, root)``: the classes of different components that may still be alike, dealt to
+    pairs of blocks. Askers (role 2) are those outside the group's largest component.
+
+    Shingles of one component tell nothing. The others of a set of n are put in one order for the whole group, rare ones
+    first. Of two sets that are alike each has ``percent`` of its shingles in the other, so the first they have in
+    common has as many from there on in both, and too few stand before it to leave it out of the shingles taken here."""
+    own = ["rep", "g", "block", "root", "apart", "n"]
+    shingles = written(several.join(rooted.select("rep", "root", "apart"), "rep").select("rep", "g", "block", "root", "apart", F.col("grams").alias("text")).mapInArrow(
+        lean(_shingles), _SHINGLES_SQL), "forest-shingles")
+    common = shingles.groupBy("g", "gram").agg(F.count("*").alias("often"), F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low <> high").select("g", "gram", "often")
+    held = shingles.join(common, ["g", "gram"]).groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("often", "gram"))).alias("grams"))
+    taken = held.withColumn("taken", F.expr(f"cast(size(grams) - ({percent} * n + 99) div 100 + 1 as int)")).where("taken > 0")
+    places = written(taken.select(*own, F.size("grams").alias("size"), F.posexplode(F.slice("grams", F.lit(1), F.col("taken"))).alias("place", "x")).select(
+        *own, (F.col("size") - F.col("place")).alias("rest"), "x.gram"), "forest-places")
+    crowds = places.groupBy("g", "gram", F.col("block").alias("there"), F.col("apart").alias("aside")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("most_rest"), F.min("root").alias("low"), F.max("root").alias("high"))
+    met = places.join(crowds, ["g", "gram"]).where(
+        f"block <> there and (low <> root or high <> root) and 100 * n >= {percent} * least and 100 * most >= {percent} * n "
+        f"and {100 + percent} * least(rest, most_rest) >= {percent} * (n + least)")
+    asks, asked = F.expr("apart and (not aside or there < block)"), F.expr("aside and (not apart or block < there)")
+    return met.where(asks | asked).select(
+        "g", F.when(asks, F.col("block")).otherwise(F.col("there")).alias("slice"), F.when(asks, F.col("there")).otherwise(F.col("block")).alias("block"),
+        F.when(asks, 2).otherwise(0).alias("role"), "rep", "root").distinct()
+
+
 def _shared_ids(features: DataFrame) -> DataFrame:
     """``(doc_id, most)`` of the doc ids on several sets; ``most`` is one of its sets with most shingles."""
     own = F.struct("n", "lo", "hi")
@@ -302,19 +364,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, by_text:
     compare = _compare(percent)
     links = written(own.unionByName(guests).withColumn("root", none).groupBy("g", "block").applyInArrow(compare, "u long, v long"), "forest-links")
 
-    # Groups of several blocks: classes outside the largest component meet all blocks.
+    # Groups of several blocks: what is in different components, across the blocks.
     several = sets.where("blocks > 1")
     if not large.isEmpty():
-        first = components(links, "forest-first")
-        rooted = several.select("rep", "g", "block", "blocks").join(first, F.col("rep") == F.col("node"), "left").select("rep", "g", F.coalesce("root", "rep").alias("root"))
+        links = stars(links, "forest-first")
+        rooted = several.select("rep", "g").join(links, F.col("rep") == F.col("u"), "left").select("rep", "g", F.coalesce("v", "rep").alias("root"))
         main = rooted.groupBy("g", "root").count().groupBy("g").agg(F.max_by("root", F.struct("count", -F.col("root"))).alias("main"))
         rooted = written(rooted.join(main, "g").withColumn("apart", F.col("root") != F.col("main")).drop("main"), "forest-apart")
-        apart = several.join(rooted.where("apart").select("rep", "root"), "rep")
-        slices = F.pmod(F.xxhash64("rep", F.lit(1)), F.greatest(F.lit(1), F.col("blocks"))).cast("int")
-        askers = apart.select("rep", "g", slices.alias("slice"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(2).alias("role"), "root", "grams")
-        asked = several.join(rooted.select("rep", "root"), "rep").select("rep", "g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("slice"), "block", F.lit(0).alias("role"), "root", "grams")
-        more = askers.unionByName(asked).groupBy("g", "slice", "block").applyInArrow(compare, "u long, v long")
-        links = links.unionByName(written(more, "forest-rest"))
+        if not rooted.where("apart").isEmpty():
+            more = _meetings(several, rooted, percent).join(several.select("rep", "grams"), "rep").groupBy("g", "slice", "block").applyInArrow(
+                _compare(percent, across=True), "u long, v long")
+            links = links.unionByName(written(more, "forest-rest"))
 
     # Rows that share a doc id link their classes too.
     shared = None if by_text else written(_shared_ids(features), "forest-shared")

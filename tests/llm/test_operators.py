@@ -285,6 +285,34 @@ def test_forest_crowds(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 2, 80) == dict.fromkeys(range(120), 0)
 
 
+def test_forest_unlike_crowd(spark, monkeypatch):
+    """A large group of one template, nearly all unlike: classes go to other blocks by what they share, not all to all."""
+    monkeypatch.setattr(lsh_forest, "BLOCK", 16)
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(200):
+        w = [f"w{k}" for k in range(120)]
+        for k in rng.choice(120, 8, replace=False):
+            w[k] = f"x{rng.integers(1 << 30)}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, rows[i][1].replace("w60", f"y{i}")) for i in range(0, 200, 10)]
+    sets = {i: np.unique(lsh_forest.shingle_sets([t.encode()], 2)[0]) for i, t in rows}
+    blocks = {i: i * 7 % 17 for i in sets}
+    several = spark.createDataFrame([(i, 0, blocks[i], s.tobytes()) for i, s in sets.items()], "rep long, g long, block int, grams binary")
+    rooted = spark.createDataFrame([(i, 0, i, i > 0) for i in sets], "rep long, g long, root long, apart boolean")
+    cells = {}
+    for r in lsh_forest._meetings(several, rooted, 80).collect():
+        cells.setdefault((r.slice, r.block), ([], []))[r.role == 0].append(r.rep)
+    met = {frozenset((a, b)) for askers, asked in cells.values() for a in askers for b in asked}
+    alike = {frozenset((a, b)) for a in sets for b in sets if a < b and blocks[a] != blocks[b]
+             and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert len(alike) >= 15 and alike <= met
+    assert sum(len(x) + len(y) for x, y in cells.values()) < 10 * len(sets)
+    monkeypatch.setattr(lsh_forest, "AGREE", 1)
+    got = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 2, 80)
+
+
 def test_forest_shared_ids(spark, monkeypatch):
     """Doc ids on several texts, of which some have no words."""
     a, b, c = ([f"{x}{i}" for i in range(40)] for x in "abc")
